@@ -15,7 +15,7 @@ YEAR_MILLIS = 365.25 * 24 * 60 * 60 * 1000
 # Fixed value: option name to its dated future.
 FUTURE_KEY_PATTERN = "^([A-Z]+-[0-9]{1,2}[A-Z]{3}[0-9]{2})-"
 
-_DATE_PATTERN = r"^(\d{1,2})([A-Z]{3})(\d{2})$"
+_DATE_PATTERN = r"^\d{1,2}[A-Z]{3}\d{2}$"
 _NUMBER_PATTERN = r"^([0-9]+(?:\.[0-9]+)?)"
 
 
@@ -30,11 +30,13 @@ def future_key(name: Column) -> Column:
 
 def expiry_instant(code: Column) -> Column:
     """``8APR26`` to 2026-04-08 08:00; NULL when malformed. Day overflow rolls into the next month."""
-    day = F.regexp_extract(code, _DATE_PATTERN, 1).try_cast("int")
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.regexp_extract(code, _DATE_PATTERN, 2))
-    year = F.regexp_extract(code, _DATE_PATTERN, 3).try_cast("int") + 2000
-    first = F.make_date(year, F.nullif(month, F.lit(0)).cast("int"), F.lit(1))
-    return F.date_add(first, day - 1).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(EXPIRY_HOUR))
+    width = F.length(code)
+    month = F.instr(F.lit("".join(MONTHS)), F.substring(code, width - 4, F.lit(3)))
+    months = F.right(code, F.lit(2)).try_cast("int") * 12 + F.floor((month - 1) / 3).cast("int")
+    first = F.add_months(F.lit("2000-01-01").cast("date"), months)
+    day = F.date_add(first, F.left(code, width - 5).try_cast("int") - 1)
+    wellformed = code.rlike(_DATE_PATTERN) & (month % 3 == 1)
+    return F.when(wellformed, day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(EXPIRY_HOUR)))
 
 
 def _terms(parts: Column, expiry: Column) -> Column:

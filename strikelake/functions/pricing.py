@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Abramowitz-Stegun normal CDF approximation, truncated as used by the tape's producer.
 CDF_SCALE = 0.2316419
@@ -19,13 +19,59 @@ CDF_TERMS = [0.3193815, -0.3565638, 1.781478, -1.821256, 1.330274]
 DAYS_PER_YEAR = 365.0
 
 
-def norm_cdf(x: Column) -> Column:
-    k = F.lit(1.0) / (F.lit(1.0) + F.lit(CDF_SCALE) * F.abs(x))
+class Normal:
+    """Normal distribution values at one point: ``up`` is N(x), ``down`` is N(-x), ``density`` is N'(x)."""
+
+    def __init__(self, x: Column, tail: Column, density: Column):
+        self.x, self.tail, self.density = x, tail, density
+
+    @classmethod
+    def at(cls, x: Column) -> Normal:
+        return cls(x, _tail(x, _falloff(x)), norm_pdf(x))
+
+    def up(self) -> Column:
+        return F.when(self.x >= 0, F.lit(1.0) - self.tail).otherwise(self.tail)
+
+    def down(self) -> Column:
+        return F.when(self.x <= 0, F.lit(1.0) - self.tail).otherwise(self.tail)
+
+
+def _falloff(x: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.lit(CDF_SCALE) * F.abs(x))
+
+
+def _tail(x: Column, k: Column) -> Column:
+    """N(-|x|)."""
     series = F.lit(0.0)
     for term in reversed(CDF_TERMS):
         series = k * (F.lit(term) + series)
-    tail = F.lit(CDF_DENSITY) * F.exp(-(x * x) / 2.0) * series
-    return F.when(x >= 0, F.lit(1.0) - tail).otherwise(tail)
+    return F.lit(CDF_DENSITY) * F.exp(-(x * x) / 2.0) * series
+
+
+def with_normals(df: DataFrame, **points: Column) -> tuple[DataFrame, dict[str, Normal]]:
+    """Stage :class:`Normal` values at the named points as columns, so each is evaluated once per row.
+
+    Returns the frame with helper columns (names start with ``__``) and the values by name; drop the
+    helpers with :func:`without_normals`.
+    """
+    at = {n: F.col(f"__{n}") for n in points}
+    staged = (
+        df.withColumns({f"__{n}": x for n, x in points.items()})
+        .withColumns({f"__{n}_k": _falloff(x) for n, x in at.items()})
+        .withColumns({
+            **{f"__{n}_tail": _tail(x, F.col(f"__{n}_k")) for n, x in at.items()},
+            **{f"__{n}_pdf": norm_pdf(x) for n, x in at.items()},
+        })
+    )
+    return staged, {n: Normal(x, F.col(f"__{n}_tail"), F.col(f"__{n}_pdf")) for n, x in at.items()}
+
+
+def without_normals(df: DataFrame, *names: str) -> DataFrame:
+    return df.drop(*[f"__{n}{part}" for n in names for part in ("", "_k", "_tail", "_pdf")])
+
+
+def norm_cdf(x: Column) -> Column:
+    return Normal.at(x).up()
 
 
 def norm_pdf(x: Column) -> Column:
@@ -35,58 +81,56 @@ def norm_pdf(x: Column) -> Column:
 def d1(forward: Column, strike: Column, years: Column, vol: Column) -> Column:
     usable = (forward > 0) & (strike > 0) & (years > 0) & (vol > 0)
     drift = F.ln(F.try_divide(forward, strike)) + vol * vol * years / 2.0
-    return F.when(usable, F.try_divide(drift, vol * F.sqrt(F.greatest(years, F.lit(0.0)))))
+    return F.when(usable, F.try_divide(drift, vol * _root(years)))
 
 
 def d2(d1_value: Column, years: Column, vol: Column) -> Column:
-    return d1_value - vol * F.sqrt(F.greatest(years, F.lit(0.0)))
+    return d1_value - vol * _root(years)
+
+
+def _root(years: Column) -> Column:
+    return F.sqrt(F.greatest(years, F.lit(0.0)))
+
+
+def _column(value: Column | float) -> Column:
+    return value if isinstance(value, Column) else F.lit(float(value))
 
 
 def _is_call(side: Column) -> Column:
     return side == "call"
 
 
-def delta_from(d1_value: Column, forward: Column, strike: Column, years: Column, side: Column,
+def delta_from(n1: Normal, forward: Column, strike: Column, years: Column, side: Column,
                discount: Column | float = 1.0) -> Column:
-    df = discount if isinstance(discount, Column) else F.lit(float(discount))
+    df = _column(discount)
     at_expiry = F.when(
         _is_call(side), F.when(forward > strike, 1.0).otherwise(0.0)
     ).otherwise(F.when(forward < strike, -1.0).otherwise(0.0))
-    return (
-        F.when(years <= 0, at_expiry)
-        .when(_is_call(side), df * norm_cdf(d1_value))
-        .otherwise(-(df * norm_cdf(-d1_value)))
-    )
+    live = F.when(_is_call(side), n1.up()).otherwise(-n1.down())
+    return F.when(years <= 0, at_expiry).otherwise(df * live)
 
 
-def gamma_from(d1_value: Column, forward: Column, years: Column, vol: Column,
-               discount: Column | float = 1.0) -> Column:
-    df = discount if isinstance(discount, Column) else F.lit(float(discount))
-    scale = forward * vol * F.sqrt(F.greatest(years, F.lit(0.0)))
-    return F.when(years <= 0, 0.0).otherwise(F.try_divide(df * norm_pdf(d1_value), scale))
+def gamma_from(n1: Normal, forward: Column, years: Column, vol: Column, discount: Column | float = 1.0) -> Column:
+    scale = forward * vol * _root(years)
+    return F.when(years <= 0, 0.0).otherwise(F.try_divide(_column(discount) * n1.density, scale))
 
 
-def vega_from(d1_value: Column, forward: Column, years: Column, discount: Column | float = 1.0) -> Column:
+def vega_from(n1: Normal, forward: Column, years: Column, discount: Column | float = 1.0) -> Column:
     """Per one percentage point of volatility."""
-    df = discount if isinstance(discount, Column) else F.lit(float(discount))
     return F.when(years <= 0, 0.0).otherwise(
-        df * forward * norm_pdf(d1_value) * F.sqrt(F.greatest(years, F.lit(0.0))) / 100.0
-    )
+        _column(discount) * forward * n1.density * _root(years) / 100.0)
 
 
-def theta_from(d1_value: Column, forward: Column, strike: Column, years: Column, vol: Column, side: Column,
+def theta_from(n1: Normal, forward: Column, strike: Column, years: Column, vol: Column, side: Column,
                discount: Column | float = 1.0, rate: float = 0.0) -> Column:
     """Per calendar day."""
-    df = discount if isinstance(discount, Column) else F.lit(float(discount))
-    root = F.sqrt(F.greatest(years, F.lit(0.0)))
-    decay = F.try_divide(-(df * forward * norm_pdf(d1_value) * vol), 2.0 * root)
-    if rate == 0.0:
-        per_year = decay
-    else:
-        d2_value = d2(d1_value, years, vol)
-        carry_call = F.lit(rate) * df * (forward * norm_cdf(d1_value) - strike * norm_cdf(d2_value))
-        carry_put = F.lit(rate) * df * (strike * norm_cdf(-d2_value) - forward * norm_cdf(-d1_value))
-        per_year = decay + F.when(_is_call(side), carry_call).otherwise(carry_put)
+    df = _column(discount)
+    per_year = F.try_divide(-(df * forward * n1.density * vol), 2.0 * _root(years))
+    if rate != 0.0:
+        n2 = Normal.at(d2(n1.x, years, vol))
+        carry_call = F.lit(rate) * df * (forward * n1.up() - strike * n2.up())
+        carry_put = F.lit(rate) * df * (strike * n2.down() - forward * n1.down())
+        per_year = per_year + F.when(_is_call(side), carry_call).otherwise(carry_put)
     return F.when(years <= 0, 0.0).otherwise(per_year / DAYS_PER_YEAR)
 
 
@@ -95,13 +139,12 @@ def intrinsic(forward: Column, strike: Column, side: Column) -> Column:
     return F.when(gap.isNotNull(), F.greatest(gap, F.lit(0.0)))
 
 
-def price_from(d1_value: Column, forward: Column, strike: Column, years: Column, vol: Column, side: Column,
+def price_from(n1: Normal, n2: Normal, forward: Column, strike: Column, years: Column, vol: Column, side: Column,
                discount: Column | float = 1.0) -> Column:
     """USD price per contract; intrinsic value at or past expiry, and at zero volatility."""
-    df = discount if isinstance(discount, Column) else F.lit(float(discount))
-    d2_value = d2(d1_value, years, vol)
-    call = forward * norm_cdf(d1_value) - strike * norm_cdf(d2_value)
-    put = strike * norm_cdf(-d2_value) - forward * norm_cdf(-d1_value)
+    df = _column(discount)
+    call = forward * n1.up() - strike * n2.up()
+    put = strike * n2.down() - forward * n1.down()
     return (
         F.when(years <= 0, intrinsic(forward, strike, side))
         .when(vol == 0, df * intrinsic(forward, strike, side))
@@ -109,24 +152,30 @@ def price_from(d1_value: Column, forward: Column, strike: Column, years: Column,
     )
 
 
+def _normals(forward, strike, years, vol) -> tuple[Normal, Normal]:
+    x = d1(forward, strike, years, vol)
+    return Normal.at(x), Normal.at(d2(x, years, vol))
+
+
 def delta(forward, strike, years, vol, side, discount=1.0):
-    return delta_from(d1(forward, strike, years, vol), forward, strike, years, side, discount)
+    return delta_from(_normals(forward, strike, years, vol)[0], forward, strike, years, side, discount)
 
 
 def gamma(forward, strike, years, vol, discount=1.0):
-    return gamma_from(d1(forward, strike, years, vol), forward, years, vol, discount)
+    return gamma_from(_normals(forward, strike, years, vol)[0], forward, years, vol, discount)
 
 
 def vega(forward, strike, years, vol, discount=1.0):
-    return vega_from(d1(forward, strike, years, vol), forward, years, discount)
+    return vega_from(_normals(forward, strike, years, vol)[0], forward, years, discount)
 
 
 def theta(forward, strike, years, vol, side, discount=1.0, rate=0.0):
-    return theta_from(d1(forward, strike, years, vol), forward, strike, years, vol, side, discount, rate)
+    return theta_from(_normals(forward, strike, years, vol)[0], forward, strike, years, vol, side, discount, rate)
 
 
 def black76_price(forward, strike, years, vol, side, discount=1.0):
-    return price_from(d1(forward, strike, years, vol), forward, strike, years, vol, side, discount)
+    n1, n2 = _normals(forward, strike, years, vol)
+    return price_from(n1, n2, forward, strike, years, vol, side, discount)
 
 
 def black76_price_fraction(forward, strike, years, vol, side):
@@ -135,13 +184,13 @@ def black76_price_fraction(forward, strike, years, vol, side):
 
 def greeks_bundle(forward, strike, years, vol, side, discount=1.0, rate=0.0) -> Column:
     """Struct of price, delta, gamma, vega and theta."""
-    x = d1(forward, strike, years, vol)
+    n1, n2 = _normals(forward, strike, years, vol)
     return F.struct(
-        price_from(x, forward, strike, years, vol, side, discount).alias("price"),
-        delta_from(x, forward, strike, years, side, discount).alias("delta"),
-        gamma_from(x, forward, years, vol, discount).alias("gamma"),
-        vega_from(x, forward, years, discount).alias("vega"),
-        theta_from(x, forward, strike, years, vol, side, discount, rate).alias("theta"),
+        price_from(n1, n2, forward, strike, years, vol, side, discount).alias("price"),
+        delta_from(n1, forward, strike, years, side, discount).alias("delta"),
+        gamma_from(n1, forward, years, vol, discount).alias("gamma"),
+        vega_from(n1, forward, years, discount).alias("vega"),
+        theta_from(n1, forward, strike, years, vol, side, discount, rate).alias("theta"),
     )
 
 

@@ -63,8 +63,7 @@ def with_width(df: DataFrame, by: str, widths: DataFrame | None) -> DataFrame:
 
 def cell_start(at: Column) -> Column:
     """First second of the cell holding ``at``; needs the width column of :func:`with_width`."""
-    seconds = epoch_seconds(at)
-    return seconds - F.pmod(seconds, F.col(_WIDTH))
+    return F.floor(epoch_seconds(at) / F.col(_WIDTH)) * F.col(_WIDTH)
 
 
 def in_cells(df: DataFrame, by: str, at: Column, widths: DataFrame | None) -> DataFrame:

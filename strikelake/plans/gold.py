@@ -44,13 +44,15 @@ def with_execution_quality(rows: DataFrame) -> DataFrame:
     f, k, t = F.col("futures_price"), F.col("strike"), F.col("time_to_expiry_years")
     side, vol = F.col("option_type"), metrics.iv_decimal(F.col("implied_volatility"))
     price, amount = F.col("price"), F.col("amount")
-    staged = rows.withColumn("__d1", pricing.d1(f, k, t, vol))
-    fraction = F.try_divide(pricing.price_from(F.col("__d1"), f, k, t, vol, side), f)
+    first = rows.withColumn("__x", pricing.d1(f, k, t, vol))
+    staged, n = pricing.with_normals(first, d1=F.col("__x"), d2=pricing.d2(F.col("__x"), t, vol))
+    fraction = F.try_divide(pricing.price_from(n["d1"], n["d2"], f, k, t, vol, side), f)
     expected = F.when(f.isNotNull() & vol.isNotNull() & (t > 0) & amount.isNotNull(), fraction * amount)
-    return staged.withColumn("expected_premium", expected).withColumns({
+    scored = staged.withColumn("expected_premium", expected).withColumns({
         "price_vs_mark_deviation": metrics.price_vs_mark_deviation(price, F.col("mark_price")),
         "premium_collection_ratio": metrics.premium_collection_ratio(price, amount, F.col("expected_premium")),
-    }).drop("__d1")
+    })
+    return pricing.without_normals(scored, "d1", "d2").drop("__x")
 
 
 def with_outcomes(rows: DataFrame) -> DataFrame:

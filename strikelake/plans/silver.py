@@ -37,21 +37,21 @@ def with_greeks(trades: DataFrame, forward: str = "futures_price") -> DataFrame:
     t, side, iv = F.col("time_to_expiry_years"), F.col("option_type"), F.col("implied_volatility")
     vol = iv_decimal(iv)
     ready = (iv > 0) & f.isNotNull()
-    x = F.col("__d1")
+    staged, normals = pricing.with_normals(trades, d1=pricing.d1(f, k, t, vol))
+    n1 = normals["d1"]
     greeks = {
-        "delta": pricing.delta_from(x, f, k, t, side),
-        "gamma": pricing.gamma_from(x, f, t, vol),
-        "vega": pricing.vega_from(x, f, t),
-        "theta": pricing.theta_from(x, f, k, t, vol, side),
+        "delta": pricing.delta_from(n1, f, k, t, side),
+        "gamma": pricing.gamma_from(n1, f, t, vol),
+        "vega": pricing.vega_from(n1, f, t),
+        "theta": pricing.theta_from(n1, f, k, t, vol, side),
     }
-    priced = trades.withColumn("__d1", pricing.d1(f, k, t, vol)).withColumns(
-        {name: F.when(ready, value) for name, value in greeks.items()})
+    priced = staged.withColumns({name: F.when(ready, value) for name, value in greeks.items()})
     finite = F.lit(True)
     for name in greeks:
         finite = finite & pricing.is_finite(F.col(name))
     # NULL IV leaves the flag NULL (or FALSE without a forward): consumers test for TRUE.
     valid = f.isNotNull() & (iv > 0) & (t > MIN_YEARS_VALID) & F.when(iv > 0, finite)
-    return priced.withColumn("is_valid", valid).drop("__d1")
+    return pricing.without_normals(priced.withColumn("is_valid", valid), "d1")
 
 
 def silver(options: DataFrame, futures: DataFrame | None, max_rows_per_cell: int = MAX_ROWS_PER_CELL) -> DataFrame:
