@@ -11,10 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from strikelake.functions.timeline import shifted
-from strikelake.operators.cells import CELL, in_cells, in_cells_until
+from strikelake.operators.cells import CELL, in_cells, in_cells_between
 
-_AT, _SIDE, _HIT = "__at", "__side", "__hit"
+_AT, _SIDE, _HIT, _ROW = "__at", "__side", "__hit", "__row"
 
 
 def asof_join(
@@ -39,41 +38,39 @@ def asof_join(
     if not backward and direction != "forward":
         raise ValueError(f"direction must be 'backward' or 'forward', not {direction!r}")
     ties = [f"__tie{i}" for i in range(len(tie))]
-    payload = F.struct(F.col(right_at).alias("at"), *[F.col(c).alias(o) for c, o in take.items()])
-    narrow = right.select(
-        by, F.col(right_at).alias(_AT), *[F.col(c).alias(t) for c, t in zip(tie, ties)], payload.alias(_HIT)
+    fields = ", ".join([f"'at', {right_at}", *[f"'{o}', {c}" for c, o in take.items()]])
+    narrow = right.selectExpr(
+        by, f"{right_at} AS {_AT}", f"0 AS {_SIDE}", *[f"{c} AS {t}" for c, t in zip(tie, ties)],
+        f"named_struct({fields}) AS {_HIT}",
     )
-    lefts = in_cells(left, by, F.col(left_at), widths).withColumns({_AT: F.col(left_at), _SIDE: F.lit(1)})
+    # Left columns travel as one struct: right rows carry one NULL for them.
+    lefts = in_cells(left.selectExpr(
+        by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", f"struct({', '.join(left.columns)}) AS {_ROW}",
+    ), by, _AT, widths)
 
     if tolerance_seconds is not None:
-        reach = shifted(F.col(_AT), tolerance_seconds if backward else -tolerance_seconds)
-        start, stop = (F.col(_AT), reach) if backward else (reach, F.col(_AT))
-        rights = in_cells_until(narrow, by, start, stop, widths)
+        reach = f"{_AT} {'+' if backward else '-'} INTERVAL {tolerance_seconds} SECONDS"
+        spanned = narrow.selectExpr("*", f"{reach} AS __reach")
+        bounds = (_AT, "__reach") if backward else ("__reach", _AT)
+        rights = in_cells_between(spanned, by, *bounds, widths).drop("__reach")
     else:
-        placed = in_cells(narrow, by, F.col(_AT), widths)
+        placed = in_cells(narrow, by, _AT, widths)
         rights = placed.unionByName(_carries(lefts, placed, by, ties, backward), allowMissingColumns=True)
-    rights = rights.withColumn(_SIDE, F.lit(0))
 
     # A right row precedes a left row of the same instant in reading order, so equal times match.
-    if backward:
-        order = [F.col(_AT).asc_nulls_first(), F.col(_SIDE), *[F.col(t).asc() for t in ties]]
-    else:
-        order = [F.col(_AT).desc_nulls_first(), F.col(_SIDE), *[F.col(t).desc() for t in ties]]
-    reading = Window.partitionBy(by, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    matched = (
-        lefts.unionByName(rights, allowMissingColumns=True)
-        .withColumn(_HIT, F.last(_HIT, ignorenulls=True).over(reading))
-        .filter(F.col(_SIDE) == 1)
-    )
-    near = F.lit(True)
+    way = "ASC" if backward else "DESC"
+    order = ", ".join([f"{_AT} {way} NULLS FIRST", _SIDE, *[f"{t} {way}" for t in ties]])
+    matched = lefts.unionByName(rights, allowMissingColumns=True).selectExpr(
+        _ROW, _AT, _SIDE,
+        f"last({_HIT}) IGNORE NULLS OVER (PARTITION BY {by}, {CELL} ORDER BY {order} "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {_HIT}",
+    ).filter(f"{_SIDE} = 1")
+    near = "TRUE"
     if tolerance_seconds is not None:
-        if backward:
-            near = F.col(f"{_HIT}.at") >= shifted(F.col(left_at), -tolerance_seconds)
-        else:
-            near = F.col(f"{_HIT}.at") <= shifted(F.col(left_at), tolerance_seconds)
-    return matched.select(
-        *left.columns, *[F.when(near, F.col(f"{_HIT}.{o}")).alias(o) for o in take.values()]
-    )
+        test = f">= {_AT} -" if backward else f"<= {_AT} +"
+        near = f"{_HIT}.at {test} INTERVAL {tolerance_seconds} SECONDS"
+    return matched.selectExpr(
+        f"{_ROW}.*", *[f"CASE WHEN {near} THEN {_HIT}.{o} END AS {o}" for o in take.values()])
 
 
 def _carries(lefts: DataFrame, placed: DataFrame, by: str, ties: list[str], backward: bool) -> DataFrame:
@@ -93,7 +90,7 @@ def _carries(lefts: DataFrame, placed: DataFrame, by: str, ties: list[str], back
     return (
         ledger.withColumn(_HIT, F.last("__edge", ignorenulls=True).over(outside))
         .filter(F.col("__wanted") & F.col(_HIT).isNotNull())
-        .select(by, CELL, F.lit(None).cast("timestamp_ntz").alias(_AT), _HIT)
+        .selectExpr(by, CELL, f"CAST(NULL AS TIMESTAMP_NTZ) AS {_AT}", f"0 AS {_SIDE}", _HIT)
     )
 
 
@@ -103,22 +100,16 @@ def previous_row(rows: DataFrame, by: str, order: Sequence[str], take: dict[str,
 
     take: column -> name for its value on the previous row.
     """
-    at = order[0]
-    placed = in_cells(rows, by, F.col(at), widths).withColumn(
-        _HIT, F.struct(*[F.col(c).alias(o) for c, o in take.items()])
-    )
-    ledger = placed.groupBy(by, CELL).agg(F.max_by(_HIT, F.struct(*order)).alias("__edge"))
-    earlier = Window.partitionBy(by).orderBy(CELL)
-    heads = (
-        ledger.withColumn(_HIT, F.lag("__edge").over(earlier))
-        .filter(F.col(_HIT).isNotNull())
-        .select(by, CELL, _HIT, F.lit(0).alias(_SIDE))
-    )
-    reading = Window.partitionBy(by, CELL).orderBy(_SIDE, *order)
-    return (
-        placed.withColumn(_SIDE, F.lit(1))
-        .unionByName(heads, allowMissingColumns=True)
-        .withColumn("__previous", F.lag(_HIT).over(reading))
-        .filter(F.col(_SIDE) == 1)
-        .select(*rows.columns, *[F.col(f"__previous.{o}").alias(o) for o in take.values()])
-    )
+    fields = ", ".join(f"'{o}', {c}" for c, o in take.items())
+    sequence = ", ".join(order)
+    placed = in_cells(rows.selectExpr(
+        by, *order, f"1 AS {_SIDE}", f"named_struct({fields}) AS {_HIT}", f"struct({', '.join(rows.columns)}) AS {_ROW}",
+    ), by, order[0], widths)
+    ledger = placed.groupBy(by, CELL).agg(F.expr(f"max_by({_HIT}, struct({sequence}))").alias("__edge"))
+    heads = ledger.selectExpr(
+        by, CELL, f"0 AS {_SIDE}", f"lag(__edge) OVER (PARTITION BY {by} ORDER BY {CELL}) AS {_HIT}",
+    ).filter(f"{_HIT} IS NOT NULL")
+    return placed.unionByName(heads, allowMissingColumns=True).selectExpr(
+        _ROW, _SIDE,
+        f"lag({_HIT}) OVER (PARTITION BY {by}, {CELL} ORDER BY {_SIDE}, {sequence}) AS __previous",
+    ).filter(f"{_SIDE} = 1").selectExpr(f"{_ROW}.*", *[f"__previous.{o} AS {o}" for o in take.values()])

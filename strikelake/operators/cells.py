@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.timeline import WEEK_SECONDS, epoch_seconds
 from strikelake.sources.storage import as_table
@@ -32,7 +32,7 @@ _WIDTH = "__width"
 def cell_widths(streams: Sequence[DataFrame], by: str, ts: str = "timestamp",
                 max_rows: int = MAX_ROWS_PER_CELL) -> DataFrame:
     """Hot keys of the given streams and their cell width: ``by``, ``__width`` (at most rows/max_rows rows)."""
-    narrow = [s.select(by, F.floor(epoch_seconds(F.col(ts)) / 3600).alias("__hour")) for s in streams]
+    narrow = [s.selectExpr(by, f"floor({epoch_seconds(ts)} / 3600) AS __hour") for s in streams]
     hourly = reduce(DataFrame.unionByName, narrow).groupBy(by, "__hour").agg(F.count(F.lit(1)).alias("__n"))
     per_key = hourly.groupBy(by).agg(F.sum("__n").alias("__total"), F.max("__n").alias("__peak"))
     width = F.lit(CELL_WIDTHS[-1])
@@ -53,25 +53,28 @@ def measure_cells(streams: Sequence[DataFrame], by: str, ts: str = "timestamp",
     return as_table(cell_widths(streams, by, ts, max_rows), "cell_widths")
 
 
-def with_width(df: DataFrame, by: str, widths: DataFrame | None) -> DataFrame:
-    """Attach each row's cell width; keys not listed in ``widths`` are cold."""
+def _located(df: DataFrame, by: str, widths: DataFrame | None) -> tuple[DataFrame, str]:
+    """``df`` with each key's cell width at hand, and the SQL text of that width."""
     if widths is None:
-        return df.withColumn(_WIDTH, F.lit(WEEK_SECONDS).cast("bigint"))
-    listed = df.join(F.broadcast(widths), by, "left")
-    return listed.withColumn(_WIDTH, F.coalesce(F.col(_WIDTH), F.lit(WEEK_SECONDS).cast("bigint")))
+        return df, f"{WEEK_SECONDS}L"
+    return df.join(F.broadcast(widths), by, "left"), f"coalesce({_WIDTH}, {WEEK_SECONDS}L)"
 
 
-def cell_start(at: Column) -> Column:
-    """First second of the cell holding ``at``; needs the width column of :func:`with_width`."""
-    return F.floor(epoch_seconds(at) / F.col(_WIDTH)) * F.col(_WIDTH)
+def _start(at: str, width: str) -> str:
+    return f"floor({epoch_seconds(at)} / {width}) * {width}"
 
 
-def in_cells(df: DataFrame, by: str, at: Column, widths: DataFrame | None) -> DataFrame:
-    """Add the ``__cell`` of time ``at`` to every row."""
-    return with_width(df, by, widths).withColumn(CELL, cell_start(at)).drop(_WIDTH)
+def in_cells(df: DataFrame, by: str, at: str, widths: DataFrame | None) -> DataFrame:
+    """Add the ``__cell`` (its first second) of the time column ``at`` to every row.
+
+    Keys not listed in ``widths`` are cold and get one-week cells.
+    """
+    located, width = _located(df, by, widths)
+    return located.selectExpr(*df.columns, f"{_start(at, width)} AS {CELL}")
 
 
-def in_cells_until(df: DataFrame, by: str, at: Column, until: Column, widths: DataFrame | None) -> DataFrame:
-    """Copy every row into each cell from the one holding ``at`` to the one holding ``until``."""
-    spans = F.sequence(cell_start(at), cell_start(until), F.col(_WIDTH))
-    return with_width(df, by, widths).withColumn(CELL, F.explode(spans)).drop(_WIDTH)
+def in_cells_between(df: DataFrame, by: str, start: str, stop: str, widths: DataFrame | None) -> DataFrame:
+    """Copy every row into each cell from the one of ``start`` to the one of ``stop``."""
+    located, width = _located(df, by, widths)
+    spans = f"explode(sequence({_start(start, width)}, {_start(stop, width)}, {width})) AS {CELL}"
+    return located.selectExpr(*df.columns, spans)

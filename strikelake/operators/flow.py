@@ -7,10 +7,10 @@ can look back to.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.metrics import roll_spread
-from strikelake.functions.timeline import WEEK_SECONDS, shifted
+from strikelake.functions.timeline import WEEK_SECONDS
 from strikelake.operators.cells import CELL, in_cells
 
 # Fixed value: the covariance frame is the current print and the 20 before it.
@@ -18,18 +18,18 @@ FRAME_PRECEDING = 20
 _HALO_ROWS = FRAME_PRECEDING + 2
 
 _HEAD, _HALO, _OWN, _OLD = 0, 1, 2, 3
-_KEY = "instrument_name"
+_NAME = "instrument_name"
 _ORDER = ["timestamp", "trade_seq", "trade_id"]
+_KEY = f"{_NAME}, {CELL}"
 
 
 def _heads(placed: DataFrame) -> DataFrame:
     """Per (instrument, cell): count and premium of the cells lying fully inside the trailing week."""
-    whole = Window.partitionBy(_KEY).orderBy(CELL).rangeBetween(-(WEEK_SECONDS - 1), -1)
+    whole = f"(PARTITION BY {_NAME} ORDER BY {CELL} RANGE BETWEEN {WEEK_SECONDS - 1} PRECEDING AND 1 PRECEDING)"
     return (
-        placed.groupBy(_KEY, CELL)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("price") * F.col("amount")).alias("pv"))
-        .select(_KEY, CELL, F.sum("n").over(whole).alias("__n"), F.sum("pv").over(whole).alias("__pv"))
-        .filter(F.col("__n").isNotNull())
+        placed.groupBy(_NAME, CELL).agg(F.expr("count(1) AS n"), F.expr("sum(price * amount) AS pv"))
+        .selectExpr(_NAME, CELL, f"{_HEAD} AS __lane", f"sum(n) OVER {whole} AS __n", f"sum(pv) OVER {whole} AS __pv")
+        .filter("__n IS NOT NULL")
     )
 
 
@@ -39,23 +39,18 @@ def _halos(placed: DataFrame) -> DataFrame:
     Only the newest 22 rows of each cell can matter later; the row_number bound is applied before the
     shuffle as well (window group limit).
     """
-    newest = Window.partitionBy(_KEY, CELL).orderBy(*[F.col(c).desc() for c in _ORDER])
-    tails = (
-        placed.select(_KEY, CELL, *_ORDER, "price")
-        .withColumn("k", F.row_number().over(newest)).filter(F.col("k") <= _HALO_ROWS)
-    )
-    timeline = Window.partitionBy(_KEY).orderBy(*_ORDER)
-    row = F.struct(*[F.col(c) for c in _ORDER], F.col("price"))
+    newest = f"(PARTITION BY {_KEY} ORDER BY {', '.join(c + ' DESC' for c in _ORDER)})"
+    tails = placed.selectExpr(
+        _NAME, CELL, *_ORDER, "price", f"row_number() OVER {newest} AS k").filter(f"k <= {_HALO_ROWS}")
+    timeline = f"PARTITION BY {_NAME} ORDER BY {', '.join(_ORDER)}"
+    print_row = "struct(timestamp AS __at, trade_seq AS __seq, trade_id AS __id, price AS __price)"
     return (
-        tails.select(
-            _KEY, CELL,
-            F.lag(CELL).over(timeline).alias("before"),
-            F.collect_list(row).over(timeline.rowsBetween(-_HALO_ROWS, -1)).alias("prior"),
+        tails.selectExpr(
+            _NAME, CELL, f"lag({CELL}) OVER ({timeline}) AS before",
+            f"collect_list({print_row}) OVER ({timeline} ROWS BETWEEN {_HALO_ROWS} PRECEDING AND 1 PRECEDING) AS prior",
         )
-        .filter(F.col("before") != F.col(CELL))
-        .select(_KEY, CELL, F.inline("prior"))
-        .select(_KEY, CELL, F.col("timestamp").alias("__at"), F.col("trade_seq").alias("__seq"),
-                F.col("trade_id").alias("__id"), F.col("price").alias("__price"))
+        .filter(f"before <> {CELL}")
+        .selectExpr(_NAME, CELL, f"{_HALO} AS __lane", "inline(prior)")
     )
 
 
@@ -64,55 +59,43 @@ def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame
 
     ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again.
     """
-    tape = (rows if tape is None else tape).select(_KEY, *_ORDER, "price", "amount")
-    placed = in_cells(tape, _KEY, F.col("timestamp"), widths)
+    tape = (rows if tape is None else tape).select(_NAME, *_ORDER, "price", "amount")
+    placed = in_cells(tape, _NAME, "timestamp", widths)
     old = in_cells(
-        tape.select(_KEY, shifted(F.col("timestamp"), WEEK_SECONDS).alias("__at"),
-                    F.lit(1).cast("bigint").alias("__n"), (F.col("price") * F.col("amount")).alias("__pv")),
-        _KEY, F.col("__at"), widths,
-    ).withColumn("__lane", F.lit(_OLD))
-    own = in_cells(rows, _KEY, F.col("timestamp"), widths).withColumns({
-        "__lane": F.lit(_OWN), "__at": F.col("timestamp"), "__seq": F.col("trade_seq"),
-        "__id": F.col("trade_id"), "__price": F.col("price"),
-        "__n": F.lit(1).cast("bigint"), "__pv": F.col("price") * F.col("amount"),
-    })
-    lanes = (
-        own.unionByName(old, allowMissingColumns=True)
-        .unionByName(_heads(placed).withColumn("__lane", F.lit(_HEAD)), allowMissingColumns=True)
-        .unionByName(_halos(placed).withColumn("__lane", F.lit(_HALO)), allowMissingColumns=True)
-        .withColumn("__past", F.col("__lane") == _OLD)
-        # One exchange: every window below clusters on these two columns or more.
-        .repartition(_KEY, CELL)
-    )
-    own_key = [_KEY, CELL, "__past"]
-    path = Window.partitionBy(*own_key).orderBy(
-        F.col("__at").asc_nulls_first(), F.col("__seq").asc(), F.col("__id").asc())
-    frame = path.rowsBetween(-FRAME_PRECEDING, Window.currentRow)
-    up = Window.partitionBy(*own_key).orderBy(F.col("__at").asc_nulls_first()).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy(_KEY, CELL).orderBy(F.col("__at").desc_nulls_last()).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    lane, past = F.col("__lane"), F.col("__past")
-
-    def plus(name: str) -> Column:
-        return F.coalesce(F.col(f"__up{name}"), F.lit(0)) + F.coalesce(F.col(f"__down{name}"), F.lit(0))
-
-    changes = lanes.withColumns({"__l1": F.lag("__price", 1).over(path), "__l2": F.lag("__price", 2).over(path)})
-    changes = changes.withColumns({
-        "__dp": F.col("__price") - F.col("__l1"), "__dq": F.col("__l1") - F.col("__l2"),
-    })
+        tape.selectExpr(_NAME, f"{_OLD} AS __lane", f"timestamp + INTERVAL {WEEK_SECONDS} SECONDS AS __at",
+                        "1L AS __n", "price * amount AS __pv"),
+        _NAME, "__at", widths)
+    # The caller's columns travel as one struct (see market.py).
+    own = in_cells(rows.selectExpr(
+        _NAME, f"{_OWN} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id",
+        "price AS __price", "1L AS __n", "price * amount AS __pv", f"struct({', '.join(rows.columns)}) AS __row",
+    ), _NAME, "__at", widths)
+    lanes = own
+    for extra in (old, _heads(placed), _halos(placed)):
+        lanes = lanes.unionByName(extra, allowMissingColumns=True)
+    # One exchange: every window below clusters on these two columns or more.
+    lanes = lanes.selectExpr("*", f"__lane = {_OLD} AS __past").repartition(_NAME, CELL)
+
+    path = f"PARTITION BY {_KEY}, __past ORDER BY __at ASC NULLS FIRST, __seq, __id"
+    frame = f"({path} ROWS BETWEEN {FRAME_PRECEDING} PRECEDING AND CURRENT ROW)"
+    peers = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    up = f"(PARTITION BY {_KEY}, __past ORDER BY __at ASC NULLS FIRST {peers})"
+    down = f"(PARTITION BY {_KEY} ORDER BY __at DESC NULLS LAST {peers})"
+    changes = lanes.selectExpr(
+        "*", f"lag(__price, 1) OVER ({path}) AS __l1", f"lag(__price, 2) OVER ({path}) AS __l2",
+    ).selectExpr("*", "__price - __l1 AS __dp", "__l1 - __l2 AS __dq")
     # Helper rows of the halo carry no volume, so they leave the running sums alone.
-    summed = changes.withColumns({
-        "__cov": F.covar_pop("__dp", "__dq").over(frame),
-        "__obs": F.count("__dp").over(frame),
-    }).withColumns({"__upn": F.sum("__n").over(up), "__uppv": F.sum("__pv").over(up)})
-    summed = summed.withColumns({
-        "__downn": F.sum(F.when(past, F.col("__n"))).over(down),
-        "__downpv": F.sum(F.when(past, F.col("__pv"))).over(down),
-    })
-    return summed.filter(lane == _OWN).select(
-        *rows.columns,
-        plus("n").alias("trade_volume_7day"),
-        plus("pv").alias("actual_premium_collected"),
+    entering = changes.selectExpr(
+        "__row", "__lane", "__at", "__past", "__n", "__pv", _NAME, CELL,
+        f"covar_pop(__dp, __dq) OVER {frame} AS __cov", f"count(__dp) OVER {frame} AS __obs",
+        f"sum(__n) OVER {up} AS __up_n", f"sum(__pv) OVER {up} AS __up_pv",
+    )
+    summed = entering.selectExpr(
+        "__row", "__lane", "__cov", "__obs",
+        f"coalesce(__up_n, 0) + coalesce(sum(CASE WHEN __past THEN __n END) OVER {down}, 0) AS __volume",
+        f"coalesce(__up_pv, 0e0) + coalesce(sum(CASE WHEN __past THEN __pv END) OVER {down}, 0e0) AS __premium",
+    )
+    return summed.filter(f"__lane = {_OWN}").select(
+        "__row.*", F.col("__volume").alias("trade_volume_7day"), F.col("__premium").alias("actual_premium_collected"),
         roll_spread(F.col("__cov"), F.col("__obs")).alias("bid_ask_spread_estimate"),
     )

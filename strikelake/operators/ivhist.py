@@ -12,6 +12,7 @@ PERCENTILE_DAYS = 90
 RANK_HOURS = 52 * 7 * 24
 # Centre for the squared sums: keeps the population variance stable for IVs around this level.
 _CENTRE = 50.0
+_HOUR = f"floor({epoch_seconds('timestamp')} / 3600)"
 
 
 def daily_iv_hist(rows: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def hourly_iv_moments(rows: DataFrame) -> DataFrame:
     off = iv - _CENTRE
     return (
         rows.filter(iv.isNotNull())
-        .groupBy(F.floor(epoch_seconds(F.col("timestamp")) / 3600).alias("hour"))
+        .groupBy(F.expr(f"{_HOUR} AS hour"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("s"), F.sum(off * off).alias("q"),
              F.min(iv).alias("low"), F.max(iv).alias("high"))
     )
@@ -99,7 +100,7 @@ def with_iv_rank(rows: DataFrame) -> DataFrame:
     """
     iv = F.col("implied_volatility")
     used = iv.isNotNull() & (iv != 0)
-    keyed = rows.withColumn("__hour", F.when(used, F.floor(epoch_seconds(F.col("timestamp")) / 3600)))
+    keyed = rows.withColumn("__hour", F.when(used, F.expr(_HOUR)))
     stats = iv_stats_52w(rows).withColumnRenamed("hour", "__hour")
     joined = keyed.join(F.broadcast(stats), "__hour", "left")
     return joined.select(

@@ -18,17 +18,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from strikelake.functions.timeline import WEEK_SECONDS, shifted
+from strikelake.functions.timeline import WEEK_SECONDS
 from strikelake.operators.cells import CELL, in_cells
 
 # Fixed value: hourly observations per year, the annualization of realized_vol_7day.
 ANNUALIZATION = math.sqrt(365 * 24)
 
 _HEAD, _VOL, _OLD, _OWN, _NEXT = 0, 1, 2, 3, 4
-_ORDER = ["timestamp", "trade_seq", "trade_id"]
-_UNBOUNDED, _NOW = Window.unboundedPreceding, Window.currentRow
+_RANK = "timestamp, trade_seq, trade_id"
+_KEY = f"currency, {CELL}"
 
 
 def sample_stddev(n: Column, total: Column, squares: Column) -> Column:
@@ -37,138 +37,124 @@ def sample_stddev(n: Column, total: Column, squares: Column) -> Column:
     return F.when(n >= 2, F.sqrt(F.greatest(spread, F.lit(0.0))))
 
 
-def _log_ratio(price: Column, previous: Column) -> Column:
-    return F.when((price > 0) & (previous > 0), F.ln(F.try_divide(price, previous)))
+def _log_ratio(price: str, previous: str) -> str:
+    return f"CASE WHEN {price} > 0 AND {previous} > 0 THEN ln(try_divide({price}, {previous})) END"
 
 
 def _ledger(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None) -> DataFrame:
     """One row per (currency, cell) that has prints, with what the cell needs from other cells."""
-    within = Window.partitionBy("currency", CELL).orderBy(*_ORDER)
-    ret = _log_ratio(F.col("futures_price"), F.lag("futures_price").over(within))
-    rank = F.struct(*_ORDER)
+    previous = f"lag(futures_price) OVER (PARTITION BY {_KEY} ORDER BY {_RANK})"
     cells = (
-        in_cells(tape, "currency", F.col("timestamp"), widths)
-        .withColumn("r", ret)
+        in_cells(tape, "currency", "timestamp", widths)
+        .selectExpr("*", f"{previous} AS previous")
+        .selectExpr("*", f"{_log_ratio('futures_price', 'previous')} AS r")
         .groupBy("currency", CELL)
         .agg(
-            F.count("r").alias("n"), F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q"),
-            F.min_by("futures_price", rank).alias("first_price"),
-            F.max_by("futures_price", rank).alias("last_price"),
+            F.expr("count(r) AS n"), F.expr("sum(r) AS s"), F.expr("sum(r * r) AS q"),
+            F.expr(f"min_by(futures_price, struct({_RANK})) AS first_price"),
+            F.expr(f"max_by(futures_price, struct({_RANK})) AS last_price"),
         )
     )
     readings = (
-        in_cells(vol_index.select("currency", "timestamp", "volatility_value"), "currency",
-                 F.col("timestamp"), widths)
-        .groupBy("currency", CELL).agg(F.max_by("volatility_value", "timestamp").alias("last_vol"))
-    )
-    by_cell = Window.partitionBy("currency").orderBy(CELL)
-    from_end = Window.partitionBy("currency").orderBy(F.col(CELL).desc())
-    before = by_cell.rowsBetween(_UNBOUNDED, -1)
-    whole = by_cell.rangeBetween(-(WEEK_SECONDS - 1), -1)
-    week_before = by_cell.rangeBetween(_UNBOUNDED, -(WEEK_SECONDS + 1))
-    week_after = from_end.rangeBetween(_UNBOUNDED, -(WEEK_SECONDS + 1))
-    joined = cells.join(readings, ["currency", CELL], "full_outer").withColumn(
-        "head_price", F.last("last_price", ignorenulls=True).over(before)
+        in_cells(vol_index.select("currency", "timestamp", "volatility_value"), "currency", "timestamp", widths)
+        .groupBy("currency", CELL).agg(F.expr("max_by(volatility_value, timestamp) AS last_vol"))
     )
+    by_cell = f"PARTITION BY currency ORDER BY {CELL}"
+    before = f"({by_cell} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    whole = f"({by_cell} RANGE BETWEEN {WEEK_SECONDS - 1} PRECEDING AND 1 PRECEDING)"
+    week_before = f"({by_cell} RANGE BETWEEN UNBOUNDED PRECEDING AND {WEEK_SECONDS + 1} PRECEDING)"
+    week_after = f"({by_cell} DESC RANGE BETWEEN UNBOUNDED PRECEDING AND {WEEK_SECONDS + 1} PRECEDING)"
     # The first return of a cell reaches back to the previous one.
-    edge = _log_ratio(F.col("first_price"), F.col("head_price"))
-    complete = joined.withColumn("edge", edge).withColumns({
-        "n": F.coalesce("n", F.lit(0)) + F.when(F.col("edge").isNotNull(), 1).otherwise(0),
-        "s": F.coalesce("s", F.lit(0.0)) + F.coalesce("edge", F.lit(0.0)),
-        "q": F.coalesce("q", F.lit(0.0)) + F.coalesce(F.col("edge") * F.col("edge"), F.lit(0.0)),
-    })
     return (
-        complete.withColumns({
-            "head_vol": F.last("last_vol", ignorenulls=True).over(before),
-            "head_n": F.sum("n").over(whole),
-            "head_s": F.sum("s").over(whole),
-            "head_q": F.sum("q").over(whole),
-            "head_old": F.last("last_price", ignorenulls=True).over(week_before),
-            "head_next": F.last("first_price", ignorenulls=True).over(week_after),
-        })
-        .filter(F.col("first_price").isNotNull())
-        .select("currency", CELL, "head_price", "head_vol", "head_n", "head_s", "head_q", "head_old", "head_next")
+        cells.join(readings, ["currency", CELL], "full_outer")
+        .selectExpr("*", f"last(last_price) IGNORE NULLS OVER {before} AS head_price")
+        .selectExpr("*", f"{_log_ratio('first_price', 'head_price')} AS edge")
+        .selectExpr(
+            "currency", CELL, "head_price", "first_price", "last_price", "last_vol",
+            "coalesce(n, 0) + CASE WHEN edge IS NULL THEN 0 ELSE 1 END AS n",
+            "coalesce(s, 0e0) + coalesce(edge, 0e0) AS s",
+            "coalesce(q, 0e0) + coalesce(edge * edge, 0e0) AS q",
+        )
+        .selectExpr(
+            "currency", CELL, "head_price", "first_price",
+            f"last(last_vol) IGNORE NULLS OVER {before} AS head_vol",
+            f"sum(n) OVER {whole} AS head_n", f"sum(s) OVER {whole} AS head_s", f"sum(q) OVER {whole} AS head_q",
+            f"last(last_price) IGNORE NULLS OVER {week_before} AS head_old",
+            f"last(first_price) IGNORE NULLS OVER {week_after} AS head_next",
+        )
+        .filter("first_price IS NOT NULL").drop("first_price")
     )
 
 
-def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None) -> DataFrame:
+def _case(**by_lane: str) -> str:
+    codes = {"head": _HEAD, "vol": _VOL, "old": _OLD, "own": _OWN, "next": _NEXT}
+    return "CASE __lane " + " ".join(f"WHEN {codes[n]} THEN {v}" for n, v in by_lane.items()) + " END"
+
+
+def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None,
+                 tape: DataFrame | None = None) -> DataFrame:
     """Add log_return, realized_vol_7day, exchange_realized_vol and forward_futures_price.
 
     ``rows`` must have currency, timestamp, trade_seq, trade_id and a non-null futures_price. Order within
     a currency is (timestamp, trade_seq, trade_id); the 7-day frame is inclusive and counts peers.
+    ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again.
     """
-    tape = rows.select("currency", *_ORDER, "futures_price")
-    shifts = F.explode(F.array(
-        F.struct(F.lit(_OLD).alias("lane"), shifted(F.col("timestamp"), WEEK_SECONDS).alias("at")),
-        F.struct(F.lit(_NEXT).alias("lane"), shifted(F.col("timestamp"), -WEEK_SECONDS).alias("at")),
-    ))
+    tape = (rows if tape is None else tape).select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
+    week = f"INTERVAL {WEEK_SECONDS} SECONDS"
     echoes = in_cells(
-        tape.select("currency", shifts.alias("e"), F.col("trade_seq").alias("__seq"),
-                    F.col("trade_id").alias("__id"), F.col("futures_price").alias("__price"))
-        .select("currency", F.col("e.lane").alias("__lane"), F.col("e.at").alias("__at"),
-                "__seq", "__id", "__price"),
-        "currency", F.col("__at"), widths,
-    )
+        tape.selectExpr(
+            "currency", "trade_seq AS __seq", "trade_id AS __id", "futures_price AS __price",
+            f"inline(array(struct({_OLD} AS __lane, timestamp + {week} AS __at), "
+            f"struct({_NEXT} AS __lane, timestamp - {week} AS __at)))",
+        ), "currency", "__at", widths)
     readings = in_cells(
-        vol_index.select("currency", F.lit(_VOL).alias("__lane"), F.col("timestamp").alias("__at"),
-                         F.col("volatility_value").alias("__vol")),
-        "currency", F.col("__at"), widths,
-    )
-    heads = _ledger(tape, vol_index, widths).withColumn("__lane", F.lit(_HEAD))
-    own = in_cells(rows, "currency", F.col("timestamp"), widths).withColumns({
-        "__lane": F.lit(_OWN), "__at": F.col("timestamp"), "__seq": F.col("trade_seq"),
-        "__id": F.col("trade_id"), "__price": F.col("futures_price"),
-    })
+        vol_index.selectExpr("currency", f"{_VOL} AS __lane", "timestamp AS __at", "volatility_value AS __vol"),
+        "currency", "__at", widths)
+    heads = _ledger(tape, vol_index, widths).selectExpr("*", f"{_HEAD} AS __lane")
+    # The caller's columns travel as one struct: helper rows then carry one NULL, and every operator
+    # below copies one field instead of dozens.
+    own = in_cells(rows.selectExpr(
+        "currency", f"{_OWN} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id",
+        "futures_price AS __price", f"struct({', '.join(rows.columns)}) AS __row",
+    ), "currency", "__at", widths)
     lanes = own
     for extra in (echoes, readings, heads):
         lanes = lanes.unionByName(extra, allowMissingColumns=True)
 
-    lane, price = F.col("__lane"), F.col("__price")
-    key = ["currency", CELL]
-    up = Window.partitionBy(*key).orderBy(
-        F.col("__at").asc_nulls_first(), F.col("__lane").asc(), F.col("__seq").asc(), F.col("__id").asc())
-    down = Window.partitionBy(*key).orderBy(
-        F.col("__at").desc_nulls_first(), F.col("__lane").desc(), F.col("__seq").desc(), F.col("__id").desc())
-    up_peers = Window.partitionBy(*key).orderBy(F.col("__at").asc_nulls_first()).rangeBetween(_UNBOUNDED, _NOW)
-    down_peers = Window.partitionBy(*key).orderBy(F.col("__at").desc_nulls_first()).rangeBetween(_UNBOUNDED, _NOW)
-    earlier, so_far = up.rowsBetween(_UNBOUNDED, -1), up.rowsBetween(_UNBOUNDED, _NOW)
-
-    def pick(**by_lane: Column) -> Column:
-        codes = {"head": _HEAD, "vol": _VOL, "old": _OLD, "own": _OWN, "next": _NEXT}
-        out = None
-        for name, value in by_lane.items():
-            test = lane == codes[name]
-            out = F.when(test, value) if out is None else out.when(test, value)
-        return out
-
-    own_prev = F.last(pick(head=F.col("head_price"), own=price), ignorenulls=True).over(earlier)
-    old_prev = F.last(pick(head=F.col("head_old"), old=price), ignorenulls=True).over(earlier)
-    vol_now = F.last(pick(head=F.col("head_vol"), vol=F.col("__vol")), ignorenulls=True).over(so_far)
-    r = F.col("__r")
-    one = F.when(r.isNotNull(), 1).otherwise(0)
-    entering = {
-        "n": F.sum(pick(head=F.col("head_n"), own=one)),
-        "s": F.sum(pick(head=F.col("head_s"), own=r)),
-        "q": F.sum(pick(head=F.col("head_q"), own=r * r)),
-    }
-    leaving = {"n": F.sum(pick(old=one)), "s": F.sum(pick(old=r)), "q": F.sum(pick(old=r * r))}
-
-    stepped = lanes.withColumns({"__p": own_prev, "__o": old_prev, "__v": vol_now}).withColumn(
-        "__r", pick(own=_log_ratio(price, F.col("__p")), old=_log_ratio(price, F.col("__o"))))
-    summed = stepped.withColumns({f"__up_{k}": v.over(up_peers) for k, v in entering.items()})
-    summed = summed.withColumn(
-        "__f", F.last(pick(head=F.col("head_next"), next=price), ignorenulls=True)
-        .over(down.rowsBetween(_UNBOUNDED, _NOW)))
-    summed = summed.withColumns({f"__down_{k}": v.over(down_peers) for k, v in leaving.items()})
-
-    def both(k: str, zero) -> Column:
-        return F.coalesce(F.col(f"__up_{k}"), F.lit(zero)) + F.coalesce(F.col(f"__down_{k}"), F.lit(zero))
-
-    vol = sample_stddev(both("n", 0), both("s", 0.0), both("q", 0.0)) * ANNUALIZATION
-    return summed.filter(lane == _OWN).select(
-        *rows.columns,
-        r.alias("log_return"),
-        vol.alias("realized_vol_7day"),
-        F.col("__v").alias("exchange_realized_vol"),
-        F.col("__f").alias("forward_futures_price"),
+    up = f"PARTITION BY {_KEY} ORDER BY __at ASC NULLS FIRST, __lane, __seq, __id"
+    down = f"PARTITION BY {_KEY} ORDER BY __at DESC NULLS FIRST, __lane DESC, __seq DESC, __id DESC"
+    earlier = f"({up} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    so_far = f"({up} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    later = f"({down} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    peers = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    up_peers = f"(PARTITION BY {_KEY} ORDER BY __at ASC NULLS FIRST {peers})"
+    down_peers = f"(PARTITION BY {_KEY} ORDER BY __at DESC NULLS FIRST {peers})"
+    one = "CASE WHEN __r IS NULL THEN 0 ELSE 1 END"
+
+    stepped = lanes.selectExpr(
+        "*",
+        f"last({_case(head='head_price', own='__price')}) IGNORE NULLS OVER {earlier} AS __p",
+        f"last({_case(head='head_old', old='__price')}) IGNORE NULLS OVER {earlier} AS __o",
+        f"last({_case(head='head_vol', vol='__vol')}) IGNORE NULLS OVER {so_far} AS __v",
+    ).selectExpr("*", f"{_case(own=_log_ratio('__price', '__p'), old=_log_ratio('__price', '__o'))} AS __r")
+    kept = ["__row", "__lane", "__at", "__seq", "__id", "__price", "__r", "__v", "currency", CELL]
+    entering = stepped.selectExpr(
+        *kept, "head_next",
+        f"sum({_case(head='head_n', own=one)}) OVER {up_peers} AS __up_n",
+        f"sum({_case(head='head_s', own='__r')}) OVER {up_peers} AS __up_s",
+        f"sum({_case(head='head_q', own='__r * __r')}) OVER {up_peers} AS __up_q",
+    )
+    summed = entering.selectExpr(
+        *kept, "__up_n", "__up_s", "__up_q",
+        f"last({_case(head='head_next', next='__price')}) IGNORE NULLS OVER {later} AS __f",
+    ).selectExpr(
+        "__row", "__lane", "__r", "__v", "__f",
+        f"coalesce(__up_n, 0) + coalesce(sum({_case(old=one)}) OVER {down_peers}, 0) AS __n",
+        f"coalesce(__up_s, 0e0) + coalesce(sum({_case(old='__r')}) OVER {down_peers}, 0e0) AS __s",
+        f"coalesce(__up_q, 0e0) + coalesce(sum({_case(old='__r * __r')}) OVER {down_peers}, 0e0) AS __q",
+    )
+    vol = sample_stddev(F.col("__n"), F.col("__s"), F.col("__q")) * ANNUALIZATION
+    return summed.filter(f"__lane = {_OWN}").select(
+        "__row.*", F.col("__r").alias("log_return"), vol.alias("realized_vol_7day"),
+        F.col("__v").alias("exchange_realized_vol"), F.col("__f").alias("forward_futures_price"),
     )

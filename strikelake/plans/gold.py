@@ -83,7 +83,7 @@ def gold(silver: DataFrame, settlements: DataFrame | None = None, vol_index: Dat
     rows = has_forward(with_currency(silver))
     by_currency = measure_cells([rows], "currency", max_rows=max_rows_per_cell)
     by_instrument = measure_cells([rows], "instrument_name", max_rows=max_rows_per_cell)
-    state = with_iv_percentile(market_state(rows, vol_index, by_currency), history=rows, strict_past=strict_past)
+    state = with_iv_percentile(market_state(rows, vol_index, by_currency, tape=rows), history=rows, strict_past=strict_past)
     flowed = trade_flow(state, by_instrument, tape=rows)
     scored = with_outcomes(with_settlement(with_execution_quality(flowed), settlements))
     iv = F.col("implied_volatility")

@@ -16,7 +16,7 @@ from strikelake.plans import gold as gold_plan
 from strikelake.plans import silver as silver_plan
 from strikelake.queries import tape
 from strikelake.queries.reference_sql import GOLD_SQL, SILVER_SQL, d1_sql, greeks_sql, price_fraction_sql
-from strikelake.queries.registry import gold, query, rounded, silver
+from strikelake.queries.registry import futures, gold, options, query, rounded, silver
 from strikelake.queries.tape import TAPE_SQL
 from strikelake.schemas import GOLD_COLUMNS
 from strikelake.sources.bronze import dedupe_trades, merge_trades
@@ -84,7 +84,7 @@ def parsed(spark, sf_dir):
 def merged(spark, sf_dir):
     """Buys are stored already; a full re-fetch arrives."""
     columns = ["instrument_name", "trade_seq", "trade_id", "price"]
-    trades = tape.option_trades(spark, sf_dir)
+    trades = options(spark, sf_dir)
     stored = trades.filter("direction = 'buy'").select(*columns, F.lit("stored").alias("origin"))
     return merge_trades(stored, trades.select(*columns, F.lit("new").alias("origin")))
 
@@ -92,7 +92,7 @@ def merged(spark, sf_dir):
 @query("dedupe_trades", _bronze("""
   SELECT instrument_name, trade_seq, trade_id, timestamp, price FROM bronze"""))
 def deduped(spark, sf_dir):
-    trades = tape.option_trades(spark, sf_dir).select(
+    trades = options(spark, sf_dir).select(
         "instrument_name", "trade_seq", "trade_id", "timestamp", "price")
     later = trades.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(secs=F.lit(1)))
     return dedupe_trades(trades.unionByName(later))
@@ -111,7 +111,7 @@ def inventory(spark, sf_dir):
     max(timestamp) AS last_trade, min(trade_seq) AS min_seq, max(trade_seq) AS max_seq
   FROM bronze GROUP BY 1"""))
 def stats(spark, sf_dir):
-    return quality.tape_stats(tape.option_trades(spark, sf_dir))
+    return quality.tape_stats(options(spark, sf_dir))
 
 
 @query("seq_gaps", _bronze("""
@@ -120,20 +120,20 @@ def stats(spark, sf_dir):
           lead(trade_seq) OVER (PARTITION BY instrument_name ORDER BY trade_seq) AS following FROM bronze)
   WHERE following - trade_seq > 1"""))
 def gaps(spark, sf_dir):
-    return quality.seq_gaps(tape.option_trades(spark, sf_dir))
+    return quality.seq_gaps(options(spark, sf_dir))
 
 
 @query("missing_instruments", _bronze("""
   SELECT DISTINCT o.future_name AS instrument_name FROM bronze o
   WHERE o.future_name NOT IN (SELECT instrument_name FROM futures WHERE index_price > 48000)"""))
 def missing(spark, sf_dir):
-    wanted = quality.required_futures(tape.option_trades(spark, sf_dir)).toDF("instrument_name")
-    return quality.missing_instruments(wanted, tape.futures_trades(spark, sf_dir).filter("index_price > 48000"))
+    wanted = quality.required_futures(options(spark, sf_dir)).toDF("instrument_name")
+    return quality.missing_instruments(wanted, futures(spark, sf_dir).filter("index_price > 48000"))
 
 
 @query("required_futures", _bronze("SELECT DISTINCT future_name FROM bronze ORDER BY 1"))
 def futures_needed(spark, sf_dir):
-    return quality.required_futures(tape.option_trades(spark, sf_dir))
+    return quality.required_futures(options(spark, sf_dir))
 
 
 @query("instrument_universe", _bronze("""
@@ -141,7 +141,7 @@ def futures_needed(spark, sf_dir):
   WHERE expiration_timestamp <= TIMESTAMP '2024-02-02 08:00:00'
     AND expiration_timestamp >= TIMESTAMP '2024-01-20 00:00:00'"""))
 def universe(spark, sf_dir):
-    master = tape.option_trades(spark, sf_dir).select(
+    master = options(spark, sf_dir).select(
         "instrument_name", F.lit("option").alias("kind"), "expiration_timestamp").distinct()
     return quality.instrument_universe(
         master, "option", expired_at="2024-02-02 08:00:00", min_expiry="2024-01-20 00:00:00").drop("kind")
@@ -158,7 +158,7 @@ def settlement_range(spark, sf_dir):
 @query("silver_asof_forward", _silver("SELECT trade_id, instrument_name, futures_price FROM silver"))
 def silver_asof_forward(spark, sf_dir):
     return silver_plan.with_forward_price(
-        tape.option_trades(spark, sf_dir), tape.futures_trades(spark, sf_dir)
+        options(spark, sf_dir), futures(spark, sf_dir)
     ).select("trade_id", "instrument_name", "futures_price")
 
 
@@ -176,7 +176,7 @@ def silver_greeks(spark, sf_dir):
   SELECT trade_id, round(delta, 6) AS delta, round(gamma, 10) AS gamma, round(vega, 6) AS vega,
     round(theta, 6) AS theta FROM spot""")
 def spot_greeks(spark, sf_dir):
-    return rounded(silver_plan.spot_greeks(tape.option_trades(spark, sf_dir)).select(
+    return rounded(silver_plan.spot_greeks(options(spark, sf_dir)).select(
         "trade_id", "delta", "gamma", "vega", "theta"), delta=6, gamma=10, vega=6, theta=6)
 
 
@@ -185,7 +185,7 @@ def spot_greeks(spark, sf_dir):
   SELECT trade_id, round({price_fraction_sql('index_price')}, 8) AS price_fraction FROM spot_d1
   WHERE implied_volatility IS NOT NULL""")
 def black76_price(spark, sf_dir):
-    trades = tape.option_trades(spark, sf_dir).filter(F.col("implied_volatility").isNotNull())
+    trades = options(spark, sf_dir).filter(F.col("implied_volatility").isNotNull())
     fraction = pricing.black76_price_fraction(
         F.col("index_price"), F.col("strike"), F.col("time_to_expiry_years"),
         metrics.iv_decimal(F.col("implied_volatility")), F.col("option_type"))

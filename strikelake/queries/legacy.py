@@ -11,7 +11,7 @@ from strikelake.plans import legacy
 from strikelake.plans.gold import with_currency, with_settlement
 from strikelake.queries import tape
 from strikelake.queries.reference_sql import d1_sql, greeks_sql, price_fraction_sql
-from strikelake.queries.registry import query, rounded
+from strikelake.queries.registry import options, query, rounded
 from strikelake.queries.tape import TAPE_SQL
 
 _SCENARIOS = ", ".join(f"({m}e0, {p}e0)" for m, p in STRESS_SCENARIOS)
@@ -101,28 +101,28 @@ _FULL = ["trade_id", *legacy.ADDED_COLUMNS]
 
 @query("moneyness", _select(*_MONEY))
 def moneyness(spark, sf_dir):
-    trades = with_currency(tape.option_trades(spark, sf_dir))
+    trades = with_currency(options(spark, sf_dir))
     settled = with_settlement(trades, tape.settlements(spark, sf_dir), out="delivery_price")
     return _pick(legacy.with_moneyness(settled), *_MONEY)
 
 
 @query("premium_yield", _select("trade_id", "annualized_premium_yield"))
 def premium_yield(spark, sf_dir):
-    return _pick(legacy.with_premium_yield(tape.option_trades(spark, sf_dir)), "trade_id", "annualized_premium_yield")
+    return _pick(legacy.with_premium_yield(options(spark, sf_dir)), "trade_id", "annualized_premium_yield")
 
 
 @query("iv_rank_52w", _select(*_RANK))
 def iv_rank(spark, sf_dir):
-    return _pick(with_iv_rank(tape.option_trades(spark, sf_dir)), *_RANK)
+    return _pick(with_iv_rank(options(spark, sf_dir)), *_RANK)
 
 
 @query("stress_ev", _select(*_STRESS))
 def stress_ev(spark, sf_dir):
-    trades = tape.option_trades(spark, sf_dir)
+    trades = options(spark, sf_dir)
     return _pick(metrics.with_stress_ev(
         trades, F.col("price"), F.col("strike"), F.col("index_price"), F.col("option_type")), *_STRESS)
 
 
 @query("legacy_enriched", _select(*_FULL))
 def legacy_enriched(spark, sf_dir):
-    return _pick(legacy.legacy_enrich(tape.option_trades(spark, sf_dir), tape.settlements(spark, sf_dir)), *_FULL)
+    return _pick(legacy.legacy_enrich(options(spark, sf_dir), tape.settlements(spark, sf_dir)), *_FULL)

@@ -38,10 +38,20 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
+def options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze option tape as a table."""
+    return tape.stored(spark, sf_dir, "option_trades", lambda: tape.option_trades(spark, sf_dir))
+
+
+def futures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze futures tape as a table."""
+    return tape.stored(spark, sf_dir, "futures_trades", lambda: tape.futures_trades(spark, sf_dir))
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver layer as a table, with its currency."""
     return tape.stored(spark, sf_dir, "silver", lambda: gold_plan.with_currency(
-        silver_plan.silver(tape.option_trades(spark, sf_dir), tape.futures_trades(spark, sf_dir))))
+        silver_plan.silver(options(spark, sf_dir), futures(spark, sf_dir))))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
