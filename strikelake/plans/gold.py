@@ -83,8 +83,11 @@ def gold(silver: DataFrame, settlements: DataFrame | None = None, vol_index: Dat
     rows = has_forward(with_currency(silver))
     by_currency = measure_cells([rows], "currency", max_rows=max_rows_per_cell)
     by_instrument = measure_cells([rows], "instrument_name", max_rows=max_rows_per_cell)
-    state = with_iv_percentile(market_state(rows, vol_index, by_currency, tape=rows), history=rows, strict_past=strict_past)
-    flowed = trade_flow(state, by_instrument, tape=rows)
+    # log_return is not a gold column; dropped here so that every field carried below is used, which keeps
+    # the optimizer from unpacking the carried struct into single columns.
+    state = market_state(rows, vol_index, by_currency, tape=rows).drop("log_return")
+    ranked = with_iv_percentile(state, history=rows, strict_past=strict_past)
+    flowed = trade_flow(ranked, by_instrument, tape=rows)
     scored = with_outcomes(with_settlement(with_execution_quality(flowed), settlements))
     iv = F.col("implied_volatility")
     return scored.withColumns({

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from strikelake import schemas
 from strikelake.functions.instruments import time_to_expiry_years, with_terms
@@ -40,7 +41,7 @@ def ingest_trade_json(spark: SparkSession, path: str | list[str]) -> tuple[DataF
 
 def split_trade_json(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """As :func:`ingest_trade_json`, for a frame (batch or streaming) with the raw line in ``value``."""
-    schema = schemas.API_TRADE.add("_bad", "string")
+    schema = T.StructType([*schemas.API_TRADE, T.StructField("_bad", T.StringType())])
     trade = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     parsed = lines.filter(F.length(F.trim("value")) > 0).select("value", trade.alias("t"))
     complete = F.lit(True)
