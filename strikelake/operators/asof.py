@@ -11,9 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from strikelake.operators.cells import CELL, in_cells, in_cells_between
+from strikelake.operators.cells import CELL, ROW, in_cells, in_cells_between, packed, unpacked
 
-_AT, _SIDE, _HIT, _ROW = "__at", "__side", "__hit", "__row"
+_AT, _SIDE, _HIT = "__at", "__side", "__hit"
 
 
 def asof_join(
@@ -43,10 +43,8 @@ def asof_join(
         by, f"{right_at} AS {_AT}", f"0 AS {_SIDE}", *[f"{c} AS {t}" for c, t in zip(tie, ties)],
         f"named_struct({fields}) AS {_HIT}",
     )
-    # Left columns travel as one struct: right rows carry one NULL for them.
-    lefts = in_cells(left.selectExpr(
-        by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", f"struct({', '.join(left.columns)}) AS {_ROW}",
-    ), by, _AT, widths)
+    lefts = in_cells(
+        left.selectExpr(by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", packed(left, by)), by, _AT, widths)
 
     if tolerance_seconds is not None:
         reach = f"{_AT} {'+' if backward else '-'} INTERVAL {tolerance_seconds} SECONDS"
@@ -61,7 +59,7 @@ def asof_join(
     way = "ASC" if backward else "DESC"
     order = ", ".join([f"{_AT} {way} NULLS FIRST", _SIDE, *[f"{t} {way}" for t in ties]])
     matched = lefts.unionByName(rights, allowMissingColumns=True).selectExpr(
-        _ROW, _AT, _SIDE,
+        by, ROW, _AT, _SIDE,
         f"last({_HIT}) IGNORE NULLS OVER (PARTITION BY {by}, {CELL} ORDER BY {order} "
         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {_HIT}",
     ).filter(f"{_SIDE} = 1")
@@ -70,7 +68,7 @@ def asof_join(
         test = f">= {_AT} -" if backward else f"<= {_AT} +"
         near = f"{_HIT}.at {test} INTERVAL {tolerance_seconds} SECONDS"
     return matched.selectExpr(
-        f"{_ROW}.*", *[f"CASE WHEN {near} THEN {_HIT}.{o} END AS {o}" for o in take.values()])
+        *unpacked(left, by), *[f"CASE WHEN {near} THEN {_HIT}.{o} END AS {o}" for o in take.values()])
 
 
 def _carries(lefts: DataFrame, placed: DataFrame, by: str, ties: list[str], backward: bool) -> DataFrame:
@@ -103,13 +101,14 @@ def previous_row(rows: DataFrame, by: str, order: Sequence[str], take: dict[str,
     fields = ", ".join(f"'{o}', {c}" for c, o in take.items())
     sequence = ", ".join(order)
     placed = in_cells(rows.selectExpr(
-        by, *order, f"1 AS {_SIDE}", f"named_struct({fields}) AS {_HIT}", f"struct({', '.join(rows.columns)}) AS {_ROW}",
+        by, *order, f"1 AS {_SIDE}", f"named_struct({fields}) AS {_HIT}", packed(rows, by),
     ), by, order[0], widths)
     ledger = placed.groupBy(by, CELL).agg(F.expr(f"max_by({_HIT}, struct({sequence}))").alias("__edge"))
     heads = ledger.selectExpr(
         by, CELL, f"0 AS {_SIDE}", f"lag(__edge) OVER (PARTITION BY {by} ORDER BY {CELL}) AS {_HIT}",
     ).filter(f"{_HIT} IS NOT NULL")
     return placed.unionByName(heads, allowMissingColumns=True).selectExpr(
-        _ROW, _SIDE,
+        by, ROW, _SIDE,
         f"lag({_HIT}) OVER (PARTITION BY {by}, {CELL} ORDER BY {_SIDE}, {sequence}) AS __previous",
-    ).filter(f"{_SIDE} = 1").selectExpr(f"{_ROW}.*", *[f"__previous.{o} AS {o}" for o in take.values()])
+    ).filter(f"{_SIDE} = 1").selectExpr(
+        *unpacked(rows, by), *[f"__previous.{o} AS {o}" for o in take.values()])

@@ -25,7 +25,7 @@ from strikelake.sources.storage import as_table
 CELL_WIDTHS = [WEEK_SECONDS, 86_400, 3_600, 600, 60]
 MAX_ROWS_PER_CELL = 2_000_000
 
-CELL = "__cell"
+CELL, ROW = "__cell", "__row"
 _WIDTH = "__width"
 
 
@@ -78,3 +78,17 @@ def in_cells_between(df: DataFrame, by: str, start: str, stop: str, widths: Data
     located, width = _located(df, by, widths)
     spans = f"explode(sequence({_start(start, width)}, {_start(stop, width)}, {width})) AS {CELL}"
     return located.selectExpr(*df.columns, spans)
+
+
+def packed(df: DataFrame, by: str) -> str:
+    """SQL text of a struct holding every column but the key.
+
+    Carried through windows and unions as one field: helper rows then hold one NULL instead of dozens, and
+    operators copy one field. Every field should be used afterwards, or the optimizer unpacks the struct.
+    """
+    return f"struct({', '.join(c for c in df.columns if c != by)}) AS {ROW}"
+
+
+def unpacked(df: DataFrame, by: str) -> list[str]:
+    """Select list restoring the columns of ``df`` from its packed form, in order."""
+    return [c if c == by else f"{ROW}.{c}" for c in df.columns]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.metrics import roll_spread
 from strikelake.functions.timeline import WEEK_SECONDS
-from strikelake.operators.cells import CELL, in_cells
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, unpacked
 
 # Fixed value: the covariance frame is the current print and the 20 before it.
 FRAME_PRECEDING = 20
@@ -65,10 +65,9 @@ def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame
         tape.selectExpr(_NAME, f"{_OLD} AS __lane", f"timestamp + INTERVAL {WEEK_SECONDS} SECONDS AS __at",
                         "1L AS __n", "price * amount AS __pv"),
         _NAME, "__at", widths)
-    # The caller's columns travel as one struct (see market.py).
     own = in_cells(rows.selectExpr(
         _NAME, f"{_OWN} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id",
-        "price AS __price", "1L AS __n", "price * amount AS __pv", f"struct({', '.join(rows.columns)}) AS __row",
+        "price AS __price", "1L AS __n", "price * amount AS __pv", packed(rows, _NAME),
     ), _NAME, "__at", widths)
     lanes = own
     for extra in (old, _heads(placed), _halos(placed)):
@@ -86,16 +85,16 @@ def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame
     ).selectExpr("*", "__price - __l1 AS __dp", "__l1 - __l2 AS __dq")
     # Helper rows of the halo carry no volume, so they leave the running sums alone.
     entering = changes.selectExpr(
-        "__row", "__lane", "__at", "__past", "__n", "__pv", _NAME, CELL,
+        ROW, "__lane", "__at", "__past", "__n", "__pv", _NAME, CELL,
         f"covar_pop(__dp, __dq) OVER {frame} AS __cov", f"count(__dp) OVER {frame} AS __obs",
         f"sum(__n) OVER {up} AS __up_n", f"sum(__pv) OVER {up} AS __up_pv",
     )
     summed = entering.selectExpr(
-        "__row", "__lane", "__cov", "__obs",
+        _NAME, ROW, "__lane", "__cov", "__obs",
         f"coalesce(__up_n, 0) + coalesce(sum(CASE WHEN __past THEN __n END) OVER {down}, 0) AS __volume",
         f"coalesce(__up_pv, 0e0) + coalesce(sum(CASE WHEN __past THEN __pv END) OVER {down}, 0e0) AS __premium",
     )
     return summed.filter(f"__lane = {_OWN}").select(
-        "__row.*", F.col("__volume").alias("trade_volume_7day"), F.col("__premium").alias("actual_premium_collected"),
+        *unpacked(rows, _NAME), F.col("__volume").alias("trade_volume_7day"), F.col("__premium").alias("actual_premium_collected"),
         roll_spread(F.col("__cov"), F.col("__obs")).alias("bid_ask_spread_estimate"),
     )

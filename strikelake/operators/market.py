@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strikelake.functions.timeline import WEEK_SECONDS
-from strikelake.operators.cells import CELL, in_cells
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, unpacked
 
 # Fixed value: hourly observations per year, the annualization of realized_vol_7day.
 ANNUALIZATION = math.sqrt(365 * 24)
@@ -111,11 +111,9 @@ def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None
         vol_index.selectExpr("currency", f"{_VOL} AS __lane", "timestamp AS __at", "volatility_value AS __vol"),
         "currency", "__at", widths)
     heads = _ledger(tape, vol_index, widths).selectExpr("*", f"{_HEAD} AS __lane")
-    # The caller's columns travel as one struct: helper rows then carry one NULL, and every operator
-    # below copies one field instead of dozens.
     own = in_cells(rows.selectExpr(
         "currency", f"{_OWN} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id",
-        "futures_price AS __price", f"struct({', '.join(rows.columns)}) AS __row",
+        "futures_price AS __price", packed(rows, "currency"),
     ), "currency", "__at", widths)
     lanes = own
     for extra in (echoes, readings, heads):
@@ -137,7 +135,7 @@ def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None
         f"last({_case(head='head_old', old='__price')}) IGNORE NULLS OVER {earlier} AS __o",
         f"last({_case(head='head_vol', vol='__vol')}) IGNORE NULLS OVER {so_far} AS __v",
     ).selectExpr("*", f"{_case(own=_log_ratio('__price', '__p'), old=_log_ratio('__price', '__o'))} AS __r")
-    kept = ["__row", "__lane", "__at", "__seq", "__id", "__price", "__r", "__v", "currency", CELL]
+    kept = [ROW, "__lane", "__at", "__seq", "__id", "__price", "__r", "__v", "currency", CELL]
     entering = stepped.selectExpr(
         *kept, "head_next",
         f"sum({_case(head='head_n', own=one)}) OVER {up_peers} AS __up_n",
@@ -148,13 +146,13 @@ def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None
         *kept, "__up_n", "__up_s", "__up_q",
         f"last({_case(head='head_next', next='__price')}) IGNORE NULLS OVER {later} AS __f",
     ).selectExpr(
-        "__row", "__lane", "__r", "__v", "__f",
+        "currency", ROW, "__lane", "__r", "__v", "__f",
         f"coalesce(__up_n, 0) + coalesce(sum({_case(old=one)}) OVER {down_peers}, 0) AS __n",
         f"coalesce(__up_s, 0e0) + coalesce(sum({_case(old='__r')}) OVER {down_peers}, 0e0) AS __s",
         f"coalesce(__up_q, 0e0) + coalesce(sum({_case(old='__r * __r')}) OVER {down_peers}, 0e0) AS __q",
     )
     vol = sample_stddev(F.col("__n"), F.col("__s"), F.col("__q")) * ANNUALIZATION
     return summed.filter(f"__lane = {_OWN}").select(
-        "__row.*", F.col("__r").alias("log_return"), vol.alias("realized_vol_7day"),
+        *unpacked(rows, "currency"), F.col("__r").alias("log_return"), vol.alias("realized_vol_7day"),
         F.col("__v").alias("exchange_realized_vol"), F.col("__f").alias("forward_futures_price"),
     )

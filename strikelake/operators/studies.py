@@ -107,8 +107,10 @@ def tertile_stats(returns: DataFrame, value: str = "iv_percentile") -> DataFrame
 def premium_corr(returns: DataFrame) -> DataFrame:
     """Pearson correlation of IV percentile and premium share; NULL without variance."""
     known = returns.filter(F.col("iv_percentile").isNotNull())
-    r = F.corr("iv_percentile", "premium_pct")
-    return known.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.nanvl(r, F.lit(None).cast("double")).alias("r"))
+    # Not F.corr: it divides by zero under ANSI mode when a side is constant.
+    spread = F.sqrt(F.var_pop("iv_percentile") * F.var_pop("premium_pct"))
+    r = F.try_divide(F.covar_pop("iv_percentile", "premium_pct"), spread)
+    return known.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), r.alias("r"))
 
 
 def kelly(returns: DataFrame) -> DataFrame:

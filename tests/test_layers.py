@@ -157,7 +157,7 @@ def test_later_rows_do_not_change_entry_columns(spark):
 
 def api_trade(seq, ts=1717200600000, name="BTC-1JUL24-50000-C", **over):
     t = dict(trade_seq=seq, trade_id=f"t{seq}", timestamp=ts, tick_direction=1, price=0.05, mark_price=0.049,
-             instrument_name=name, index_price=54000.5, direction="buy", amount=1, iv=60.5)
+             instrument_name=name, index_price=54000.5, direction="buy", amount=1.0, iv=60.5)
     t.update(over)
     return {k: v for k, v in t.items() if v != "missing"}
 
