@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strikelake.plans import gold as gold_plan
 from strikelake.plans import silver as silver_plan
 from strikelake.queries import tape
+from strikelake.session import tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +28,7 @@ def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` is a full DuckDB statement with the same columns."""
 
     def wrap(fn: Query) -> Query:
-        QUERIES[name] = Entry(fn, sql)
+        QUERIES[name] = Entry(lambda spark, sf_dir: fn(tuned(spark), sf_dir), sql)
         return fn
 
     return wrap
@@ -40,12 +41,12 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze option tape as a table."""
-    return tape.stored(spark, sf_dir, "option_trades", lambda: tape.option_trades(spark, sf_dir))
+    return tape.stored(spark, sf_dir, "option_trades", lambda: tape.spread(tape.option_trades(spark, sf_dir)))
 
 
 def futures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze futures tape as a table."""
-    return tape.stored(spark, sf_dir, "futures_trades", lambda: tape.futures_trades(spark, sf_dir))
+    return tape.stored(spark, sf_dir, "futures_trades", lambda: tape.spread(tape.futures_trades(spark, sf_dir)))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
