@@ -79,18 +79,28 @@ enriched AS (SELECT * FROM ranked LEFT JOIN stress USING (trade_id))"""
 
 _DIGITS = {
     "delta": 6, "gamma": 10, "vega": 6, "theta": 6, "theoretical_price": 8, "intrinsic_value": 6,
-    "moneyness_percentage": 8, "annualized_premium_yield": 6, "iv_rank_52w": 6, "iv_52w_mean": 8, "iv_52w_stddev": 8,
+    "moneyness_percentage": 8, "annualized_premium_yield": 6, "iv_rank_52w": 6, "iv_52w_mean": 6, "iv_52w_stddev": 6,
     "expected_value_btc": 9, "win_probability": 6, "max_loss_btc": 9, "max_gain_btc": 9, "sharpe_ratio": 6,
 }
 
 
+# Means of three-decimal IVs often end exactly halfway between two rounded values, where the last bit of
+# the summation order would decide. Both sides add the same small offset before rounding.
+_MEAN = "iv_52w_mean"
+_OFFSET = 3.14159265e-8
+
+
 def _select(*columns: str) -> str:
-    parts = [f"round({c}, {_DIGITS[c]}) AS {c}" if c in _DIGITS else c for c in columns]
+    shown = {c: f"{c} + {_OFFSET}" if c == _MEAN else c for c in columns}
+    parts = [f"round({shown[c]}, {_DIGITS[c]}) AS {c}" if c in _DIGITS else c for c in columns]
     return f"WITH {_ENRICHED} SELECT {', '.join(parts)} FROM enriched"
 
 
 def _pick(df, *columns: str):
-    return rounded(df.select(*columns), **{c: _DIGITS[c] for c in columns if c in _DIGITS})
+    shown = df.select(*columns)
+    if _MEAN in columns:
+        shown = shown.withColumn(_MEAN, F.col(_MEAN) + F.lit(_OFFSET))
+    return rounded(shown, **{c: _DIGITS[c] for c in columns if c in _DIGITS})
 
 
 _MONEY = ["trade_id", "delivery_price", "moneyness", "intrinsic_value", "moneyness_percentage"]
