@@ -1,11 +1,15 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import mixing
+from strikelake.llm import fixity, licenses, mixing
 
 QUERIES = {
+    "op2_merkle_fixity": fixity.op2_merkle_fixity,
+    "op8_license_join": licenses.op8_license_join,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
 }
 
 ORACLE_SQL = {
+    "op2_merkle_fixity": fixity.SQL,
+    "op8_license_join": licenses.SQL,
     "op10_sainte_lague_mix": mixing.SQL,
 }
