@@ -112,8 +112,11 @@ def _phrase(words: str) -> str:
 
 def _places(words: Column, parts: list[str]) -> Column:
     """Numbers of the words, from 1, at which the given words stand one after another."""
-    every = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
-    return F.filter(every, lambda i: F.slice(words, i, len(parts)) == _literal(parts))
+    def within(w: Column) -> Column:  # bound once: an expression inside the inner function would run for every place
+        every = F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)))
+        return F.filter(every, lambda i: F.slice(w, i, len(parts)) == _literal(parts))
+
+    return F.flatten(F.transform(F.array(words), within))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phrases=PHRASES) -> DataFrame:
