@@ -1,15 +1,18 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import fixity, licenses, mixing
+from strikelake.llm import decontaminate, fixity, licenses, mixing, secrets
 
 QUERIES = {
     "op2_merkle_fixity": fixity.op2_merkle_fixity,
+    "op5_randomness_secrets": secrets.op5_randomness_secrets,
+    "op6_prefix_decontaminate": decontaminate.op6_prefix_decontaminate,
     "op8_license_join": licenses.op8_license_join,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
 }
 
 ORACLE_SQL = {
     "op2_merkle_fixity": fixity.SQL,
+    "op6_prefix_decontaminate": decontaminate.SQL,
     "op8_license_join": licenses.SQL,
     "op10_sainte_lague_mix": mixing.SQL,
 }
