@@ -1,8 +1,9 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import decontaminate, fixity, licenses, mixing, secrets
+from strikelake.llm import decontaminate, fixity, licenses, mixing, quality, secrets
 
 QUERIES = {
+    "op1_crf_quality": quality.op1_crf_quality,
     "op2_merkle_fixity": fixity.op2_merkle_fixity,
     "op5_randomness_secrets": secrets.op5_randomness_secrets,
     "op6_prefix_decontaminate": decontaminate.op6_prefix_decontaminate,
