@@ -1,10 +1,11 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import decontaminate, fixity, licenses, mixing, quality, secrets
+from strikelake.llm import decontaminate, fixity, licenses, mixing, quality, secrets, tokencounts
 
 QUERIES = {
     "op1_crf_quality": quality.op1_crf_quality,
     "op2_merkle_fixity": fixity.op2_merkle_fixity,
+    "op4_offset_token_counts": tokencounts.op4_offset_token_counts,
     "op5_randomness_secrets": secrets.op5_randomness_secrets,
     "op6_prefix_decontaminate": decontaminate.op6_prefix_decontaminate,
     "op8_license_join": licenses.op8_license_join,
