@@ -114,8 +114,8 @@ def words_of(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray, lower: b
     return Words(data, start, end, np.searchsorted(start, bounds), hashes)
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(from row, to row, bytes, bounds) of a string column, whole texts of about CHUNK bytes; null texts are empty."""
+def pieces(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from row, to row, bytes, bounds) of a string column, whole texts of about ``size`` bytes; null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not pa.types.is_large_string(column.type):
@@ -130,7 +130,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     a = 0
     while a < n:
-        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + CHUNK, "right")) - 1)
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + size, "right")) - 1)
         b = min(b, n)
         yield a, b, raw[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
         a = b

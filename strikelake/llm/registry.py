@@ -1,10 +1,11 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import decontaminate, fixity, licenses, mixing, quality, secrets, tokencounts
+from strikelake.llm import decontaminate, fixity, licenses, mixing, quality, secrets, substrings, tokencounts
 
 QUERIES = {
     "op1_crf_quality": quality.op1_crf_quality,
     "op2_merkle_fixity": fixity.op2_merkle_fixity,
+    "op3_recompression_dedup": substrings.op3_recompression_dedup,
     "op4_offset_token_counts": tokencounts.op4_offset_token_counts,
     "op5_randomness_secrets": secrets.op5_randomness_secrets,
     "op6_prefix_decontaminate": decontaminate.op6_prefix_decontaminate,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_merkle_fixity": fixity.SQL,
+    "op3_recompression_dedup": substrings.SQL,
     "op6_prefix_decontaminate": decontaminate.SQL,
     "op8_license_join": licenses.SQL,
     "op10_sainte_lague_mix": mixing.SQL,
