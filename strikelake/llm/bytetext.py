@@ -47,6 +47,11 @@ class _Powers:
 _OF_BYTES, _OF_WORDS = _Powers(BASE), _Powers(WORD_BASE)
 
 
+def word_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n - 1 and more of the base of word runs, and of its inverse."""
+    return _OF_WORDS.get(n)
+
+
 def _classes(separators: bytes) -> np.ndarray:
     is_word = np.ones(256, bool)
     is_word[np.frombuffer(separators, np.uint8)] = False
