@@ -1,6 +1,6 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import bagminhash, decontaminate, fixity, licenses, mixing, quality, secrets, substrings, tokencounts
+from strikelake.llm import bagminhash, decontaminate, fixity, licenses, mixing, pqindex, quality, secrets, substrings, tokencounts
 
 QUERIES = {
     "op1_crf_quality": quality.op1_crf_quality,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_offset_token_counts": tokencounts.op4_offset_token_counts,
     "op5_randomness_secrets": secrets.op5_randomness_secrets,
     "op6_prefix_decontaminate": decontaminate.op6_prefix_decontaminate,
+    "op7_pq_near_duplicates": pqindex.op7_pq_near_duplicates,
     "op8_license_join": licenses.op8_license_join,
     "op9_bagminhash_duplicates": bagminhash.op9_bagminhash_duplicates,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
