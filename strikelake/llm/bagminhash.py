@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
         "k1", "k2", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"), "n_class"),
         "bag-found")
     out = signed.select("doc_id", "k1", "k2", "n").join(found, ["k1", "k2"], "left")
-    alone = F.col("n") == 0
+    alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     mine = lambda c: F.when(alone | F.col(c).isNull(), F.col("doc_id")).otherwise(F.col(c))
     return out.select(
         "doc_id", mine("class_id").alias("class_id"), mine("component_id").alias("component_id"),
