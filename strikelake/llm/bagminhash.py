@@ -8,8 +8,9 @@ drawn in rising order up to a limit at which all places are expected to be taken
 n + m log m draws for m places; a text with places left over draws on up to a higher limit.
 
 Signatures are banded; the members of a bucket are compared with the bucket's *leader*, the one that meets most other
-texts in all its buckets (ties: the smallest id). Texts of a bucket that are still in different components after that
-are compared pair by pair. Every link is verified on the whole texts, and components are built from verified links.
+texts in all its buckets (ties: the smallest id). Then, among all texts that share a leader (so among all that share a bucket), those still in different
+components are compared exactly, in pairs of blocks of ``BLOCK`` texts: a task holds two blocks, works out all
+intersections at once and returns the edges of a spanning forest, never the pairs. Every link is one of whole texts.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from strikelake.llm import bytetext
 from strikelake.llm.bytetext import U, mixed
-from strikelake.llm.components import components
+from strikelake.llm.components import components, forest
 from strikelake.sources.storage import as_table
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 6
 PLACES = BANDS * ROWS
+BLOCK = 128
+COLUMNS = 8192  # runs that are counted at a time
 SLACK = 6.0  # standard errors below SIMILARITY at which a signature still asks for verification
 
 
@@ -198,6 +201,61 @@ def _alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, similar: floa
         verified, "a bigint, b bigint"), "bag-links")
 
 
+def links_between(column: pa.Array, left: np.ndarray, right: np.ndarray, similar: float) -> np.ndarray:
+    """Which texts of two sets of rows of a column are similar, as a matrix, from all their runs at once."""
+    docs, runs, weights, shift = [], [], [], 0
+    for a, b, words in bytetext.words_in(column, bytetext.ALNUM, lower=True):
+        doc, run, weight = bags(*shingles(words))
+        docs.append(doc + shift)
+        runs.append(run)
+        weights.append(weight)
+        shift += b - a
+    doc, run, weight = np.concatenate(docs), np.concatenate(runs), np.concatenate(weights)
+    total = np.bincount(doc, weights=weight, minlength=shift)
+    doc, run = np.repeat(doc, weight), np.repeat(run, weight)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(weight) - weight, weight)
+    _, column_no, times = np.unique(mixed(run ^ mixed(nth.astype(U), 17), 18), return_inverse=True, return_counts=True)
+    shared = times[column_no] > 1  # a run of one text alone takes no part
+    new = np.cumsum(times > 1) - 1
+    doc, column_no = doc[shared], new[column_no[shared]]
+    order = np.argsort(column_no, kind="stable")
+    doc, column_no = doc[order], column_no[order]
+    both = np.zeros((len(left), len(right)), np.float64)
+    n = int(column_no[-1]) + 1 if len(column_no) else 0
+    for start in range(0, n, COLUMNS):
+        i, j = np.searchsorted(column_no, [start, start + COLUMNS])
+        held = np.zeros((shift, min(COLUMNS, n - start)), np.float32)
+        held[doc[i:j], column_no[i:j] - start] = 1
+        both += held[left] @ held[right].T
+    return both / np.maximum(total[left][:, None] + total[right][None, :] - both, 1) >= similar - 1e-12
+
+
+def _apart(stars: DataFrame, found: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) between texts that share a leader and are in different components so far."""
+    members = stars.select("a", F.col("b").alias("id")).unionByName(
+        stars.select("a", F.col("a").alias("id")).distinct())
+    at = as_table(members.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "a", "id", F.coalesce("component", "id").alias("c")), "bag-members")
+    open_groups = at.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter(
+        "lo < hi").select("a", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    part = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    spread = at.join(as_table(open_groups, "bag-open"), "a").withColumn("part", part).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = spread.select("a", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "id", "c")
+
+    def meet(table: pa.Table) -> pa.Table:
+        part, ids, c = (table.column(n).to_numpy() for n in ("part", "id", "c"))
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        left, right = np.flatnonzero(part == x), np.flatnonzero(part == y)
+        edges = []
+        if len(left) and len(right) and (c != c[0]).any():
+            linked = links_between(table.column("text").combine_chunks(), left, right, similar)
+            edges = forest(linked & (c[left][:, None] != c[right][None, :]), ids[left], ids[right])
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+    return as_table(rows.join(texts, "id").groupBy("a", "x", "y").applyInArrow(meet, "a bigint, b bigint"), "bag-more")
+
+
 def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id, component_id, n_class, kept.
 
@@ -222,19 +280,10 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     leaders = ranked.join(best, ["band", "met"]).groupBy("band").agg(F.min("id").alias("a"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(met, "id", "left_semi")
     texts = as_table(texts.dropDuplicates(["id"]), "bag-texts")
-    stars = rows.join(leaders, "band").filter("id != a").select("a", F.col("id").alias("b")).distinct()
+    stars = as_table(rows.join(leaders, "band").filter("id != a").select("a", F.col("id").alias("b")).distinct(), "bag-stars")
     links = _alike(stars, classes, texts, similar)
     found = components(links, "bag-components")
-    # what is still apart within a bucket
-    at = as_table(rows.select("band", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("c")), "bag-apart")
-    apart = at.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("band")
-    apart = as_table(at.join(apart, "band").join(leaders, "band").select("band", "id", "c", "a"), "bag-apart")
-    x = apart.select("band", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("a").alias("leader"))
-    y = apart.select("band", F.col("id").alias("b"), F.col("c").alias("cb"))
-    rest = x.join(y, "band").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (
-        F.col("a") != F.col("leader")) & (F.col("b") != F.col("leader"))).select("a", "b").distinct()
-    more = _alike(rest, classes, texts, similar)
+    more = _apart(stars, found, texts, similar)
     found = components(links.unionByName(more), "bag-components")
     found = as_table(named.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "k1", "k2", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"), "n_class"),

@@ -7,6 +7,7 @@ stored in the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from strikelake.sources.storage import as_table
@@ -52,3 +53,25 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         seen = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def forest(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest, as edges between ids, of the links of a block pair (rows x columns)."""
+    i, j = np.nonzero(linked)
+    if not len(i):
+        return []
+    ids, ends = np.unique(np.r_[rows[i], columns[j]], return_inverse=True)
+    a, b = ends[: len(i)], ends[len(i) :]
+    least = np.arange(len(ids))
+    while True:
+        low = np.minimum(least[a], least[b])
+        new = least.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, least[a], low)
+        np.minimum.at(new, least[b], low)
+        new = new[new]
+        if (new == least).all():
+            break
+        least = new
+    return [(int(ids[x]), int(ids[y])) for x, y in enumerate(least.tolist()) if x != y]

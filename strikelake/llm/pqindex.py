@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strikelake.llm.components import components
+from strikelake.llm.components import components, forest
 from strikelake.sources.storage import as_table
 
 COSINE = 0.93
@@ -99,28 +99,6 @@ def fit(sample: np.ndarray, cosine: float, lists: int, subspaces: int, codewords
     return Quantizer(coarse, books, cuts, radius**2)
 
 
-def forest(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest, as edges between ids, of the links of a block pair (rows x columns)."""
-    i, j = np.nonzero(linked)
-    if not len(i):
-        return []
-    ids, ends = np.unique(np.r_[rows[i], columns[j]], return_inverse=True)
-    a, b = ends[: len(i)], ends[len(i) :]
-    least = np.arange(len(ids))
-    while True:
-        low = np.minimum(least[a], least[b])
-        new = least.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, least[a], low)
-        np.minimum.at(new, least[b], low)
-        new = new[new]
-        if (new == least).all():
-            break
-        least = new
-    return [(int(ids[x]), int(ids[y])) for x, y in enumerate(least.tolist()) if x != y]
-
-
 def prepared(vectors: DataFrame) -> DataFrame:
     """Classes of equal usable vectors: id (smallest vec_id), label, embedding in doubles, weight (rows)."""
     v = F.col("embedding").cast("array<double>")
