@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from strikelake.operators.cells import CELL, ROW, in_cells, in_cells_between, packed, unpacked
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, unpacked
 
 _AT, _SIDE, _HIT = "__at", "__side", "__hit"
 
@@ -30,9 +30,9 @@ def asof_join(
 ) -> DataFrame:
     """LEFT as-of join; every left row is kept once.
 
-    take: right column -> output column. With a tolerance, a match further away than that (exclusive of
-    the bound itself) gives NULL and right rows are only copied to the cells their tolerance reaches.
-    Without one, the nearest right row of earlier (later) cells is carried over by a small cell ledger.
+    take: right column -> output column. The nearest right row of earlier (later) cells is carried over by
+    a small cell ledger, so no right row is copied. With a tolerance, a match further away than that
+    (exclusive of the bound itself) gives NULL. Left rows without a key go round the window.
     """
     backward = direction == "backward"
     if not backward and direction != "forward":
@@ -43,17 +43,14 @@ def asof_join(
         by, f"{right_at} AS {_AT}", f"0 AS {_SIDE}", *[f"{c} AS {t}" for c, t in zip(tie, ties)],
         f"named_struct({fields}) AS {_HIT}",
     )
+    keyless = left.filter(f"{by} IS NULL").select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(o)
+                                                       for c, o in take.items()])
+    narrow, matchable = narrow.filter(f"{by} IS NOT NULL"), left.filter(f"{by} IS NOT NULL")
     lefts = in_cells(
-        left.selectExpr(by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", packed(left, by)), by, _AT, widths)
+        matchable.selectExpr(by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", packed(left, by)), by, _AT, widths)
 
-    if tolerance_seconds is not None:
-        reach = f"{_AT} {'+' if backward else '-'} INTERVAL {tolerance_seconds} SECONDS"
-        spanned = narrow.selectExpr("*", f"{reach} AS __reach")
-        bounds = (_AT, "__reach") if backward else ("__reach", _AT)
-        rights = in_cells_between(spanned, by, *bounds, widths).drop("__reach")
-    else:
-        placed = in_cells(narrow, by, _AT, widths)
-        rights = placed.unionByName(_carries(lefts, placed, by, ties, backward), allowMissingColumns=True)
+    placed = in_cells(narrow, by, _AT, widths)
+    rights = placed.unionByName(_carries(lefts, placed, by, ties, backward), allowMissingColumns=True)
 
     # A right row precedes a left row of the same instant in reading order, so equal times match.
     way = "ASC" if backward else "DESC"
@@ -67,8 +64,9 @@ def asof_join(
     if tolerance_seconds is not None:
         test = f">= {_AT} -" if backward else f"<= {_AT} +"
         near = f"{_HIT}.at {test} INTERVAL {tolerance_seconds} SECONDS"
-    return matched.selectExpr(
+    found = matched.selectExpr(
         *unpacked(left, by), *[f"CASE WHEN {near} THEN {_HIT}.{o} END AS {o}" for o in take.values()])
+    return found.unionByName(keyless)
 
 
 def _carries(lefts: DataFrame, placed: DataFrame, by: str, ties: list[str], backward: bool) -> DataFrame:

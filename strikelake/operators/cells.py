@@ -7,8 +7,11 @@ only the spread of the work does.
 
 Cold keys use one-week cells. A key with more than ``max_rows`` rows gets the widest cell of CELL_WIDTHS
 that keeps its densest hour's rate below ``max_rows`` per cell, so a key holding a third of all rows
-becomes many tasks. The table of hot keys has at most ``rows / max_rows`` rows, which is what makes it
-safe to broadcast.
+becomes many tasks. The table of hot keys has at most ``rows / max_rows`` rows; it is stored, and broadcast
+only while its size is below Spark's own limit.
+
+A burst shorter than an hour counts with its hour's average, and no cell is narrower than a minute. Rows
+without a key match nothing and must not enter a window (asof.py sends them round it).
 """
 
 from __future__ import annotations
@@ -43,13 +46,11 @@ def cell_widths(streams: Sequence[DataFrame], by: str, ts: str = "timestamp",
 
 
 def measure_cells(streams: Sequence[DataFrame], by: str, ts: str = "timestamp",
-                  max_rows: int = MAX_ROWS_PER_CELL) -> DataFrame | None:
-    """:func:`cell_widths` as a stored table, or None when the streams are too small to have a hot key.
+                  max_rows: int = MAX_ROWS_PER_CELL) -> DataFrame:
+    """:func:`cell_widths` as a stored table: one narrow pass with partial sums, whatever the size.
 
-    Counting a stored table reads footers only; the hourly counts are one narrow pass with partial sums.
+    Being stored, its true size decides how it is joined later.
     """
-    if sum(s.count() for s in streams) <= max_rows:
-        return None
     return as_table(cell_widths(streams, by, ts, max_rows), "cell_widths")
 
 
@@ -57,7 +58,7 @@ def _located(df: DataFrame, by: str, widths: DataFrame | None) -> tuple[DataFram
     """``df`` with each key's cell width at hand, and the SQL text of that width."""
     if widths is None:
         return df, f"{WEEK_SECONDS}L"
-    return df.join(F.broadcast(widths), by, "left"), f"coalesce({_WIDTH}, {WEEK_SECONDS}L)"
+    return df.join(widths, by, "left"), f"coalesce({_WIDTH}, {WEEK_SECONDS}L)"
 
 
 def _start(at: str, width: str) -> str:
@@ -73,11 +74,34 @@ def in_cells(df: DataFrame, by: str, at: str, widths: DataFrame | None) -> DataF
     return located.selectExpr(*df.columns, f"{_start(at, width)} AS {CELL}")
 
 
-def in_cells_between(df: DataFrame, by: str, start: str, stop: str, widths: DataFrame | None) -> DataFrame:
-    """Copy every row into each cell from the one of ``start`` to the one of ``stop``."""
-    located, width = _located(df, by, widths)
-    spans = f"explode(sequence({_start(start, width)}, {_start(stop, width)}, {width})) AS {CELL}"
-    return located.selectExpr(*df.columns, spans)
+def trailing_week(ledger: DataFrame, by: str, sums: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """Sums over the cells that lie fully inside the seven days before each cell: ``by``, cell, keep, outputs.
+
+    ledger has one row per (``by``, cell); sums maps its columns to output names, NULL where no such cell is.
+    In two levels, so that a cell does not read the thousands before it: earlier cells of its day, the six
+    whole days before, and of the day before those the later cells, all running sums or one row per day.
+    The windows run per (``by``, day).
+    """
+    day = f"floor({CELL} / 86400)"
+    own = ledger.selectExpr(by, CELL, f"{day} AS __day", "1 AS __lane", *keep, *sums)
+    aged = ledger.selectExpr(
+        by, f"{CELL} + {WEEK_SECONDS} AS {CELL}", f"{day} + 7 AS __day", "0 AS __lane", *sums)
+    whole = (
+        ledger.selectExpr(by, f"explode(sequence({day} + 1, {day} + 6)) AS __day", *sums)
+        .groupBy(by, "__day").agg(*[F.sum(c).alias(c) for c in sums])
+        .selectExpr(by, f"CAST(NULL AS BIGINT) AS {CELL}", "__day", "2 AS __lane", *sums)
+    )
+    lanes = own.unionByName(aged, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
+    rows = "ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    parts = []
+    for c, out in sums.items():
+        per_day = f"PARTITION BY {by}, __day"
+        before = (f"sum(CASE WHEN __lane <> 0 THEN {c} END) OVER "
+                  f"({per_day} ORDER BY {CELL} ASC NULLS FIRST, __lane {rows} 1 PRECEDING)")
+        after = (f"sum(CASE WHEN __lane = 0 THEN {c} END) OVER "
+                 f"({per_day} ORDER BY {CELL} DESC NULLS LAST, __lane DESC {rows} 1 PRECEDING)")
+        parts.append(f"CASE WHEN {before} IS NULL THEN {after} ELSE {before} + coalesce({after}, 0) END AS {out}")
+    return lanes.selectExpr(by, CELL, "__lane", *keep, *parts).filter("__lane = 1").drop("__lane")
 
 
 def packed(df: DataFrame, by: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.metrics import roll_spread
 from strikelake.functions.timeline import WEEK_SECONDS
-from strikelake.operators.cells import CELL, ROW, in_cells, packed, unpacked
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, trailing_week, unpacked
 
 # Fixed value: the covariance frame is the current print and the 20 before it.
 FRAME_PRECEDING = 20
@@ -25,12 +25,9 @@ _KEY = f"{_NAME}, {CELL}"
 
 def _heads(placed: DataFrame) -> DataFrame:
     """Per (instrument, cell): count and premium of the cells lying fully inside the trailing week."""
-    whole = f"(PARTITION BY {_NAME} ORDER BY {CELL} RANGE BETWEEN {WEEK_SECONDS - 1} PRECEDING AND 1 PRECEDING)"
-    return (
-        placed.groupBy(_NAME, CELL).agg(F.expr("count(1) AS n"), F.expr("sum(price * amount) AS pv"))
-        .selectExpr(_NAME, CELL, f"{_HEAD} AS __lane", f"sum(n) OVER {whole} AS __n", f"sum(pv) OVER {whole} AS __pv")
-        .filter("__n IS NOT NULL")
-    )
+    ledger = placed.groupBy(_NAME, CELL).agg(F.expr("count(1) AS n"), F.expr("sum(price * amount) AS pv"))
+    summed = trailing_week(ledger, _NAME, {"n": "__n", "pv": "__pv"})
+    return summed.selectExpr(_NAME, CELL, f"{_HEAD} AS __lane", "__n", "__pv").filter("__n IS NOT NULL")
 
 
 def _halos(placed: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strikelake.functions.metrics import iv_bin, iv_percentile, iv_rank
 from strikelake.functions.timeline import epoch_seconds
@@ -28,21 +28,22 @@ def rolling_iv_hist(daily: DataFrame, days: int = PERCENTILE_DAYS, strict_past:
     """cum_lt, cum_le and window_total per (currency, day, bin) over the trailing days.
 
     Each day's bins are sent to the days they feed and summed there, then accumulated over at most
-    2,000 bins per (currency, day): no self-join. cum_lt is NULL in the lowest bin of a window.
-    ``strict_past`` leaves the day itself out (the default includes it).
+    2,000 bins per (currency, day): no self-join. cum_lt is NULL when nothing lies below the bin.
+    ``strict_past`` leaves the day itself out (the default includes it); the day's own bins are then listed
+    with a count of zero, so that a bin that never traded before has a rank as well.
     """
     first = 1 if strict_past else 0
     feeds = F.explode(F.sequence(F.date_add("day", first), F.date_add("day", days - 1)))
-    rolled = (
-        daily.select("currency", feeds.alias("day"), "iv_bin", "bin_count")
-        .groupBy("currency", "day", "iv_bin").agg(F.sum("bin_count").alias("n"))
-    )
+    fed = daily.select("currency", feeds.alias("day"), "iv_bin", "bin_count")
+    if strict_past:
+        fed = fed.unionByName(daily.withColumn("bin_count", F.lit(0).cast("bigint")))
+    rolled = fed.groupBy("currency", "day", "iv_bin").agg(F.sum("bin_count").alias("n"))
     bins = Window.partitionBy("currency", "day").orderBy("iv_bin")
     return rolled.select(
         "currency", "day", "iv_bin",
-        F.sum("n").over(bins.rowsBetween(Window.unboundedPreceding, -1)).alias("cum_lt"),
+        F.nullif(F.sum("n").over(bins.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("cum_lt"),
         F.sum("n").over(bins.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum_le"),
-        F.sum("n").over(Window.partitionBy("currency", "day")).alias("window_total"),
+        F.nullif(F.sum("n").over(Window.partitionBy("currency", "day")), F.lit(0)).alias("window_total"),
     )
 
 
@@ -53,10 +54,9 @@ def with_iv_percentile(rows: DataFrame, history: DataFrame | None = None, strict
     size decides between a broadcast and a skew-splittable shuffle join.
     """
     daily = daily_iv_hist(rows if history is None else history)
-    lookup = rolling_iv_hist(daily, strict_past=strict_past)
-    if not strict_past:
-        # Only bins that traded that day can be asked for.
-        lookup = lookup.join(daily.select("currency", "day", "iv_bin"), ["currency", "day", "iv_bin"], "left_semi")
+    # Only bins that traded that day can be asked for.
+    lookup = rolling_iv_hist(daily, strict_past=strict_past).join(
+        daily.select("currency", "day", "iv_bin"), ["currency", "day", "iv_bin"], "left_semi")
     keyed = rows.withColumns({"day": F.to_date("timestamp"), "iv_bin": iv_bin(F.col("implied_volatility"))})
     pct = iv_percentile(F.col("implied_volatility"), F.col("cum_lt"), F.col("cum_le"), F.col("window_total"))
     return keyed.join(lookup, ["currency", "day", "iv_bin"], "left").select(
@@ -65,44 +65,71 @@ def with_iv_percentile(rows: DataFrame, history: DataFrame | None = None, strict
 
 
 def hourly_iv_moments(rows: DataFrame) -> DataFrame:
-    """Per-hour count, sums, low and high of all IVs: at most 8,766 rows a year whatever the tape's size."""
+    """Per currency and hour: count, sums, low and high of all IVs; 8,766 rows a year and currency at most."""
     iv = F.col("implied_volatility")
     off = iv - _CENTRE
     return (
         rows.filter(iv.isNotNull())
-        .groupBy(F.expr(f"{_HOUR} AS hour"))
+        .groupBy("currency", F.expr(f"{_HOUR} AS hour"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("s"), F.sum(off * off).alias("q"),
              F.min(iv).alias("low"), F.max(iv).alias("high"))
     )
 
 
+def _combined(window, **names: str) -> list[Column]:
+    """Moments of a window: sums of n, s and q, low and high, under the given names."""
+    how = {"n": F.sum, "s": F.sum, "q": F.sum, "low": F.min, "high": F.max}
+    return [how[c](c).over(window).alias(out) for c, out in names.items()]
+
+
 def iv_stats_52w(rows: DataFrame) -> DataFrame:
-    """Range statistics of the 52 weeks before each hour (that hour excluded), one row per hour."""
-    past = Window.orderBy("hour").rangeBetween(-RANK_HOURS, -1)
-    n, s, q = F.sum("n").over(past), F.sum("s").over(past), F.sum("q").over(past)
-    summed = hourly_iv_moments(rows).select(
-        "hour", n.alias("n"), s.alias("s"), q.alias("q"),
-        F.min("low").over(past).alias("iv_52w_low"), F.max("high").over(past).alias("iv_52w_high"),
-    )
-    mean = F.try_divide("s", "n")
+    """Range statistics of the 52 weeks before each hour (that hour excluded), one row per currency and hour.
+
+    In two levels, so that no hour reads thousands of others: the earlier hours of its day, the 363 whole days before,
+    and of the day before those the hours from the same time on. Each part is a running figure or one per day.
+    """
+    hours = hourly_iv_moments(rows).withColumn("day", F.floor(F.col("hour") / 24))
+    moments = ["n", "s", "q", "low", "high"]
+    own = hours.select("currency", "day", "hour", *moments, F.lit(1).alias("lane"))
+    aged = own.select("currency", (F.col("day") + RANK_HOURS // 24).alias("day"),
+                      (F.col("hour") + RANK_HOURS).alias("hour"), *moments, F.lit(0).alias("lane"))
+    daily = hours.groupBy("currency", "day").agg(*[F.sum(c).alias(c) for c in moments[:3]],
+                                                 F.min("low").alias("low"), F.max("high").alias("high"))
+    past_days = Window.partitionBy("currency").orderBy("day").rangeBetween(1 - RANK_HOURS // 24, -1)
+    whole = daily.select(
+        "currency", "day", *_combined(past_days, n="dn", s="ds", q="dq", low="dlow", high="dhigh"))
+    today = Window.partitionBy("currency", "day", "lane").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    ended = Window.partitionBy("currency", "day").orderBy(F.desc("hour")).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    of_aged = lambda c: F.when(F.col("lane") == 0, F.col(c))
+    parts = own.unionByName(aged).select(
+        "*", *_combined(today, n="tn", s="ts", q="tq", low="tlow", high="thigh"),
+        *[F.sum(of_aged(c)).over(ended).alias("e" + c) for c in moments[:3]],
+        F.min(of_aged("low")).over(ended).alias("elow"), F.max(of_aged("high")).over(ended).alias("ehigh"),
+    ).filter("lane = 1").join(whole, ["currency", "day"], "left")
+    total = lambda c: sum((F.coalesce(x + c, F.lit(0)) for x in ("t", "e")), F.coalesce("d" + c, F.lit(0)))
+    summed = parts.select(
+        "currency", "hour", total("n").alias("n"), total("s").alias("s"), total("q").alias("q"),
+        F.least("tlow", "elow", "dlow").alias("iv_52w_low"), F.greatest("thigh", "ehigh", "dhigh").alias("iv_52w_high"))
+    mean = F.when(F.col("n") > 0, F.try_divide("s", "n"))
     variance = F.try_divide("q", "n") - mean * mean
     return summed.select(
-        "hour", "iv_52w_low", "iv_52w_high",
+        "currency", "hour", "iv_52w_low", "iv_52w_high",
         (mean + _CENTRE).alias("iv_52w_mean"),
         F.when(F.col("n") > 0, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("iv_52w_stddev"),
     )
 
 
 def with_iv_rank(rows: DataFrame) -> DataFrame:
-    """Add iv_rank_52w, iv_52w_high/low/mean/stddev from all instruments' IVs; NULL when IV is NULL or 0.
+    """Add iv_rank_52w, iv_52w_high/low/mean/stddev from the IVs of all instruments of the currency.
 
-    The hourly table is broadcast: it has one row per clock hour of the tape (under 90,000 for ten years).
+    NULL when IV is NULL or 0. ``rows`` needs a currency. The table of hours is joined as its size allows.
     """
     iv = F.col("implied_volatility")
     used = iv.isNotNull() & (iv != 0)
     keyed = rows.withColumn("__hour", F.when(used, F.expr(_HOUR)))
     stats = iv_stats_52w(rows).withColumnRenamed("hour", "__hour")
-    joined = keyed.join(F.broadcast(stats), "__hour", "left")
+    joined = keyed.join(stats, ["currency", "__hour"], "left")
     return joined.select(
         *rows.columns,
         iv_rank(iv, F.col("iv_52w_low"), F.col("iv_52w_high")).alias("iv_rank_52w"),

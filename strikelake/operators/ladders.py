@@ -2,8 +2,10 @@
 
 A ladder is one (currency, period, expiry, config); a config is a list of absolute target deltas. Choices
 ("first print", "nearest delta", "best expiry") are min_by aggregates, so each task reduces its part of
-the tape before anything is shuffled. What is left is bounded by the calendar: at most one row per
-currency, period, expiry in the DTE band, config and target - which is why those tables may be broadcast.
+the tape before anything is shuffled; as such an aggregate sorts its input, the tape is first cut to the
+chosen expiries. What is left is bounded by the calendar and the configurations: at most one row per
+currency, period, expiry in the DTE band, config and target. Those tables are stored before they meet the
+tape, so their true size decides whether they are broadcast.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strikelake.functions.timeline import period_of
+from strikelake.sources.storage import as_table
 
 # Ladder parameters.
 TARGET_DTE = 7
@@ -66,7 +69,7 @@ def expiry_liquidity(gold: DataFrame, chosen: DataFrame, side: str = "put", peri
     """Summed trade_volume_7day of the chosen expiry's prints; the tape is aggregated before the join."""
     volume = _prints(gold, side, period).groupBy(*ENTRY).agg(
         F.sum("trade_volume_7day").cast("double").alias("liquidity"))
-    return volume.join(F.broadcast(chosen.select(*ENTRY)), ENTRY)
+    return volume.join(chosen.select(*ENTRY), ENTRY)
 
 
 def liquidity_gate(liquidity: DataFrame, percentile: float = 0.0) -> DataFrame:
@@ -83,12 +86,20 @@ def liquidity_gate(liquidity: DataFrame, percentile: float = 0.0) -> DataFrame:
     return ranked.withColumn("admitted", above).drop("__rank", "__cut")
 
 
-def first_prints(gold: DataFrame, side: str = "put", period: str = "week") -> DataFrame:
-    """First valid print of every instrument in every period."""
+def first_prints(gold: DataFrame, side: str = "put", period: str = "week",
+                 entries: DataFrame | None = None) -> DataFrame:
+    """First valid print of every instrument in every period.
+
+    With ``entries`` (currency, period, expiry and days_to_expiry) only prints of those expiries are read on.
+    """
+    prints, keys = _prints(gold, side, period), list(ENTRY)
+    if entries is not None:
+        prints = prints.drop("days_to_expiry").join(entries.select(*ENTRY, "days_to_expiry"), ENTRY)
+        keys.append("days_to_expiry")
     row = F.struct(*_LEG_COLUMNS)
-    firsts = _prints(gold, side, period).groupBy(*ENTRY, F.col("instrument_name").alias("__name")).agg(
+    firsts = prints.groupBy(*keys, F.col("instrument_name").alias("__name")).agg(
         F.min_by(row, F.struct(*_ORDER)).alias("leg"))
-    return firsts.select(*ENTRY, *[f"leg.{c}" for c in _LEG_COLUMNS])
+    return firsts.select(*keys, *[f"leg.{c}" for c in _LEG_COLUMNS])
 
 
 def nearest_legs(prints: DataFrame, configs: Mapping[str, Sequence[float]] = LADDERS) -> DataFrame:
@@ -112,8 +123,8 @@ def _carried(prints: DataFrame) -> list[str]:
 def select_ladder(gold: DataFrame, chosen: DataFrame, configs: Mapping[str, Sequence[float]] = LADDERS,
                   side: str = "put", period: str = "week") -> DataFrame:
     """Legs of every complete ladder on the chosen (currency, period, expiry) rows."""
-    entries = F.broadcast(chosen.select(*ENTRY, "days_to_expiry"))
-    legs = nearest_legs(first_prints(gold, side, period).join(entries, ENTRY), configs)
+    entries = as_table(chosen.select(*ENTRY, "days_to_expiry"), "entries")
+    legs = nearest_legs(first_prints(gold, side, period, entries), configs)
     found = F.count(F.lit(1)).over(Window.partitionBy(*KEY))
     return legs.withColumn("__found", found).filter(F.col("__found") == F.col("legs")).drop("__found")
 
@@ -205,10 +216,11 @@ def early_close(sized: DataFrame, gold: DataFrame, target: float = PROFIT_TARGET
     """Add closed_at, buyback_usd and leg_pnl_usd: buy back at the first print after entry and before
     expiry whose mark is at most ``target`` of the entry mark, at that print's traded price.
 
-    Legs are bounded by the calendar and go to the tape by broadcast: no shuffle of the tape, and a hot
+    The legs are stored and, while small, go to the tape by broadcast: no shuffle of the tape, and a hot
     instrument's prints stay where they are read.
     """
     leg_key = [*KEY, "target_delta"]
+    sized = as_table(sized, "legs")
     legs = sized.select(
         *leg_key, F.col("instrument_name"), F.col("timestamp").alias("__entry"),
         (F.col("mark_price") * F.lit(target)).alias("__trigger"),
@@ -216,7 +228,7 @@ def early_close(sized: DataFrame, gold: DataFrame, target: float = PROFIT_TARGET
     prints = gold.filter("is_valid").select(
         "instrument_name", F.col("timestamp").alias("__at"), "trade_seq", "trade_id",
         F.col("mark_price").alias("__mark"), F.col("price").alias("__fill"))
-    crossings = prints.join(F.broadcast(legs), "instrument_name").filter(
+    crossings = prints.join(legs, "instrument_name").filter(
         (F.col("__at") > F.col("__entry")) & (F.col("__at") < F.col("expiration_timestamp"))
         & (F.col("__mark") <= F.col("__trigger")))
     firsts = crossings.groupBy(*leg_key).agg(
@@ -241,7 +253,8 @@ def early_close_returns(closed: DataFrame) -> DataFrame:
 def with_tail_hedge(returns: DataFrame, prints: DataFrame, target: float = HEDGE_DELTA) -> DataFrame:
     """Add hedge_strike, hedge_delta and hedge_cost_usd: the period's print nearest ``target``, bought in
     the deepest leg's amount."""
-    hedge = nearest_legs(prints.join(F.broadcast(returns.select(*ENTRY).distinct()), ENTRY), {"hedge": [target]})
+    returns = as_table(returns, "ladders")
+    hedge = nearest_legs(prints.join(returns.select(*ENTRY).distinct(), ENTRY), {"hedge": [target]})
     hedge = hedge.select(
         *ENTRY, F.col("mark_price").alias("__mark"), F.col("strike").alias("hedge_strike"),
         F.col("delta").alias("hedge_delta"))

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strikelake.functions.timeline import WEEK_SECONDS
-from strikelake.operators.cells import CELL, ROW, in_cells, packed, unpacked
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, trailing_week, unpacked
 
 # Fixed value: hourly observations per year, the annualization of realized_vol_7day.
 ANNUALIZATION = math.sqrt(365 * 24)
@@ -61,29 +61,27 @@ def _ledger(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None) ->
     )
     by_cell = f"PARTITION BY currency ORDER BY {CELL}"
     before = f"({by_cell} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    whole = f"({by_cell} RANGE BETWEEN {WEEK_SECONDS - 1} PRECEDING AND 1 PRECEDING)"
     week_before = f"({by_cell} RANGE BETWEEN UNBOUNDED PRECEDING AND {WEEK_SECONDS + 1} PRECEDING)"
     week_after = f"({by_cell} DESC RANGE BETWEEN UNBOUNDED PRECEDING AND {WEEK_SECONDS + 1} PRECEDING)"
     # The first return of a cell reaches back to the previous one.
-    return (
+    carried = (
         cells.join(readings, ["currency", CELL], "full_outer")
         .selectExpr("*", f"last(last_price) IGNORE NULLS OVER {before} AS head_price")
         .selectExpr("*", f"{_log_ratio('first_price', 'head_price')} AS edge")
         .selectExpr(
-            "currency", CELL, "head_price", "first_price", "last_price", "last_vol",
+            "currency", CELL, "head_price", "first_price",
             "coalesce(n, 0) + CASE WHEN edge IS NULL THEN 0 ELSE 1 END AS n",
             "coalesce(s, 0e0) + coalesce(edge, 0e0) AS s",
             "coalesce(q, 0e0) + coalesce(edge * edge, 0e0) AS q",
-        )
-        .selectExpr(
-            "currency", CELL, "head_price", "first_price",
             f"last(last_vol) IGNORE NULLS OVER {before} AS head_vol",
-            f"sum(n) OVER {whole} AS head_n", f"sum(s) OVER {whole} AS head_s", f"sum(q) OVER {whole} AS head_q",
             f"last(last_price) IGNORE NULLS OVER {week_before} AS head_old",
             f"last(first_price) IGNORE NULLS OVER {week_after} AS head_next",
         )
-        .filter("first_price IS NOT NULL").drop("first_price")
     )
+    summed = trailing_week(
+        carried, "currency", {"n": "head_n", "s": "head_s", "q": "head_q"},
+        keep=["head_price", "first_price", "head_vol", "head_old", "head_next"])
+    return summed.filter("first_price IS NOT NULL").drop("first_price")
 
 
 def _case(**by_lane: str) -> str:

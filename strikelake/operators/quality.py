@@ -14,7 +14,11 @@ class NoValidTradesError(ValueError):
 
 
 class MissingInstrumentsError(ValueError):
-    """Expected instruments have no tape."""
+    """Expected instruments have no tape; ``missing`` is the frame of all of them."""
+
+    def __init__(self, message: str, missing: DataFrame):
+        super().__init__(message)
+        self.missing = missing
 
 
 def validity_report(silver: DataFrame) -> DataFrame:
@@ -95,11 +99,11 @@ def missing_instruments(expected: DataFrame, tape: DataFrame) -> DataFrame:
 
 
 def require_complete(expected: DataFrame, tape: DataFrame, shown: int = 20) -> None:
-    """MissingInstrumentsError naming the first few missing instruments, if any."""
+    """MissingInstrumentsError if any is missing: its text names the first few, its frame lists all."""
     absent = missing_instruments(expected, tape)
     sample = [r["instrument_name"] for r in absent.orderBy("instrument_name").limit(shown).collect()]
     if sample:
-        raise MissingInstrumentsError(f"{absent.count()} instruments without trades, first: {', '.join(sample)}")
+        raise MissingInstrumentsError(f"{absent.count()} instruments without trades, first: {', '.join(sample)}", absent)
 
 
 def required_futures(options: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def trailing_vol_at(gold: DataFrame, entries: DataFrame, side: str = "put", days
     )
     fed = sums.filter(F.col("first") <= F.col("last")).withColumn(
         "period", F.explode(F.sequence("first", "last")))
-    wanted = F.broadcast(entries.select("currency", "period").distinct())
+    wanted = entries.select("currency", "period").distinct()
     vol = sample_stddev(F.sum("n"), F.sum("s"), F.sum("q")) * ANNUALIZATION
     return fed.join(wanted, ["currency", "period"]).groupBy("currency", "period").agg(
         vol.alias("realized_vol_30day"))

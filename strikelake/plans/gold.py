@@ -13,10 +13,6 @@ from strikelake.operators.ivhist import with_iv_percentile
 from strikelake.operators.market import market_state
 from strikelake.operators.quality import has_forward
 
-# Settlement index of each currency.
-SETTLEMENT_INDEX = {"BTC": "btc_usd", "ETH": "eth_usd"}
-
-
 def with_currency(df: DataFrame) -> DataFrame:
     if "currency" in df.columns:
         return df
@@ -26,17 +22,15 @@ def with_currency(df: DataFrame) -> DataFrame:
 def with_settlement(rows: DataFrame, settlements: DataFrame, out: str = "outcome_settlement_price") -> DataFrame:
     """Delivery price of the expiry's calendar date, NULL when unknown.
 
-    The settlement side is one row per index and calendar day after the aggregate, so broadcasting it is
-    bounded by the calendar.
+    A currency settles against the index ``<currency>_usd``, in lower case. The settlement side is one row per
+    index and calendar day after the aggregate; its size decides how it is joined.
     """
-    index = F.lit(None).cast("string")
-    for currency, name in SETTLEMENT_INDEX.items():
-        index = F.when(F.col("currency") == currency, name).otherwise(index)
+    index = F.concat(F.lower("currency"), F.lit("_usd"))
     daily = settlements.groupBy(
         F.col("index_name").alias("__index"), F.col("date").cast("date").alias("__day")
     ).agg(F.max("delivery_price").alias(out))
     keyed = rows.withColumns({"__index": index, "__day": F.to_date("expiration_timestamp")})
-    return keyed.join(F.broadcast(daily), ["__index", "__day"], "left").drop("__index", "__day")
+    return keyed.join(daily, ["__index", "__day"], "left").drop("__index", "__day")
 
 
 def with_execution_quality(rows: DataFrame) -> DataFrame:

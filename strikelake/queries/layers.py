@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strikelake.functions import metrics, pricing
-from strikelake.functions.instruments import parse_instrument
+from strikelake.functions.instruments import currency_of, parse_instrument
 from strikelake.operators import quality
 from strikelake.operators.asof import asof_join, previous_row
 from strikelake.operators.cells import measure_cells
@@ -15,13 +15,17 @@ from strikelake.operators.market import market_state
 from strikelake.plans import gold as gold_plan
 from strikelake.plans import silver as silver_plan
 from strikelake.queries import tape
-from strikelake.queries.reference_sql import GOLD_SQL, SILVER_SQL, d1_sql, greeks_sql, price_fraction_sql
+from strikelake.queries.oracle_sql import GOLD_SQL, SILVER_SQL, d1_sql, greeks_sql, price_fraction_sql
 from strikelake.queries.registry import futures, gold, options, query, rounded, silver
 from strikelake.queries.tape import TAPE_SQL
 from strikelake.schemas import GOLD_COLUMNS
 from strikelake.sources.bronze import dedupe_trades, merge_trades
 
 
+# Rows per cell at which every key of the small tables counts as hot.
+HOT_ROWS = 40
+
+
 def _bronze(sql: str) -> str:
     return f"WITH {TAPE_SQL} {sql}"
 
@@ -162,6 +166,25 @@ def silver_asof_forward(spark, sf_dir):
     ).select("trade_id", "instrument_name", "futures_price")
 
 
+@query("silver_asof_hot", _silver("SELECT trade_id, instrument_name, futures_price FROM silver"))
+def silver_asof_hot(spark, sf_dir):
+    """The same with every key hot."""
+    return silver_plan.with_forward_price(
+        options(spark, sf_dir), futures(spark, sf_dir), max_rows_per_cell=HOT_ROWS,
+    ).select("trade_id", "instrument_name", "futures_price")
+
+
+@query("silver_asof_keyless", _silver("""SELECT trade_id, instrument_name, futures_price FROM silver
+  UNION ALL SELECT trade_id, currency || '-PERPETUAL', NULL FROM bronze WHERE direction = 'sell'"""))
+def silver_asof_keyless(spark, sf_dir):
+    """Perpetuals on the option tape have no dated future; they keep their rows and match nothing."""
+    trades = options(spark, sf_dir)
+    perpetual = F.concat(currency_of(F.col("instrument_name")), F.lit("-PERPETUAL"))
+    extra = trades.filter("direction = 'sell'").withColumn("instrument_name", perpetual)
+    return silver_plan.with_forward_price(trades.unionByName(extra), futures(spark, sf_dir)).select(
+        "trade_id", "instrument_name", "futures_price")
+
+
 @query("silver_greeks", _silver("""SELECT trade_id, futures_price, round(delta, 6) AS delta,
     round(gamma, 10) AS gamma, round(vega, 6) AS vega, round(theta, 6) AS theta, is_valid FROM silver"""))
 def silver_greeks(spark, sf_dir):
@@ -182,10 +205,10 @@ def spot_greeks(spark, sf_dir):
 
 @query("black76_price", f"""WITH {TAPE_SQL},
   spot_d1 AS (SELECT *, {d1_sql('index_price')} AS d1 FROM bronze)
-  SELECT trade_id, round({price_fraction_sql('index_price')}, 8) AS price_fraction FROM spot_d1
-  WHERE implied_volatility IS NOT NULL""")
+  SELECT trade_id, CASE WHEN implied_volatility IS NOT NULL OR time_to_expiry_years <= 0
+    THEN round({price_fraction_sql('index_price')}, 8) END AS price_fraction FROM spot_d1""")
 def black76_price(spark, sf_dir):
-    trades = options(spark, sf_dir).filter(F.col("implied_volatility").isNotNull())
+    trades = options(spark, sf_dir)
     fraction = pricing.black76_price_fraction(
         F.col("index_price"), F.col("strike"), F.col("time_to_expiry_years"),
         metrics.iv_decimal(F.col("implied_volatility")), F.col("option_type"))
@@ -282,13 +305,13 @@ def gold_roll_spread(spark, sf_dir):
         "trade_id", "bid_ask_spread_estimate"), bid_ask_spread_estimate=9)
 
 
-@query("daily_iv_hist", _gold("SELECT currency, CAST(day AS DATE) AS day, iv_bin, bin_count FROM daily_iv_hist"))
+@query("daily_iv_hist", _gold("SELECT currency, day, iv_bin, count(*) AS bin_count FROM points GROUP BY ALL"))
 def iv_daily(spark, sf_dir):
     return daily_iv_hist(_forwarded(spark, sf_dir))
 
 
-@query("rolling_iv_hist", _gold("""SELECT currency, CAST(day AS DATE) AS day, iv_bin, CAST(cum_lt AS BIGINT) AS cum_lt,
-    CAST(cum_le AS BIGINT) AS cum_le, CAST(window_total AS BIGINT) AS window_total FROM rolling_iv_hist"""))
+@query("rolling_iv_hist", _gold("""SELECT currency, day, iv_bin,
+    CASE WHEN iv_bin > lowest THEN below END AS cum_lt, below + same AS cum_le, everything AS window_total FROM history"""))
 def iv_rolling(spark, sf_dir):
     daily = daily_iv_hist(_forwarded(spark, sf_dir))
     keys = ["currency", "day", "iv_bin"]
@@ -305,6 +328,15 @@ def gold_iv_percentile(spark, sf_dir):
         metrics.vol_regime(F.col("iv_percentile_90day")).alias("vol_regime")), iv_percentile_90day=9)
 
 
+@query("gold_iv_percentile_strict", _gold("""SELECT trade_id, round(strict_percentile, 9) AS iv_percentile_90day,
+    strict_sample_size AS iv_percentile_sample_size FROM gold"""))
+def gold_iv_percentile_strict(spark, sf_dir):
+    """Ranks against earlier days only; bins that never traded before are ranked as well."""
+    rows = with_iv_percentile(_forwarded(spark, sf_dir).select(
+        "currency", "timestamp", "trade_id", "implied_volatility"), strict_past=True)
+    return rounded(rows.select("trade_id", "iv_percentile_90day", "iv_percentile_sample_size"), iv_percentile_90day=9)
+
+
 @query("gold_execution", _gold("""SELECT trade_id, round(price_vs_mark_deviation, 9) AS price_vs_mark_deviation,
     round(expected_premium, 8) AS expected_premium, round(premium_collection_ratio, 6) AS premium_collection_ratio
   FROM gold"""))
@@ -330,6 +362,14 @@ def gold_full(spark, sf_dir):
     return rounded(built.select(*GOLD_COLUMNS), **_ROUNDED)
 
 
+@query("gold_full_hot", _gold(f"SELECT {_GOLD_SELECT} FROM gold"))
+def gold_full_hot(spark, sf_dir):
+    """The same with every key hot: cells of minutes to days instead of weeks."""
+    built = gold_plan.gold(silver(spark, sf_dir), tape.settlements(spark, sf_dir), tape.vol_index(spark, sf_dir),
+                           max_rows_per_cell=HOT_ROWS)
+    return rounded(built.select(*GOLD_COLUMNS), **_ROUNDED)
+
+
 @query("gold_outcomes", _gold("""SELECT trade_id, days_to_expiry, outcome_settlement_price,
     round(outcome_forward_return_7day, 9) AS outcome_forward_return_7day, outcome_assignment_inferred,
     outcome_days_to_assignment FROM gold"""))

@@ -10,7 +10,7 @@ from strikelake.operators.ivhist import with_iv_rank
 from strikelake.plans import legacy
 from strikelake.plans.gold import with_currency, with_settlement
 from strikelake.queries import tape
-from strikelake.queries.reference_sql import d1_sql, greeks_sql, price_fraction_sql
+from strikelake.queries.oracle_sql import d1_sql, greeks_sql, price_fraction_sql
 from strikelake.queries.registry import options, query, rounded
 from strikelake.queries.tape import TAPE_SQL
 
@@ -42,14 +42,14 @@ money AS (
   FROM index_greeks
 ),
 hours AS (
-  SELECT DISTINCT date_trunc('hour', timestamp) AS hour FROM bronze WHERE implied_volatility IS NOT NULL
+  SELECT DISTINCT currency, date_trunc('hour', timestamp) AS hour FROM bronze WHERE implied_volatility IS NOT NULL
 ),
 ranked_hours AS (
-  SELECT h.hour, max(b.implied_volatility) AS iv_52w_high, min(b.implied_volatility) AS iv_52w_low,
+  SELECT h.currency, h.hour, max(b.implied_volatility) AS iv_52w_high, min(b.implied_volatility) AS iv_52w_low,
     avg(b.implied_volatility) AS iv_52w_mean, stddev_pop(b.implied_volatility) AS iv_52w_stddev
-  FROM hours h JOIN bronze b ON date_trunc('hour', b.timestamp) < h.hour
+  FROM hours h JOIN bronze b ON b.currency = h.currency AND date_trunc('hour', b.timestamp) < h.hour
     AND date_trunc('hour', b.timestamp) >= h.hour - INTERVAL 364 DAY AND b.implied_volatility IS NOT NULL
-  GROUP BY 1
+  GROUP BY 1, 2
 ),
 ranked AS (
   SELECT m.*, r.iv_52w_high, r.iv_52w_low, r.iv_52w_mean, r.iv_52w_stddev,
@@ -57,7 +57,7 @@ ranked AS (
         (m.implied_volatility - r.iv_52w_low) / (r.iv_52w_high - r.iv_52w_low) * 100.0e0))
       WHEN r.iv_52w_high IS NOT NULL THEN 50.0e0 END AS iv_rank_52w
   FROM money m LEFT JOIN ranked_hours r
-    ON r.hour = date_trunc('hour', m.timestamp) AND m.implied_volatility IS NOT NULL AND m.implied_volatility <> 0
+    ON r.currency = m.currency AND r.hour = date_trunc('hour', m.timestamp) AND m.implied_volatility IS NOT NULL AND m.implied_volatility <> 0
 ),
 scenarios AS (SELECT * FROM (VALUES {_SCENARIOS}) s(move, prob)),
 pnls AS (
@@ -123,7 +123,7 @@ def premium_yield(spark, sf_dir):
 
 @query("iv_rank_52w", _select(*_RANK))
 def iv_rank(spark, sf_dir):
-    return _pick(with_iv_rank(options(spark, sf_dir)), *_RANK)
+    return _pick(with_iv_rank(with_currency(options(spark, sf_dir))), *_RANK)
 
 
 @query("stress_ev", _select(*_STRESS))

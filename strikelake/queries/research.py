@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strikelake.operators import ladders, studies
 from strikelake.operators.cells import measure_cells
 from strikelake.operators.ladders import DELTA_GRID, LADDERS
-from strikelake.queries.reference_sql import GOLD_SQL
+from strikelake.queries.oracle_sql import GOLD_SQL
 from strikelake.queries.registry import gold, query, rounded
 
 _ENTRY = "currency, period, expiration_timestamp"

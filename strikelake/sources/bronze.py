@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from strikelake import schemas
@@ -136,19 +136,25 @@ def build_instruments(raw: DataFrame) -> DataFrame:
 def merge_trades(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Existing rows plus new rows whose (instrument_name, trade_seq) is not stored yet.
 
-    Duplicates inside ``new`` are kept, as in the tape's own merge; use dedupe_trades to drop them.
+    Duplicates inside ``new`` are kept, as in the tape's own merge; use dedupe_trades to drop them. A frame has
+    no order of its own: ``in_sequence`` is the order in which a tape is stored.
     """
     keys = ["instrument_name", "trade_seq"]
     fresh = new.join(existing.select(*keys), keys, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
 
+def in_sequence(trades: DataFrame) -> DataFrame:
+    """Range-partitioned and sorted by instrument and trade_seq: files written from it hold ordered runs."""
+    order = ["instrument_name", "trade_seq"]
+    return trades.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def dedupe_trades(df: DataFrame) -> DataFrame:
     """One row per (instrument_name, trade_seq): the earliest by (timestamp, trade_id).
 
-    A partial aggregate per task removes copies before the shuffle, so a heavily copied key stays small.
+    One shuffle on the keys; the limit of one row per key is applied before it as well, so that a heavily
+    copied key stays small.
     """
-    rank = F.struct("timestamp", "trade_id")
-    row = F.struct(*[F.col(c) for c in df.columns])
-    kept = df.groupBy("instrument_name", "trade_seq").agg(F.min_by(row, rank).alias("__row"))
-    return kept.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns])
+    first = Window.partitionBy("instrument_name", "trade_seq").orderBy("timestamp", "trade_id")
+    return df.withColumn("__nth", F.row_number().over(first)).filter("__nth = 1").drop("__nth")

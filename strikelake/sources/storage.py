@@ -1,7 +1,13 @@
-"""Where intermediate tables go, and the size-checked broadcast."""
+"""Where intermediate tables go.
+
+A stored table has a known size, so a join with it is a broadcast only below Spark's own limit
+(spark.sql.autoBroadcastJoinThreshold) and a shuffled, skew-splittable join beyond: that is the size check behind
+every small table here, and no broadcast is forced.
+"""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # "local-cluster[...]" is a cluster; "local" and "local[...]" are one process with one disk
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(folder)
