@@ -104,13 +104,6 @@ def deduped(spark, sf_dir):
 
 # --- quality ---
 
-@query("tape_inventory", _bronze("""SELECT count(DISTINCT future_name) AS file_count, count(*) AS trade_count,
-    count(DISTINCT instrument_name) AS instrument_count FROM bronze"""))
-def inventory(spark, sf_dir):
-    trades = tape.raw_option_trades(spark, sf_dir)
-    return quality.tape_inventory(trades, silver_plan.future_key(F.col("instrument_name")), F.col("instrument_name"))
-
-
 @query("tape_stats", _bronze("""SELECT instrument_name, count(*) AS trade_count, min(timestamp) AS first_trade,
     max(timestamp) AS last_trade, min(trade_seq) AS min_seq, max(trade_seq) AS max_seq
   FROM bronze GROUP BY 1"""))

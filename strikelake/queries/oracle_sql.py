@@ -163,7 +163,7 @@ judged AS (
     price / nullif(greatest(mark_price, 0), 0) - 1 AS price_vs_mark_deviation,
     CASE WHEN amount > 0 AND expected_premium >= 0.0001e0 * amount THEN amount * price / expected_premium END
       AS premium_collection_ratio,
-    round((epoch_ms(expiration_timestamp) - epoch_ms(timestamp)) / 86400000.0e0)::INT AS days_to_expiry,
+    round((epoch_us(expiration_timestamp) // 1000 - epoch_us(timestamp) // 1000) / 86400000.0e0)::INT AS days_to_expiry,
     forward_futures_price / futures_price - 1 AS outcome_forward_return_7day,
     implied_volatility - realized_vol_7day AS iv_minus_rv_gap,
     (CASE option_type WHEN 'call' THEN outcome_settlement_price - strike ELSE strike - outcome_settlement_price END) > 0

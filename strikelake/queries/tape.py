@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strikelake.sources.bronze import build_bronze_futures, build_bronze_options, build_settlements
+from strikelake import schemas
+from strikelake.functions.timeline import epoch_millis
+from strikelake.sources.bronze import build_bronze_futures, build_bronze_options, build_settlements, build_vol_index
 from strikelake.sources.storage import as_table
 
 # Expression text both engines understand.
@@ -76,13 +78,37 @@ def _as_structs(rows: str) -> str:
     return "(" + rows.replace("('", "struct('") + ")"
 
 
-def vol_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hour = F.to_date("ts").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
-    return (
+def vol_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly readings as the API returns them: per currency and day one JSON text of [epoch ms, value] pairs."""
+    hourly = (
         events(spark, sf_dir).filter("event_type = 'view'")
-        .groupBy(F.expr(_CURRENCY).alias("currency"), hour.alias("timestamp"))
-        .agg(F.round(F.avg("value"), 6).alias("volatility_value"))
+        .groupBy(F.expr(_CURRENCY).alias("currency"), F.to_date("ts").alias("day"), F.hour("ts").alias("hour"))
+        .agg(F.round(F.avg("value"), 6).alias("value"))
     )
+    millis = (F.unix_date("day") * 24 + F.col("hour")) * F.lit(3_600_000.0)
+    return hourly.groupBy("currency", "day").agg(
+        F.to_json(F.sort_array(F.collect_list(F.array(millis, F.col("value"))))).alias("result"))  # at most 24 pairs
+
+
+def vol_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_vol_index(vol_responses(spark, sf_dir))
+
+
+def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prints as the API's JSON lines (column ``value``); some are planted broken, by trade number.
+
+    Every 97th is cut short, every 101st lacks its price, every 103rd has an unknown direction.
+    """
+    raw = raw_option_trades(spark, sf_dir).unionByName(raw_futures_trades(spark, sf_dir), allowMissingColumns=True)
+    n = F.col("trade_seq")
+    fields = {f.name: F.col(f.name) for f in schemas.API_TRADE}
+    fields |= {
+        "timestamp": epoch_millis(F.col("timestamp")),
+        "price": F.when(n % 101 != 0, F.col("price")),
+        "direction": F.when(n % 103 == 0, "hold").otherwise(F.col("direction")),
+    }
+    line = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
+    return raw.select(F.when(n % 97 == 0, F.substring(line, 1, 40)).otherwise(line).alias("value"))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
@@ -17,13 +17,16 @@ def _scan(spark: SparkSession, path: str | list[str], schema: T.StructType, glob
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
+def file_stem() -> Column:
+    """Name of the file a row was read from, without its ending; a folder of part files that bears such a name counts
+    as the file."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)\.parquet(?:/part-[^/]+)?$", 1)
+
+
 def read_option_trades(spark: SparkSession, path: str | list[str], name_from_file: bool = True) -> DataFrame:
     """All per-instrument files below ``path``; the file name, not the column, names the instrument."""
     trades = _scan(spark, path, schemas.OPTION_TRADES)
-    if not name_from_file:
-        return trades
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+)\.parquet$", 1)
-    return trades.withColumn("instrument_name", stem)
+    return trades.withColumn("instrument_name", file_stem()) if name_from_file else trades
 
 
 def read_futures(spark: SparkSession, path: str | list[str], currency: str | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.instruments import currency_of
+from strikelake.sources.bronze import in_sequence
 
 MAX_RECORDS_PER_FILE = 20_000_000
 
@@ -15,6 +16,15 @@ def _by_currency(df: DataFrame) -> DataFrame:
     return df.withColumn("currency", currency_of(F.col("instrument_name")))
 
 
+def write_instrument_files(trades: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One folder ``<instrument>.parquet`` per instrument, its part files in order of trade_seq.
+
+    Prints are dealt over tasks by range, so a hot instrument is written by several.
+    """
+    named = in_sequence(trades).withColumn("instrument", F.concat("instrument_name", F.lit(".parquet")))
+    named.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("instrument").parquet(path)
+
+
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (_by_currency(df).write.mode(mode).option("compression", "zstd")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("currency").parquet(path))

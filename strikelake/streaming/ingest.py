@@ -10,10 +10,13 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strikelake.sources.bronze import build_bronze_options, split_trade_json
+from strikelake.functions.instruments import with_terms
+from strikelake.sources.bronze import build_bronze_options, dedupe_trades, split_trade_json
 
 DATE = "trade_date"
 _KEYS = ["instrument_name", "trade_seq"]
+_BLOCK = "seq_block"
+KEYS_PER_BLOCK = 100_000
 
 
 def stream_trades(spark: SparkSession, path: str, max_files_per_trigger: int = 1_000) -> tuple[DataFrame, DataFrame]:
@@ -25,24 +28,40 @@ def stream_trades(spark: SparkSession, path: str, max_files_per_trigger: int = 1
 def append_new_trades(target: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer: stored trades win over re-delivered ones, by (instrument_name, trade_seq).
 
-    A re-delivered trade has the same timestamp, so only the stored dates the batch touches are read, and
-    a replayed batch adds nothing.
+    Beside the tape, ``<target>_keys`` holds the stored keys by block of sequence numbers, so that a correction
+    with another date is found without reading the tape; only the blocks and dates a batch has are read. The tape is
+    written first: a batch replayed after a crash finds its rows under its own dates. Of trades that repeat inside a
+    batch the earliest stays. Trades whose instrument has no known form go to ``<target>_rejected``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        trades = build_bronze_options(batch).withColumn(DATE, F.to_date("timestamp")).persist()
+        spark = batch.sparkSession
+        batch = batch.persist()
         try:
-            first, last = trades.agg(F.min(DATE), F.max(DATE)).first()
-            if first is None:
+            known = with_terms(batch.select("instrument_name").distinct(), out="terms").filter(
+                F.col("terms").isNotNull()).select("instrument_name")
+            unknown = batch.join(known, "instrument_name", "left_anti")
+            if not unknown.isEmpty():
+                unknown.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{target}_rejected")
+            trades = dedupe_trades(build_bronze_options(batch.join(known, "instrument_name", "left_semi")))
+            fresh = trades.withColumns({DATE: F.to_date("timestamp"), _BLOCK: F.floor(F.col("trade_seq") / KEYS_PER_BLOCK)})
+            # as many values as the batch has dates and blocks
+            touched = fresh.agg(F.collect_set(DATE).alias("dates"), F.collect_set(_BLOCK).alias("blocks")).first()
+            if not touched["dates"]:
                 return
-            fresh = trades.dropDuplicates(_KEYS)
-            stored = _stored(batch.sparkSession, target)
-            if stored is not None:
-                seen = stored.filter(F.col(DATE).between(F.lit(first), F.lit(last))).select(*_KEYS)
-                fresh = fresh.join(seen, _KEYS, "left_anti")
-            fresh.write.mode("append").option("compression", "zstd").partitionBy(DATE).parquet(target)
+            for path, column, values in ((target, DATE, touched["dates"]), (f"{target}_keys", _BLOCK, touched["blocks"])):
+                stored = _stored(spark, path)
+                if stored is not None:
+                    seen = stored.filter(F.col(column).isin(values)).select(*_KEYS)
+                    fresh = fresh.join(seen, _KEYS, "left_anti")
+            fresh = fresh.persist()
+            try:
+                fresh.drop(_BLOCK).write.mode("append").option("compression", "zstd").partitionBy(DATE).parquet(target)
+                fresh.select(*_KEYS, _BLOCK).write.mode("append").partitionBy(_BLOCK).parquet(f"{target}_keys")
+            finally:
+                fresh.unpersist()
         finally:
-            trades.unpersist()
+            batch.unpersist()
 
     return write
 

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import math
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,13 @@ from pyspark.sql import functions as F
 from frames import SILVER, at, frame, future_row, option_row, silver_row
 from strikelake import schemas
 from strikelake.operators import quality
+from strikelake.operators.asof import asof_join
+from strikelake.operators.cells import measure_cells
+from strikelake.operators.ivhist import with_iv_percentile, with_iv_rank
 from strikelake.plans.gold import gold
 from strikelake.plans.silver import silver, spot_greeks
 from strikelake.sources import bronze, readers, writers
+from strikelake.sources.bronze import split_trade_json
 from strikelake.streaming.ingest import append_new_trades, stream_trades
 
 
@@ -255,6 +260,66 @@ def test_stream_appends_only_new_trades(spark, tmp_path):
         f.write("\n".join(json.dumps(api_trade(i)) for i in (2, 3)) + "\n{bad")
     run()
     assert sorted(r.trade_seq for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    # a late trade, a correction under another date, an unknown name, and a repeat inside the batch
+    day = 86_400_000
+    first = api_trade(9)["timestamp"]
+    late = [api_trade(4) | {"timestamp": first - 400 * day}, api_trade(3) | {"timestamp": first + 5 * day},
+            api_trade(7) | {"instrument_name": "???"}, api_trade(5) | {"timestamp": first + 2, "trade_id": "b"},
+            api_trade(5) | {"timestamp": first + 1, "trade_id": "a"}]
+    with open(f"{source}/3.jsonl", "w") as f:
+        f.write("\n".join(map(json.dumps, late)))
+    run()
+    got = {r.trade_seq: r for r in spark.read.parquet(target).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5] and got[5].trade_id == "a"
+    assert [r.instrument_name for r in spark.read.parquet(f"{target}_rejected").collect()] == ["???"]
+    # a batch replayed after a crash between the two writes
+    shutil.rmtree(f"{target}_keys")
+    good, _ = split_trade_json(spark.read.text(f"{source}/3.jsonl"))
+    append_new_trades(target)(good.filter("trade_seq <> 3"), 2)
+    assert spark.read.parquet(target).count() == 5
+
+
+def test_spark_writes_one_folder_per_instrument(spark, tmp_path):
+    rows = [option_row(f"t{i}", i, "2024-06-01 00:10:00", instrument_name=n)
+            for i, n in enumerate(["BTC-1JUL24-50000-C", "ETH-1JUL24-3000-P", "BTC-1JUL24-50000-C"])]
+    writers.write_instrument_files(frame(spark, schemas.OPTION_TRADES, rows), str(tmp_path / "tape"))
+    read = readers.read_option_trades(spark, str(tmp_path / "tape"))
+    assert sorted(r.instrument_name for r in read.collect()) == sorted(r["instrument_name"] for r in rows)
+    row = quality.tape_inventory(read, readers.file_stem(), F.col("instrument_name")).first()
+    assert (row.file_count, row.trade_count, row.instrument_count) == (2, 3, 2)
+
+
+def test_strict_percentile_ranks_new_bins(spark):
+    rows = [("BTC", dt.datetime(2024, 1, 1, 1), f"a{i}", 50.0 + i % 5 / 2) for i in range(30)]
+    rows.append(("BTC", dt.datetime(2024, 1, 2, 1), "new", 80.0))
+    df = spark.createDataFrame(rows, "currency string, timestamp timestamp_ntz, trade_id string, implied_volatility double")
+    got = {r.trade_id: r for r in with_iv_percentile(df, strict_past=True).collect()}
+    assert (got["new"].iv_percentile_90day, got["new"].iv_percentile_sample_size) == (1.0, 30)
+    assert got["a0"].iv_percentile_90day is None and got["a0"].iv_percentile_sample_size is None
+
+
+def test_iv_rank_is_per_currency(spark):
+    rows = [("BTC", dt.datetime(2024, 1, 1, h), f"b{h}", 40.0 + h) for h in range(21)]
+    rows += [("ETH", dt.datetime(2024, 1, 1, 5), "e", 200.0), ("BTC", dt.datetime(2024, 1, 3), "x", 60.0),
+             ("BTC", dt.datetime(2024, 12, 30, 0), "y", 60.0), ("BTC", dt.datetime(2024, 12, 31, 10), "z", 50.0)]
+    df = spark.createDataFrame(rows, "currency string, timestamp timestamp_ntz, trade_id string, implied_volatility double")
+    got = {r.trade_id: r for r in with_iv_rank(df).collect()}
+    assert got["x"].iv_rank_52w == 100.0 and (got["x"].iv_52w_low, got["x"].iv_52w_high) == (40.0, 60.0)
+    # 364 days back from the hour itself
+    assert got["y"].iv_52w_low == 40.0 and got["z"].iv_52w_low == 60.0 and got["e"].iv_52w_low is None
+
+
+def test_prints_without_a_key_go_round_the_window(spark):
+    left = spark.createDataFrame([(None, dt.datetime(2024, 1, 1), i) for i in range(200)] + [
+        ("f", dt.datetime(2024, 1, 1, 0, 30), 500), ("f", dt.datetime(2024, 1, 1, 2), 501)],
+        "k string, at timestamp_ntz, id int")
+    right = spark.createDataFrame([("f", dt.datetime(2024, 1, 1), 1.0), (None, dt.datetime(2024, 1, 1), 2.0)],
+                                  "k string, ts timestamp_ntz, v double")
+    widths = measure_cells([left.withColumnRenamed("at", "timestamp")], "k", max_rows=10)
+    got = asof_join(left, right, "k", "at", "ts", {"v": "v"}, tolerance_seconds=3600, widths=widths)
+    assert {r.id: r.v for r in got.collect()} == {i: None for i in range(200)} | {500: 1.0, 501: None}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(k" in plan and "isnull(k" in plan
 
 
 # --- quality ---
@@ -265,6 +330,10 @@ def test_missing_instruments_are_named(spark):
     quality.require_complete(expected, tape.unionByName(expected))
     with pytest.raises(quality.MissingInstrumentsError, match="1 instruments without trades, first: b"):
         quality.require_complete(expected, tape)
+    many = spark.range(50).selectExpr("concat('x', id) AS instrument_name")
+    with pytest.raises(quality.MissingInstrumentsError) as error:
+        quality.require_complete(many, tape)
+    assert error.value.missing.count() == 50
 
 
 def test_seq_gaps_across_blocks(spark):
