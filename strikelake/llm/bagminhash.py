@@ -274,17 +274,17 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     full = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     rows = as_table(rows.join(full, "band"), "bag-buckets")
     met = rows.groupBy("id").agg(F.sum("size").alias("met"))
-    ranked = rows.join(met, "id")
-    best = ranked.groupBy("band").agg(F.max("met").alias("met"))
-    # of equally met members the smallest id, again as plain minima, which are reduced before the shuffle
-    leaders = ranked.join(best, ["band", "met"]).groupBy("band").agg(F.min("id").alias("a"))
+    # of equally met members the smallest id; plain minima and maxima are reduced before the shuffle
+    ranked = rows.join(met, "id").groupBy("band", "met").agg(F.min("id").alias("id"))
+    leaders = ranked.groupBy("band").agg(F.max_by("id", "met").alias("a"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(met, "id", "left_semi")
     texts = as_table(texts.dropDuplicates(["id"]), "bag-texts")
     stars = as_table(rows.join(leaders, "band").filter("id != a").select("a", F.col("id").alias("b")).distinct(), "bag-stars")
     links = _alike(stars, classes, texts, similar)
     found = components(links, "bag-components")
     more = _apart(stars, found, texts, similar)
-    found = components(links.unionByName(more), "bag-components")
+    so_far = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(so_far.unionByName(more), "bag-components")
     found = as_table(named.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "k1", "k2", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"), "n_class"),
         "bag-found")

@@ -18,17 +18,23 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 
     large: only neighbours above the node move; else only those below, and the node itself.
     """
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    pairs = both if large else edges
-    least = both.groupBy("a").agg(F.min("b").alias("m")) if large else edges.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
-    moved = pairs.join(least, "a")
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    moved = both.join(least, "a")
     if large:
         out = moved.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))
-    return out.filter(F.col("a") > F.col("b")).distinct()
+    return out.filter(F.col("a") > F.col("b"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge down at most, and then none to it: the graph is a set of stars."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    counted = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return counted.filter((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))).isEmpty()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -39,18 +45,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     edges = edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = as_table(edges, name)
-
-    def state(df):
-        r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
-
-    seen = state(edges)
-    while seen[0]:
-        edges = as_table(_stars(_stars(edges, large=True), large=False), name)
-        now = state(edges)
-        if now == seen:
-            break
-        seen = now
+    while not _settled(edges):
+        edges = as_table(_stars(_stars(edges, large=True), large=False).distinct(), name)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
