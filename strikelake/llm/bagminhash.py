@@ -302,11 +302,14 @@ def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
 
     Of rows that repeat a kept doc_id one stays; rows without a doc_id all stay.
     """
-    stay = near_duplicates(docs, similar).filter(F.col("kept") & F.col("doc_id").isNotNull())
-    stay = as_table(stay.groupBy(F.col("doc_id").alias("_stay")).agg(F.count(F.lit(1)).alias("_times")), "bag-stay")
-    once = docs.join(stay.filter("_times = 1"), docs["doc_id"] == F.col("_stay"), "left_semi")
-    again = docs.join(stay.filter("_times > 1"), docs["doc_id"] == F.col("_stay"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionAll(again).unionAll(docs.filter(F.col("doc_id").isNull()))
+    found = near_duplicates(docs, similar).filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_times"))
+    # the ids to drop are fewer than those to keep; while they are small, no text is shuffled for them
+    apart = as_table(found.filter("NOT _kept OR _times > 1").select("_id", "_kept"), "bag-gone")
+    twice = as_table(apart.filter("_kept").select("_id"), "bag-twice")
+    same = docs["doc_id"] == F.col("_id")
+    again = docs.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(apart, same, "left_anti").unionAll(again)
 
 
 def op9_bagminhash_duplicates(spark, sf_dir: str) -> DataFrame:

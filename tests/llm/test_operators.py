@@ -404,6 +404,8 @@ def test_near_duplicates_equal_brute_force(spark, rows, none):
     kept = bagminhash.deduplicated(table)
     assert kept.columns == table.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(want.values()))
+    again = make(spark, [(1, more[0][1], "a"), (5, prose(rng, 50), "a"), (5, more[0][1], "a"), (7, None, "a")])
+    assert sorted(r["doc_id"] for r in bagminhash.deduplicated(again).collect()) == [1, 5, 7]
     assert bagminhash.near_duplicates(none).count() == 0 and bagminhash.deduplicated(none).count() == 0
 
 
