@@ -5,8 +5,8 @@ the window's rarest word by document frequency over the whole corpus. Where that
 where the window would start (positional bound) and whether it fits (length bound); the remaining words are then
 compared one by one. Documents stay where they are read: nothing of them is shuffled.
 
-The windows are broadcast in blocks of at most ``BLOCK_WINDOWS`` (about 100 bytes each), and every block meets every
-document, so the size of the benchmark changes the time and not the memory.
+The windows are broadcast in blocks of about ``BLOCK_WINDOWS`` at most (100 bytes each), and every block meets every
+document; a task holds one block at a time, so the size of the benchmark changes the time and not a task's memory.
 """
 
 from __future__ import annotations
@@ -52,19 +52,18 @@ def frequencies(docs: DataFrame, vocabulary: list) -> DataFrame:
         totals = None
         for batch in batches:
             column = batch.column("text")
-            totals = totals or [np.zeros(len(v.value), np.int64) for v in vocabulary]
+            totals = totals or [np.zeros(len(v), np.int64) for v in opened(vocabulary)]
             for _, _, words in bytetext.words_in(column, bytetext.ALNUM, lower=True):
                 doc = words.doc
-                for total, known in zip(totals, vocabulary):
-                    known = known.value
+                for total, known in zip(totals, opened(vocabulary)):
                     at = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
                     hit = known[at] == words.hash
                     seen = np.unique(doc[hit] * len(known) + at[hit])
                     total += np.bincount(seen % len(known), minlength=len(known))
-        for total, known in zip(totals or [], vocabulary):
+        for total, known in zip(totals or [], opened(vocabulary)):
             held = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(known.value[held].view(np.int64)), pa.array(total[held])], ["word", "docs"])
+                [pa.array(known[held].view(np.int64)), pa.array(total[held])], ["word", "docs"])
 
     return docs.select("text").mapInArrow(count, "word bigint, docs bigint").groupBy("word").agg(
         F.sum("docs").alias("docs"))
@@ -126,6 +125,14 @@ def blocks(windows: DataFrame, size: int, block_windows: int) -> list:
             if (rows := windows.filter(where == p).collect())]
 
 
+def opened(index: list):
+    """The blocks one by one; with several, a task holds no more than one at a time."""
+    for block in index:
+        yield block.value
+        if len(index) > 1:
+            vars(block).pop("_value", None)  # what a broadcast keeps after its first use
+
+
 def indexed(docs: DataFrame, benchmark: DataFrame, window: int, block_windows: int) -> list:
     """The benchmark's windows, keyed by their rarest word in ``docs``, as broadcast blocks."""
     spark = docs.sparkSession
@@ -155,8 +162,7 @@ def hits(column: pa.Array, index: list) -> tuple[np.ndarray, np.ndarray, list[li
     for _, _, words in bytetext.words_in(column, bytetext.ALNUM, lower=True):
         covered = np.zeros(len(words.hash), bool)
         doc, items = words.doc, [set() for _ in range(len(words.first) - 1)]
-        for block in index:
-            block = block.value
+        for block in opened(index):
             pairs = [np.zeros(0, np.int64)]
             for start, win in block.occurrences(words):
                 covered |= bytetext.marked(len(covered), start, block.n[win])

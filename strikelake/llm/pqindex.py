@@ -25,7 +25,8 @@ from strikelake.sources.storage import as_table
 
 COSINE = 0.93
 SAMPLE = 20_000
-LISTS, SUBSPACES, CODEWORDS = 64, 8, 64
+LISTS, SUBSPACES, CODEWORDS = 64, 8, 64  # lists at least
+VECTORS_PER_LIST = 1000  # beyond LISTS * this, more lists, as far as the sample can fit them
 MARGIN = 0.16
 BLOCK = 512
 ROUNDS = 12
@@ -61,7 +62,8 @@ class Quantizer:
         """(home list, lists asked) of unit vectors: home and those whose border is within the margin."""
         square = np.maximum((x**2).sum(axis=1)[:, None] + (self.coarse**2).sum(axis=1)[None, :] - 2 * x @ self.coarse.T, 0)
         home = square.argmin(axis=1)
-        between = np.sqrt(np.maximum(((self.coarse[:, None, :] - self.coarse[None, :, :]) ** 2).sum(axis=2), 1e-12))
+        norms = (self.coarse**2).sum(axis=1)
+        between = np.sqrt(np.maximum(norms[:, None] + norms[None, :] - 2 * self.coarse @ self.coarse.T, 1e-12))
         border = (square - square[np.arange(len(x)), home][:, None]) / (2 * between[home])
         near = border <= margin
         near[np.arange(len(x)), home] = True
@@ -127,6 +129,7 @@ def near_duplicates(
     if width:
         learned = learned / np.abs(learned).max(axis=1)[:, None]
         learned = learned / np.sqrt((learned**2).sum(axis=1))[:, None]
+        lists = max(lists, min(len(learned) // 16, classes.count() // VECTORS_PER_LIST))
         model = classes.sparkSession.sparkContext.broadcast(fit(learned, cosine, lists, subspaces, codewords))
         counts, edges = _links(classes.filter(F.size("embedding") == width), model, cosine, margin, block)
         found = components(edges, "pq-components")
