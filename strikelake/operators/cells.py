@@ -77,11 +77,12 @@ def in_cells(df: DataFrame, by: str, at: str, widths: DataFrame | None) -> DataF
 def trailing_week(ledger: DataFrame, by: str, sums: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
     """Sums over the cells that lie fully inside the seven days before each cell: ``by``, cell, keep, outputs.
 
-    ledger has one row per (``by``, cell); sums maps its columns to output names, NULL where no such cell is.
-    In two levels, so that a cell does not read the thousands before it: earlier cells of its day, the six
+    ledger has one row per (``by``, cell); sums maps its columns to output names, NULL where no such cell is. It is
+    stored first, as it is read three times. In two levels, so that a cell does not read the thousands before it: earlier cells of its day, the six
     whole days before, and of the day before those the later cells, all running sums or one row per day.
     The windows run per (``by``, day).
     """
+    ledger = as_table(ledger, "ledger")
     day = f"floor({CELL} / 86400)"
     own = ledger.selectExpr(by, CELL, f"{day} AS __day", "1 AS __lane", *keep, *sums)
     aged = ledger.selectExpr(

@@ -63,6 +63,11 @@ def futures_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settlements as a stored bronze table."""
+    return stored(spark, sf_dir, "settlements", lambda: _settlements(spark, sf_dir))
+
+
+def _settlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = (
         events(spark, sf_dir).selectExpr(
             f"concat(lower({_CURRENCY}), '_usd') AS index_name", "cast(cast(ts AS date) AS string) AS date",
@@ -91,7 +96,8 @@ def vol_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vol_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_vol_index(vol_responses(spark, sf_dir))
+    """The vol index as a stored bronze table."""
+    return stored(spark, sf_dir, "vol_index", lambda: build_vol_index(vol_responses(spark, sf_dir)))
 
 
 def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
