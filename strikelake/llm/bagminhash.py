@@ -257,16 +257,17 @@ def _apart(stars: DataFrame, found: DataFrame, texts: DataFrame, similar: float)
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id, component_id, n_class, kept.
+    """One row per document: doc_id, class_id, copy_id, n_copies, kept.
 
-    class_id is the smallest doc_id with the same words, component_id the smallest reachable by links of at least
-    ``similar``; kept marks doc_id = component_id. Texts without words (null, empty) are classes of their own and link
-    with nothing; so are rows without a doc_id, whose ids are null and which are kept. Rows that repeat a doc_id get a
-    row each, with the least class and component found for that id. Other columns are ignored; doc_id is read as a long.
+    class_id is the smallest doc_id reachable by links of at least ``similar``; kept marks doc_id = class_id. copy_id
+    is the smallest doc_id with the same words, and n_copies counts the rows with those words. Texts without words
+    (null, empty) are classes of their own and link with nothing; so are rows without a doc_id, whose ids are null and
+    which are kept. Rows that repeat a doc_id get a row each, by their own text. Other columns are ignored; doc_id is
+    read as a long.
     """
     signed = _signed(docs)
     real = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    named = as_table(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_class")),
+    named = as_table(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_copies")),
                      "bag-classes")
     lead = signed.join(named, ["k1", "k2"]).filter(F.col("doc_id") == F.col("id"))
     classes = as_table(lead.select("id", "n", "bands", "sketch").dropDuplicates(["id"]), "bag-leads")
@@ -286,15 +287,14 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     so_far = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(so_far.unionByName(more), "bag-components")
     found = as_table(named.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "k1", "k2", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"), "n_class"),
-        "bag-found")
+        "k1", "k2", F.col("id").alias("copy_id"), F.coalesce("component", "id").alias("class_id"), "n_copies"), "bag-found")
     out = signed.select("doc_id", "k1", "k2", "n").join(found, ["k1", "k2"], "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
-    mine = lambda c: F.when(alone | F.col(c).isNull(), F.col("doc_id")).otherwise(F.col(c))
+    mine = lambda c: F.when(alone | F.col(c).isNull(), F.col("doc_id")).otherwise(F.col(c)).alias(c)
     return out.select(
-        "doc_id", mine("class_id").alias("class_id"), mine("component_id").alias("component_id"),
-        F.when(alone | F.col("n_class").isNull(), F.lit(1)).otherwise(F.col("n_class")).cast("long").alias("n_class"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        "doc_id", mine("class_id"), mine("copy_id"),
+        F.when(alone | F.col("n_copies").isNull(), F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"),
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:

@@ -397,10 +397,14 @@ def test_near_duplicates_equal_brute_force(spark, rows, none):
     table = make(spark, [*rows, *more], extra=True).repartition(4)
     got = bagminhash.near_duplicates(table).collect()
     assert len(got) == len(rows) + len(more)
-    wrong = [(r["doc_id"], r["component_id"]) for r in got
-             if r["doc_id"] is not None and r["component_id"] != want[r["doc_id"]]]
+    wrong = [(r["doc_id"], r["class_id"]) for r in got if r["doc_id"] is not None and r["class_id"] != want[r["doc_id"]]]
     assert not wrong
-    assert all(r["component_id"] is None and r["kept"] for r in got if r["doc_id"] is None)
+    words = {i: tuple(brute.ALNUM.findall(brute.lower(t))) for i, t in single.items()}
+    for r in got:
+        if r["doc_id"] is not None:
+            same = [i for i, w in words.items() if w and w == words[r["doc_id"]]] or [r["doc_id"]]
+            assert r["copy_id"] == min(same)
+    assert all(r["class_id"] is None and r["kept"] for r in got if r["doc_id"] is None)
     kept = bagminhash.deduplicated(table)
     assert kept.columns == table.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(want.values()))
