@@ -1,6 +1,7 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
 from strikelake.llm import bagminhash, decontaminate, fixity, licenses, mixing, pqindex, quality, secrets, substrings, tokencounts
+from strikelake.llm.shipping import shipped
 
 QUERIES = {
     "op1_crf_quality": quality.op1_crf_quality,
@@ -14,6 +15,7 @@ QUERIES = {
     "op9_bagminhash_duplicates": bagminhash.op9_bagminhash_duplicates,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
 }
+QUERIES = {name: shipped(run) for name, run in QUERIES.items()}
 
 ORACLE_SQL = {
     "op2_merkle_fixity": fixity.SQL,
