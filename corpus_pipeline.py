@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strikelake.llm import bagminhash, decontaminate, mixing, quality, secrets
+from strikelake.llm.shipping import shipped
 from strikelake.sources.storage import as_table
 
 
@@ -38,11 +39,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality classifier", quality_classifier),
-    ("MinHash near-dedup", near_duplicates),
-    ("benchmark decontamination", benchmark_decontamination),
-    ("secret scans", secret_scan),
-    ("mixing sources to target weights", source_mix),
+    ("quality classifier", shipped(quality_classifier)),
+    ("MinHash near-dedup", shipped(near_duplicates)),
+    ("benchmark decontamination", shipped(benchmark_decontamination)),
+    ("secret scans", shipped(secret_scan)),
+    ("mixing sources to target weights", shipped(source_mix)),
 ]
 
 #: A trained classifier and MinHash are not SQL; tests/llm compare the pipeline with brute force.
