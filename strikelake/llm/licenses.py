@@ -1,10 +1,13 @@
-"""License scans: an exact set-similarity join between text blocks (lines) and license templates.
+"""License scans: an exact set-similarity join between text blocks (lines, runs of words) and license templates.
 
 The tokens of the templates are ordered by how many documents hold them, rarest first. A block that contains at
 least ``need = ceil(threshold * size)`` of a template's distinct tokens must hold one of its ``size - need + 1``
 rarest (prefix filter), must have at least ``need`` template tokens (length filter), and at the first token both
 share, what is left on either side must still reach ``need`` (positional filter). What passes is verified exactly.
 
+A sentence may be wrapped over lines, so every run of ``ceil(words / threshold)`` consecutive words of a document is a
+block of its template as well. Such a run holds one of the same rarest tokens: only runs around one are looked at.
+
 DataFrame functions only. No text is shuffled: a block travels as the ranks of its template tokens, and only blocks
 that pass the length filter leave the scan. The template index is bounded by the ``templates`` parameter.
 """
@@ -73,20 +76,22 @@ def rarity(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def template_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, block, label, containment) of every block that holds ``threshold`` of a template's tokens.
+    """(doc_id, block, label, containment) of the blocks that hold ``threshold`` of a template's tokens.
 
-    block is the number of the line, from 0.
+    block is the number of the line, from 0, or null for a run of words, which may go over lines.
     """
     if not templates:
         return docs.select("doc_id").limit(0).select(
             "doc_id", F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("containment"))
     sets = [(label, tokens_of(text)) for label, text in templates]
     rank = rarity(docs, sorted({t for _, ts in sets for t in ts}))
-    index = []
-    for label, ts in sets:
+    index, asked = [], []
+    for (label, ts), (_, text) in zip(sets, templates):
         ordered = sorted(rank[t] for t in ts)
         need = math.ceil(threshold * len(ordered) - 1e-9)
-        index += [(r, label, ordered, i, len(ordered), need) for i, r in enumerate(ordered[: len(ordered) - need + 1])]
+        prefix = ordered[: len(ordered) - need + 1]
+        index += [(r, label, ordered, i, len(ordered), need) for i, r in enumerate(prefix)]
+        asked.append((label, ts, [t for t in ts if rank[t] in prefix], need, run_length(text, threshold)))
     least = min(i[5] for i in index)
     spark = docs.sparkSession
     prefixes = spark.createDataFrame(
@@ -99,11 +104,42 @@ def template_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
     pairs = block.select("*", F.posexplode("have").alias("j", "rank")).join(prefixes, "rank")
     left = F.lit(1) + F.least(F.col("template_size") - F.col("i") - 1, F.size("have") - F.col("j") - 1)
     shared = F.array_intersect("have", "ordered")
-    return (
+    lines = (
         pairs.filter((F.size("have") >= F.col("need")) & (left >= F.col("need")))
         .filter((F.array_min(shared) == F.col("rank")) & (F.size(shared) >= F.col("need")))
         .select("doc_id", "block", "label", (F.size(shared) / F.col("template_size")).alias("containment"))
     )
+    return lines.unionByName(_runs(docs, list(rank), asked))
+
+
+def run_length(template: str, threshold: float) -> int:
+    """Words of a run in which at least ``threshold`` are the template's."""
+    return math.ceil(len(re.findall(r"[0-9a-z]+", template.lower())) / threshold - 1e-9)
+
+
+def _runs(docs: DataFrame, vocabulary: list[str], asked: list[tuple]) -> DataFrame:
+    """template_blocks of runs of words: the best one around each of a template's rarest tokens.
+
+    ``asked`` has a template's label, tokens, rarest tokens, least number of tokens and run length.
+    """
+    listed = F.array(*[
+        F.struct(F.lit(label).alias("label"), _literal(tokens).alias("tokens"), _literal(prefix).alias("prefix"),
+                 F.lit(need).alias("need"), F.lit(length).alias("length"))
+        for label, tokens, prefix, need, length in asked])
+    words = _words(F.lower("text"))
+    each = docs.select("doc_id", words.alias("words"), F.array_intersect(words, _literal(vocabulary)).alias("held"))
+    # what an explode hands on is worked out once, not once for every word
+    open_ = each.select("doc_id", "words", F.explode(F.filter(
+        listed, lambda t: F.size(F.array_intersect("held", t["tokens"])) >= t["need"])).alias("t"))
+    t, n = F.col("t"), F.col("t.length")
+    places = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(t["prefix"], F.get("words", i - 1)))
+    around = F.transform(places, lambda i: F.slice("words", F.greatest(i - n + 1, F.lit(1)), F.least(i, n) + n - 1))
+    near = open_.select("doc_id", "t", F.explode(F.array_distinct(around)).alias("near"))
+    near = near.filter(F.size(F.array_intersect("near", "t.tokens")) >= F.col("t.need"))
+    best = F.array_max(F.transform(
+        F.sequence(F.lit(1), n), lambda i: F.size(F.array_intersect(F.slice("near", i, n), t["tokens"]))))
+    return near.select("doc_id", "t", best.alias("best")).filter(F.col("best") >= F.col("t.need")).select(
+        "doc_id", F.lit(None).cast("int").alias("block"), "t.label", (F.col("best") / F.size("t.tokens")).alias("containment"))
 
 
 def _phrase(words: str) -> str:
@@ -122,7 +158,8 @@ def _places(words: Column, parts: list[str]) -> Column:
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phrases=PHRASES) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Phrases are found where their words stand one after another. labels adds those of the matching templates;
+    Phrases are found where their words stand one after another. labels adds those of the templates that a line or a
+    run of words, over lines or not, holds;
     score is the highest containment found, 1 for a phrase, 0 if nothing is found. A null text is empty: no words, no
     labels (empty strings), null positions. Rows that repeat a doc_id are kept; template labels belong to the doc_id,
     so rows of one doc_id with different texts share them. Other columns are ignored.

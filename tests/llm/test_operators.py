@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -379,6 +380,21 @@ def test_licenses_on_edges(spark, docs, rows, none):
     assert licenses.scan(docs, templates=[]).count() == len(rows)
 
 
+@pytest.mark.parametrize("width", [30, 72])
+def test_wrapped_licenses(spark, width):
+    shown = [(label, text) for label, text in licenses.TEMPLATES if len(text) > 60]
+    assert {label for label, _ in shown} >= {"mit", "bsd", "mpl-2", "cc0"}
+    wrap = lambda text, lead: "\n".join(lead + x for x in textwrap.wrap(text, width))
+    texts = [lead + wrap(f"Some words ahead of it. {text}. And words behind it.", lead) for lead in ("", " * ", "# ")
+             for _, text in shown]
+    apart = [" filler".join(text.split()[::2]) + "\n" + " filler".join(text.split()[1::2]) for _, text in shown]
+    table = make(spark, [(i, t, "a") for i, t in enumerate(texts + apart)])
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(table).collect()}
+    for i in range(len(texts)):
+        assert got[i] == (shown[i % len(shown)][0], 1.0)
+    assert {got[len(texts) + i] for i in range(len(apart))} == {("", 0.0)}
+
+
 # --- near-duplicates
 
 
