@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strikelake.llm import bytetext
 from strikelake.llm.bytetext import U, mixed
@@ -137,6 +138,31 @@ def similarity(a: pa.Array, b: pa.Array) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
+def _word_keys(words: bytetext.Words) -> list[np.ndarray]:
+    """Two names, 64 bits each, of the words of each text."""
+    n, first, keys = len(words.hash), words.first, []
+    for seed in (0, 21):
+        up, down = bytetext.word_powers(n + 1)
+        sums = np.r_[U(0), np.cumsum(mixed(words.hash, seed) * up[:n])]
+        whole = (sums[first[1:]] - sums[first[:-1]]) * down[first[:-1]]
+        keys.append(mixed(whole + np.diff(first).astype(U), 22).view(np.int64))
+    return keys
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with k1 and k2, the names of the words of text, as the columns _k1 and _k2."""
+    def name(batches):
+        for batch in batches:
+            parts = [_word_keys(w) for _, _, w in bytetext.words_in(batch.column("text"), bytetext.ALNUM, lower=True)]
+            for i, c in enumerate(("_k1", "_k2")):
+                column = np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64)
+                batch = batch.append_column(c, pa.array(column))
+            yield batch
+
+    schema = StructType([*docs.schema.fields, StructField("_k1", LongType()), StructField("_k2", LongType())])
+    return docs.mapInArrow(name, schema)
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     """Stored, one row per document: doc_id, k1 and k2 (its words, 128 bits), n runs, bands, sketch (a byte a place)."""
     def sign(batches):
@@ -145,12 +171,8 @@ def _signed(docs: DataFrame) -> DataFrame:
             for a, b, words in bytetext.words_in(batch.column("text"), bytetext.ALNUM, lower=True):
                 doc, run, weight = bags(*shingles(words))
                 signature = signatures(doc, run, weight, b - a)
-                n, first = len(words.hash), words.first
-                for i, seed in enumerate((0, 21)):
-                    up, down = bytetext.word_powers(n + 1)
-                    sums = np.r_[U(0), np.cumsum(mixed(words.hash, seed) * up[:n])]
-                    whole = (sums[first[1:]] - sums[first[:-1]]) * down[first[:-1]]
-                    columns[i].append(mixed(whole + np.diff(first).astype(U), 22).view(np.int64))
+                for i, key in enumerate(_word_keys(words)):
+                    columns[i].append(key)
                 columns[2].append(np.bincount(doc, weights=weight, minlength=b - a).astype(np.int64))
                 columns[3] += [r.tobytes() for r in bands_of(signature)]
                 columns[4] += [r.tobytes() for r in mixed(signature.view(U), 15).astype(np.uint8)]
@@ -256,20 +278,16 @@ def _apart(stars: DataFrame, found: DataFrame, texts: DataFrame, similar: float)
     return as_table(rows.join(texts, "id").groupBy("a", "x", "y").applyInArrow(meet, "a bigint, b bigint"), "bag-more")
 
 
-def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id, copy_id, n_copies, kept.
+def _classified(docs: DataFrame, similar: float) -> DataFrame:
+    """near_duplicates with k1 and k2, the names of a row's words, and leads: no class in its component is before its own.
 
-    class_id is the smallest doc_id reachable by links of at least ``similar``; kept marks doc_id = class_id. copy_id
-    is the smallest doc_id with the same words, and n_copies counts the rows with those words. Texts without words
-    (null, empty) are classes of their own and link with nothing; so are rows without a doc_id, whose ids are null and
-    which are kept. Rows that repeat a doc_id get a row each, by their own text. Other columns are ignored; doc_id is
-    read as a long.
+    Classes have numbers of their own, in the order of (smallest doc_id, k1, k2): different texts may share a doc_id.
     """
     signed = _signed(docs)
     real = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    named = as_table(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n_copies")),
-                     "bag-classes")
-    lead = signed.join(named, ["k1", "k2"]).filter(F.col("doc_id") == F.col("id"))
+    named = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n_copies"))
+    named = as_table(named.orderBy("copy_id", "k1", "k2").withColumn("id", F.monotonically_increasing_id()), "bag-classes")
+    lead = signed.join(named, ["k1", "k2"]).filter(F.col("doc_id") == F.col("copy_id"))
     classes = as_table(lead.select("id", "n", "bands", "sketch").dropDuplicates(["id"]), "bag-leads")
     rows = as_table(_buckets(classes), "bag-bands")
     full = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -278,7 +296,10 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     # of equally met members the smallest id; plain minima and maxima are reduced before the shuffle
     ranked = rows.join(met, "id").groupBy("band", "met").agg(F.min("id").alias("id"))
     leaders = ranked.groupBy("band").agg(F.max_by("id", "met").alias("a"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(met, "id", "left_semi")
+    wanted = as_table(named.join(met, "id", "left_semi").select(
+        F.col("copy_id").alias("doc_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "id"), "bag-wanted")
+    texts = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(
+        wanted, ["doc_id", "_k1", "_k2"]).select("id", "text")
     texts = as_table(texts.dropDuplicates(["id"]), "bag-texts")
     stars = as_table(rows.join(leaders, "band").filter("id != a").select("a", F.col("id").alias("b")).distinct(), "bag-stars")
     links = _alike(stars, classes, texts, similar)
@@ -286,29 +307,55 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     more = _apart(stars, found, texts, similar)
     so_far = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(so_far.unionByName(more), "bag-components")
-    found = as_table(named.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "k1", "k2", F.col("id").alias("copy_id"), F.coalesce("component", "id").alias("class_id"), "n_copies"), "bag-found")
+    first = as_table(found.select(F.col("component").alias("id")).distinct().join(named, "id").select(
+        F.col("id").alias("component"), F.col("copy_id").alias("first_id")), "bag-first")
+    found = found.join(first, "component").select(F.col("node").alias("id"), "component", "first_id")
+    found = as_table(named.join(found, "id", "left").select(
+        "k1", "k2", "copy_id", F.coalesce("first_id", "copy_id").alias("class_id"), "n_copies",
+        (F.coalesce("component", "id") == F.col("id")).alias("leads")), "bag-found")
     out = signed.select("doc_id", "k1", "k2", "n").join(found, ["k1", "k2"], "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     mine = lambda c: F.when(alone | F.col(c).isNull(), F.col("doc_id")).otherwise(F.col(c)).alias(c)
     return out.select(
-        "doc_id", mine("class_id"), mine("copy_id"),
+        "doc_id", "k1", "k2", mine("class_id"), mine("copy_id"),
         F.when(alone | F.col("n_copies").isNull(), F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+        (alone | F.coalesce("leads", F.lit(True))).alias("leads"),
+    ).withColumn("kept", F.coalesce(F.col("leads") & (F.col("doc_id") == F.col("copy_id")), F.lit(True)))
+
+
+def near_duplicates(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, class_id, copy_id, n_copies, kept.
+
+    class_id is the smallest doc_id reachable by links of at least ``similar``; kept marks the rows of that doc_id that
+    have the class' first words. copy_id is the smallest doc_id with the same words, and n_copies counts the rows with
+    those words. Texts without words (null, empty) are classes of their own and link with nothing; so are rows without
+    a doc_id, whose ids are null and which are kept. Rows that repeat a doc_id get a row each, by their own text:
+    different texts of one doc_id are classes of their own, which may share a class_id without being near each other.
+    Of near texts that share the smallest doc_id one is kept. Other columns are ignored; doc_id is read as a long.
+    """
+    return _classified(docs, similar).select("doc_id", "class_id", "copy_id", "n_copies", "kept")
 
 
 def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """``docs`` (all columns) with one document of each component: the one with the smallest doc_id.
 
-    Of rows that repeat a kept doc_id one stays; rows without a doc_id all stay.
+    Of rows that repeat a doc_id each is judged by its own text, and of kept ones with the same words one stays; rows
+    without a doc_id all stay.
     """
-    found = near_duplicates(docs, similar).filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_times"))
+    found = _classified(docs, similar).filter(F.col("doc_id").isNotNull())
+    found = as_table(found.groupBy("doc_id", "k1", "k2").agg(
+        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_times")), "bag-judged")
+    by_id = found.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.bool_or("_kept").alias("_kept"), F.sum("_times").alias("_times"))
     # the ids to drop are fewer than those to keep; while they are small, no text is shuffled for them
-    apart = as_table(found.filter("NOT _kept OR _times > 1").select("_id", "_kept"), "bag-gone")
+    apart = as_table(by_id.filter("NOT _kept OR _times > 1").select("_id", "_kept"), "bag-gone")
     twice = as_table(apart.filter("_kept").select("_id"), "bag-twice")
+    right = as_table(found.filter("_kept").join(twice, F.col("doc_id") == F.col("_id"), "left_semi").select(
+        F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")), "bag-right")
     same = docs["doc_id"] == F.col("_id")
-    again = docs.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
+    again = _keyed(docs.join(twice, same, "left_semi"))
+    mine = (again["doc_id"] == right["_id"]) & (again["_k1"] == right["_k1"]) & (again["_k2"] == right["_k2"])
+    again = again.join(right, mine, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).drop("_k1", "_k2")
     return docs.join(apart, same, "left_anti").unionAll(again)
 
 

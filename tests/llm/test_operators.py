@@ -429,6 +429,24 @@ def test_near_duplicates_equal_brute_force(spark, rows, none):
     assert bagminhash.near_duplicates(none).count() == 0 and bagminhash.deduplicated(none).count() == 0
 
 
+def test_repeated_ids_with_different_texts(spark):
+    rng = random.Random(17)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(60)) for x in "abc")
+    near = lambda t: t + " tail"
+    rows = [(5, a, "a"), (5, b, "a"), (9, near(b), "a"), (5, c, "a"), (3, near(c), "a"), (11, near(a), "a"), (5, b, "a"),
+            (20, a + " one", "a"), (5, None, "a"), (30, b.upper(), "a")]
+    for _ in range(2):
+        table = make(spark, rows).repartition(5)
+        got = {(r["doc_id"], r["class_id"], r["copy_id"], r["n_copies"], r["kept"]) for r in
+               bagminhash.near_duplicates(table).collect()}
+        assert got == {(5, 5, 5, 1, True), (5, 5, 5, 3, True), (9, 5, 9, 1, False), (5, 3, 5, 1, False), (3, 3, 3, 1, True),
+                       (11, 5, 11, 1, False), (20, 5, 20, 1, False), (30, 5, 5, 3, False)}
+        kept = bagminhash.deduplicated(table).collect()
+        want = [(3, near(c)), (5, a), (5, b), (5, None)]
+        assert sorted((r["doc_id"], r["text"] or "") for r in kept) == sorted((i, t or "") for i, t in want)
+        rows.reverse()
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = np.random.default_rng(3)
     run = bytetext.mixed(np.arange(60, dtype=np.uint64), 50)
