@@ -69,11 +69,16 @@ def frequencies(docs: DataFrame, vocabulary: list) -> DataFrame:
         F.sum("docs").alias("docs"))
 
 
+def _named(item: str | None) -> tuple[bool, str]:
+    """Order of item names: null, which no name equals, comes first."""
+    return item is not None, item or ""
+
+
 class Index:
     """Windows sorted by their rarest word: key, its place in the window, length, words (padded) and item."""
 
     def __init__(self, rows, size: int):
-        order = sorted(rows, key=lambda r: (r["key"], r["item_id"], r["words"]))
+        order = sorted(rows, key=lambda r: (r["key"], _named(r["item_id"]), r["words"]))
         self.key = np.array([r["key"] for r in order], np.int64).view(np.uint64)
         by_key = np.argsort(self.key, kind="stable")
         self.key = self.key[by_key]
@@ -85,7 +90,7 @@ class Index:
             self.words[i, : r["n"]] = r["words"]
         self.words = self.words.view(np.uint64)
         self.item = [r["item_id"] for r in order]
-        names = {name: i for i, name in enumerate(sorted(set(self.item)))}
+        names = {name: i for i, name in enumerate(sorted(set(self.item), key=_named))}
         self.names, self.item_no = list(names), np.array([names[x] for x in self.item], np.int64)
 
     def occurrences(self, words: bytetext.Words):
@@ -156,7 +161,7 @@ def indexed(docs: DataFrame, benchmark: DataFrame, window: int, block_windows: i
     return blocks(keyed, window, block_windows)
 
 
-def hits(column: pa.Array, index: list) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+def hits(column: pa.Array, index: list) -> tuple[np.ndarray, np.ndarray, list[list[str | None]]]:
     """Per text: its words, its hit words, and the sorted items that occur in it."""
     n_words, n_hit, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
     for _, _, words in bytetext.words_in(column, bytetext.ALNUM, lower=True):
@@ -172,7 +177,7 @@ def hits(column: pa.Array, index: list) -> tuple[np.ndarray, np.ndarray, list[li
         before = np.r_[0, np.cumsum(covered)]
         n_words.append(np.diff(words.first))
         n_hit.append(before[words.first[1:]] - before[words.first[:-1]])
-        found += map(sorted, items)
+        found += [sorted(own, key=_named) for own in items]
     return np.concatenate(n_words), np.concatenate(n_hit), found
 
 
@@ -183,14 +188,15 @@ def contamination(
 
     A word is hit if it lies in an occurrence of ``window`` consecutive words of an item (all words of a shorter
     item). Null and empty texts and items have no words. Repeated rows are judged one by one; items with equal texts
-    count each; an empty benchmark hits nothing; other columns are ignored.
+    count each; an empty benchmark hits nothing; other columns are ignored. Items whose item_id is null hit like any
+    other; together they are one item without a name: counted in n_items, not listed in items_sha256.
     """
     index = indexed(docs, benchmark, window, block_windows)
 
     def judge(batches):
         for batch in batches:
             total, hit, items = hits(batch.column("text"), index)
-            sha = [hashlib.sha256(",".join(own).encode()).hexdigest() for own in items]
+            sha = [hashlib.sha256(",".join(x for x in own if x is not None).encode()).hexdigest() for own in items]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(total), pa.array(hit), pa.array(map(len, items), pa.int64()),
                  pa.array(sha, pa.string()), pa.array(hit > 0), pa.array(hit / np.maximum(total, 1))],

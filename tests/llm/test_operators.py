@@ -6,6 +6,7 @@ import random
 import textwrap
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -323,6 +324,27 @@ def test_contamination_equals_brute_force(spark, docs, rows, block):
             i for (i, _, _), w in zip(rows, want) if w[1] == 0)
 
 
+@pytest.mark.parametrize("block", [1, 200_000])
+def test_items_without_an_id(spark, block):
+    texts = ["one two three four", "alpha bravo delta", "one two three four alpha bravo delta golf hotel", "golf hotel", None]
+    table = make(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    odd = [(None, "alpha bravo delta"), (None, "golf hotel"), (None, None)]
+    for items in ([(7, "one two three four"), (8, "alpha bravo delta"), *odd], odd):
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        got = {r["doc_id"]: r for r in decontaminate.contamination(table, bench, block_windows=block).collect()}
+        named = len(items) > 3
+        assert [got[i]["n_hit"] for i in range(5)] == [4 * named, 3, 5 + 4 * named, 2, 0]
+        assert [got[i]["n_items"] for i in range(5)] == [named, 1 + named, 1 + 2 * named, 1, 0]
+        listed = ["7", "8", "7,8", "", ""] if named else [""] * 5
+        assert [got[i]["items_sha256"] for i in range(5)] == [brute.sha(x) for x in listed]
+        kept = decontaminate.decontaminated(table, bench, block_windows=block).collect()
+        assert {r["doc_id"] for r in kept} == ({4} if named else {0, 4})
+        con = duckdb.connect()
+        con.register("documents", pa.table({"doc_id": range(5), "text": texts}))
+        con.register("benchmark", pa.table({"item_id": pa.array([i for i, _ in items], pa.int64()), "text": [t for _, t in items]}))
+        assert sorted(con.sql(decontaminate.SQL).fetchall()) == sorted(tuple(r) for r in got.values())
+
+
 def test_empty_benchmark(spark, docs, none):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(docs, empty).filter("contaminated").count() == 0
