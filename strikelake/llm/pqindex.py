@@ -7,7 +7,10 @@ dimensions its shift along one direction is about the distance over the square r
 distances come from a table per query and subspace; pairs within the threshold plus the quantisation error are reranked
 by their exact cosine in double precision.
 
-Equal vectors are one class with a weight. A (label, list) cell is cut into blocks of ``BLOCK`` rows and every pair of
+Vectors of different lengths link with nothing of each other, and every length has a quantizer of its own; one with
+few vectors is a single list, compared exactly.
+
+Equal vectors are one class with a weight. A (label, length, list) cell is cut into blocks of ``BLOCK`` rows and every pair of
 blocks is a group of its own, so a hot label or list is spread out; a group returns link counts per vector and the
 edges of a spanning forest, never its pairs.
 """
@@ -26,6 +29,7 @@ from strikelake.sources.storage import as_table
 COSINE = 0.93
 SAMPLE = 20_000
 LISTS, SUBSPACES, CODEWORDS = 64, 8, 64  # lists at least
+LEAST_PER_LIST = 16  # a length with fewer vectors a list is not quantized
 VECTORS_PER_LIST = 1000  # beyond LISTS * this, more lists, as far as the sample can fit them
 MARGIN = 0.16
 BLOCK = 512
@@ -71,6 +75,8 @@ class Quantizer:
 
     def encode(self, residual: np.ndarray) -> np.ndarray:
         """Codeword per subspace."""
+        if not self.books:
+            return np.zeros((len(residual), 0), np.uint8)
         parts = [residual[:, a:b] for a, b in zip(self.cuts[:-1], self.cuts[1:])]
         return np.stack([((b**2).sum(axis=1)[None, :] - 2 * p @ b.T).argmin(axis=1) for p, b in zip(parts, self.books)],
                         axis=1).astype(np.uint8)
@@ -101,6 +107,11 @@ def fit(sample: np.ndarray, cosine: float, lists: int, subspaces: int, codewords
     return Quantizer(coarse, books, cuts, radius**2)
 
 
+def quantizer(models: dict[int, Quantizer], width: int) -> Quantizer:
+    """That of a length; without one, a single list in which all pairs are reranked."""
+    return models.get(width) or Quantizer(np.zeros((1, width)), [], np.array([0, width]), np.inf)
+
+
 def prepared(vectors: DataFrame) -> DataFrame:
     """Classes of equal usable vectors: id (smallest vec_id), label, embedding in doubles, weight (rows)."""
     v = F.col("embedding").cast("array<double>")
@@ -117,25 +128,29 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
-    Links join vectors of equal label whose cosine is at least ``cosine``; vectors without a label, or that are null,
-    empty or zero or hold null or non-finite components, or whose number of components differs from the sample's, link
-    with nothing; a null vec_id links with nothing and has a null component. Rows that repeat a vec_id count as
+    Links join vectors of equal label and length whose cosine is at least ``cosine``; vectors without a label, or that
+    are null, empty or zero or hold null or non-finite components, link with nothing; a null vec_id links with nothing and has a null component. Rows that repeat a vec_id count as
     vectors of their own and share a component. An empty table gives no rows; other columns are ignored.
     """
-    classes = as_table(prepared(vectors), "pq-classes")
-    picked = classes.select("embedding", "id").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
-    width = len(picked[0]["embedding"]) if picked else 0
-    learned = np.array([r["embedding"] for r in picked if len(r["embedding"]) == width]).reshape(-1, max(width, 1))
-    if width:
+    classes = as_table(prepared(vectors).withColumn("width", F.size("embedding")), "pq-classes")
+    widths = {r["width"]: r["count"] for r in classes.groupBy("width").count().collect()}
+    models = {}
+    for width, n in widths.items():
+        if n < lists * LEAST_PER_LIST:
+            continue
+        picked = classes.filter(F.col("width") == width).select("embedding", "id").orderBy(
+            F.xxhash64("id"), "id").limit(sample).collect()
+        learned = np.array([r["embedding"] for r in picked])
         learned = learned / np.abs(learned).max(axis=1)[:, None]
         learned = learned / np.sqrt((learned**2).sum(axis=1))[:, None]
-        lists = max(lists, min(len(learned) // 16, classes.count() // VECTORS_PER_LIST))
-        model = classes.sparkSession.sparkContext.broadcast(fit(learned, cosine, lists, subspaces, codewords))
-        counts, edges = _links(classes.filter(F.size("embedding") == width), model, cosine, margin, block)
+        most = max(lists, min(len(learned) // LEAST_PER_LIST, n // VECTORS_PER_LIST))
+        models[width] = fit(learned, cosine, most, subspaces, codewords)
+    if widths:
+        counts, edges = _links(classes, classes.sparkSession.sparkContext.broadcast(models), cosine, margin, block)
         found = components(edges, "pq-components")
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label",
                        F.col("embedding").cast("array<double>").alias("embedding"))
-    if not width:
+    if not widths:
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                         F.lit(True).alias("kept"))
     per_class = as_table(
@@ -155,31 +170,33 @@ def _unit(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x**2).sum(axis=1))[:, None]
 
 
-def _links(classes: DataFrame, model, cosine: float, margin: float, block: int) -> tuple[DataFrame, DataFrame]:
+def _links(classes: DataFrame, models, cosine: float, margin: float, block: int) -> tuple[DataFrame, DataFrame]:
     """(id, links) and forest edges (a, b) of the classes."""
     label = classes.schema["label"].dataType.simpleString()
 
     def place(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            home, asked = model.value.place(_unit(batch.column("embedding")), margin)
-            codes = model.value.encode(_unit(batch.column("embedding")) - model.value.coarse[home])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("id", "label", "embedding", "weight")]
-                + [pa.array(home.astype(np.int32)), pa.array(asked, pa.list_(pa.int32())),
-                   pa.array([c.tobytes() for c in codes], pa.binary())],
-                ["id", "label", "embedding", "weight", "home", "asked", "code"])
+            widths = batch.column("width").to_numpy()
+            for width in np.unique(widths).tolist():
+                own = batch.filter(pa.array(widths == width))
+                model, unit = quantizer(models.value, width), _unit(own.column("embedding"))
+                home, asked = model.place(unit, margin)
+                codes = model.encode(unit - model.coarse[home])
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(c) for c in ("id", "label", "width", "embedding", "weight")]
+                    + [pa.array(home.astype(np.int32)), pa.array(asked, pa.list_(pa.int32())),
+                       pa.array([c.tobytes() for c in codes], pa.binary())],
+                    ["id", "label", "width", "embedding", "weight", "home", "asked", "code"])
 
     placed = as_table(classes.mapInArrow(
-        place, f"id bigint, label {label}, embedding array<double>, weight bigint, home int, asked array<int>, "
-               "code binary"), "pq-placed")
-    sizes = as_table(placed.groupBy("label", "home").agg(
+        place, f"id bigint, label {label}, width int, embedding array<double>, weight bigint, home int, "
+               "asked array<int>, code binary"), "pq-placed")
+    sizes = as_table(placed.groupBy("label", "width", "home").agg(
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("int").alias("blocks")).withColumnRenamed(
             "home", "cell"), "pq-cells")
     own = F.col("cell") == F.col("home")
     part = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    each = placed.withColumn("cell", F.explode("asked")).join(sizes, ["label", "cell"]).withColumn("part", part)
+    each = placed.withColumn("cell", F.explode("asked")).join(sizes, ["label", "width", "cell"]).withColumn("part", part)
     # a member meets the blocks at or after its own as the first side, those before as the second; a visitor all
     spread = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     role = F.when(~own, F.lit("visit")).otherwise(F.lit("member"))
@@ -192,7 +209,7 @@ def _links(classes: DataFrame, model, cosine: float, margin: float, block: int)
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), F.lit("host").alias("role"),
         F.col("part").alias("x"), (F.col("blocks") + F.col("other")).alias("y"))
     rows = member.unionByName(visitor).unionByName(host).select(
-        "label", "cell", "x", "y", "id", "embedding", "weight", "home", "asked", "code", "role", "part")
+        "label", "width", "cell", "x", "y", "id", "embedding", "weight", "home", "asked", "code", "role", "part")
 
     def meet(table: pa.Table) -> pa.Table:
         first = table.slice(0, 1).to_pylist()[0]
@@ -203,7 +220,7 @@ def _links(classes: DataFrame, model, cosine: float, margin: float, block: int)
             left, right = np.flatnonzero(role == "visit"), np.flatnonzero(role == "host")
         out = {}, []
         if len(left) and len(right):
-            q = model.value
+            q = quantizer(models.value, first["width"])
             ids, weight, home = (table.column(c).combine_chunks().to_numpy() for c in ("id", "weight", "home"))
             x = np.array(table.column("embedding").to_pylist(), float)
             unit = x / np.abs(x).max(axis=1)[:, None]
@@ -234,7 +251,7 @@ def _links(classes: DataFrame, model, cosine: float, margin: float, block: int)
             "b": pa.array([*[None] * len(counts), *(e[1] for e in edges)], pa.int64()),
             "links": pa.array([*counts.values(), *[None] * len(edges)], pa.int64())})
 
-    met = as_table(rows.groupBy("label", "cell", "x", "y").applyInArrow(meet, "a bigint, b bigint, links bigint"), "pq-met")
+    met = as_table(rows.groupBy("label", "width", "cell", "x", "y").applyInArrow(meet, "a bigint, b bigint, links bigint"), "pq-met")
     counts = met.filter(F.col("links").isNotNull()).groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     return counts, met.filter(F.col("b").isNotNull()).select("a", "b")
 

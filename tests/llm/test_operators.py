@@ -375,6 +375,23 @@ def test_vectors_equal_brute_force(spark):
     assert pqindex.near_duplicates(df.filter("vec_id in (500, 501)")).count() == 2
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for size, n in ((16, 200), (8, 150), (1, 6)):  # with lists=8 the first two are quantized, by default none
+        centres = rng.normal(size=(15, size))
+        rows += [(len(rows) + i, (centres[i % 15] + 0.1 * rng.normal(size=size)).tolist(), i % 2) for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute.cosine_links(rows)
+    assert all(any(want[i][0] for i, v, _ in rows if len(v) == size) for size in (16, 8, 1))
+    got = lambda **more: {
+        r["vec_id"]: (r["n_links"], r["component_id"]) for r in pqindex.near_duplicates(df, **more).collect()}
+    assert got() == want
+    quantized = got(lists=8, codewords=16, margin=0.3)
+    wrong = [i for i in want if quantized[i] != want[i]]
+    assert set(quantized) == set(want) and len(wrong) <= 0.02 * len(want)
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 50), (50, 100), (7, 7), (None, 3)] + [(200, 200 + i) for i in range(1, 30)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
