@@ -1,8 +1,9 @@
 """Mixing sources to target weights: Sainte-Laguë apportionment of equal-token blocks.
 
 Sources ask for a share of the corpus by weight. Integer numbers of equal-token blocks go to the sources by the
-highest quotients ``target / (2k - 1)``, then from each source to its shards (bounded slices of its documents) the
-same way; each shard lays its documents out in a seeded order, cuts that stream into blocks and takes the first ones.
+highest quotients ``target / (2k - 1)``, each between its target in blocks rounded down and up (a long tail of small
+sources cannot use what rounding leaves of it), then from each source to its shards (bounded slices of its documents) by
+the highest quotients alone; each shard lays its documents out in a seeded order, cuts that stream into blocks and takes the first ones.
 
 DataFrame functions only. A hot source is cut into shards of about ``rows_per_shard`` rows before anything ordered
 happens, and only sums per source and per shard are shuffled beside one narrow row per document.
@@ -56,7 +57,8 @@ def sainte_lague(parties: DataFrame, group: str, party: str, votes: str, seats:
     """Seats per party of each group by the highest quotients ``votes / (2k - 1)``; ties go to the smaller party.
 
     Rounding ``votes / (all votes / seats)`` leaves few seats to hand out or take back, so only quotients near that
-    point are listed: twice a party's proportional part of the difference, and three more.
+    point are listed: twice a party's proportional part of the difference, and three more; a party that gets or gives
+    all that are listed has four times as many listed, until none does.
     """
     whole = W.partitionBy(group)
     price = F.sum(votes).over(whole) / F.col(seats)
@@ -65,10 +67,24 @@ def sainte_lague(parties: DataFrame, group: str, party: str, votes: str, seats:
     first = first.withColumns({"_miss": F.when(F.sum(votes).over(whole) > 0, F.col(seats)).otherwise(0)
                                - F.sum("_near").over(whole), "_all": F.sum(votes).over(whole)})
     reach = (F.ceil(F.abs("_miss") * F.col(votes) / F.greatest("_all", F.lit(1e-9))) * 2 + 3).cast("long")
-    steps = F.when(F.col("_miss") > 0, F.sequence(F.col("_near") + 1, F.col("_near") + reach)).when(
+    first = as_table(first.withColumn("_reach", F.least(reach, F.abs("_miss"))), "mix-near")
+    while True:
+        joined = as_table(first.join(_handed(first, group, party, votes), [group, party], "left"), "mix-handed")
+        short = F.coalesce(F.abs("_more") == F.col("_reach"), F.lit(False)) & (F.col("_reach") < F.abs("_miss"))
+        if joined.filter(short).isEmpty():
+            break
+        more = F.when(short, F.least(F.col("_reach") * 4, F.abs("_miss"))).otherwise(F.col("_reach"))
+        first = joined.withColumn("_reach", more).drop("_more")
+    return joined.withColumn(out, F.col("_near") + F.coalesce("_more", F.lit(0))).drop(
+        "_near", "_miss", "_all", "_reach", "_more")
+
+
+def _handed(first: DataFrame, group: str, party: str, votes: str) -> DataFrame:
+    """(group, party, _more): the listed seats that are handed out or, below 0, taken back."""
+    steps = F.when(F.col("_miss") > 0, F.sequence(F.col("_near") + 1, F.col("_near") + F.col("_reach"))).when(
         (F.col("_miss") < 0) & (F.col("_near") > 0),
-        F.sequence(F.greatest(F.col("_near") - reach + 1, F.lit(1)), F.col("_near")))
-    tried = (
+        F.sequence(F.greatest(F.col("_near") - F.col("_reach") + 1, F.lit(1)), F.col("_near")))
+    return (
         first.withColumn("_k", F.explode(steps))
         .withColumn("_q", F.col(votes) / (2 * F.col("_k") - 1))
         .withColumn("_high", F.row_number().over(W.partitionBy(group).orderBy(F.desc("_q"), party)))
@@ -76,8 +92,20 @@ def sainte_lague(parties: DataFrame, group: str, party: str, votes: str, seats:
         .filter(F.when(F.col("_miss") > 0, F.col("_high") <= F.col("_miss")).otherwise(F.col("_low") <= -F.col("_miss")))
         .groupBy(group, party).agg(F.sum(F.signum("_miss")).cast("long").alias("_more"))
     )
-    joined = first.join(tried, [group, party], "left")
-    return joined.withColumn(out, F.col("_near") + F.coalesce("_more", F.lit(0))).drop("_near", "_miss", "_all", "_more")
+
+def within_quota(parties: DataFrame, group: str, party: str, votes: str, seats: str, size: int, out: str) -> DataFrame:
+    """Seats by the highest quotients, where no party gets less than ``votes / size`` rounded down or more than rounded up.
+
+    So all but one seat at most of every party are fixed, and the rest go by the quotients of the parties' next ones.
+    """
+    share = F.col(votes) / size
+    first = parties.withColumn("_whole", F.floor(share).cast("long"))
+    left = F.col(seats) - F.sum("_whole").over(W.partitionBy(group))
+    can = share > F.col("_whole")
+    turn = F.row_number().over(W.partitionBy(group).orderBy(
+        F.desc(can), F.desc(F.col(votes) / (2 * F.col("_whole") + 1)), party))
+    return first.withColumns({"_left": left, "_turn": turn}).withColumn(
+        out, F.col("_whole") + (can & (F.col("_turn") <= F.col("_left"))).cast("long")).drop("_whole", "_left", "_turn")
 
 
 def mix(
@@ -88,7 +116,7 @@ def mix(
 
     Needs doc_id, text and source; other columns are ignored, whatever their names. A null text has size 0 and is
     never taken; the null source is a source of its own, ordered last; repeated rows are mixed one by one; an empty
-    table gives an empty result. ``taken`` never exceeds ``repeat`` times ``size``, and a rerun gives the same rows.
+    table gives an empty result. The blocks of a source are less than one block from its target. ``taken`` never exceeds ``repeat`` times ``size``, and a rerun gives the same rows.
     """
     order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = as_table(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), order.alias("_order")),
@@ -98,7 +126,7 @@ def mix(
         "_all": F.lit(0), "_shards": F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_shard)).cast("long"),
         "_seats": F.round(F.col("total") / block_words).cast("long")})
     sources = as_table(
-        sainte_lague(sources, "_all", "source_no", "target", "_seats", "_blocks")
+        within_quota(sources, "_all", "source_no", "target", "_seats", block_words, "_blocks")
         .select("source", "source_no", "source_size", "target", "_shards", "_blocks"), "mix-sources")
     shard = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") % F.col("_shards")
     placed = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).select(

@@ -549,6 +549,25 @@ def test_highest_quotients(spark):
         assert [got[g][p] for p in range(len(votes))] == won
 
 
+def test_mix_of_a_long_tail(spark):
+    rows = [(i, "w " * 10, "big") for i in range(100)] + [(1000 + i, "a b", f"tail{i:03}") for i in range(200)]
+    got = mixing.mix(make(spark, rows), weights=(1,), block_words=10).collect()
+    big = [r for r in got if r["source_size"] == 1000]
+    assert {r["target"] for r in big} == {1300.0} and sum(r["taken"] for r in big) == 1300
+    assert sum(r["shard_blocks"] for r in got if r["source_size"] == 2) == 80
+    assert all(r["target"] == 4 and abs(r["taken"] - 4) < 10 for r in got if r["source_size"] == 2)
+
+
+def test_highest_quotients_of_a_long_tail(spark):
+    for votes, seats in (([100.0] + [1.0] * 900, 100), ([100.0] + [6.0] * 900, 600)):
+        won = [0] * len(votes)
+        for _ in range(seats):
+            won[max(range(len(votes)), key=lambda p: (votes[p] / (2 * won[p] + 1), -p))] += 1
+        table = spark.createDataFrame([(0, p, v, seats) for p, v in enumerate(votes)], "g int, p int, votes double, seats long")
+        got = {r["p"]: r["won"] for r in mixing.sainte_lague(table, "g", "p", "votes", "seats", "won").collect()}
+        assert [got[p] for p in range(len(votes))] == won
+
+
 # --- queries
 
 
