@@ -1,6 +1,7 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import bagminhash, decontaminate, fixity, licenses, mixing, pqindex, quality, secrets, substrings, tokencounts
+from strikelake.llm import (bagminhash, decontaminate, divergence, fixity, licenses, mixing, pqindex, quality, secrets,
+                            substrings, tokencounts)
 from strikelake.llm.shipping import shipped
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_license_join": licenses.op8_license_join,
     "op9_bagminhash_duplicates": bagminhash.op9_bagminhash_duplicates,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
+    "op11_source_divergence": divergence.op11_source_divergence,
 }
 QUERIES = {name: shipped(run) for name, run in QUERIES.items()}
 
@@ -23,4 +25,5 @@ ORACLE_SQL = {
     "op6_prefix_decontaminate": decontaminate.SQL,
     "op8_license_join": licenses.SQL,
     "op10_sainte_lague_mix": mixing.SQL,
+    "op11_source_divergence": divergence.SQL,
 }
