@@ -1,7 +1,7 @@
 """Queries of this subpackage by name, and the DuckDB SQL of those that SQL can express."""
 
-from strikelake.llm import (bagminhash, decontaminate, divergence, fixity, licenses, mixing, pqindex, quality, secrets,
-                            substrings, tokencounts)
+from strikelake.llm import (bagminhash, decontaminate, divergence, fim, fixity, langid, licenses, mixing, pqindex, quality,
+                            secrets, substrings, tokencounts)
 from strikelake.llm.shipping import shipped
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_bagminhash_duplicates": bagminhash.op9_bagminhash_duplicates,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
     "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_fill_in_middle": fim.op12_fill_in_middle,
+    "op13_kernel_langid": langid.op13_kernel_langid,
 }
 QUERIES = {name: shipped(run) for name, run in QUERIES.items()}
 
@@ -26,4 +28,5 @@ ORACLE_SQL = {
     "op8_license_join": licenses.SQL,
     "op10_sainte_lague_mix": mixing.SQL,
     "op11_source_divergence": divergence.SQL,
+    "op12_fill_in_middle": fim.SQL,
 }
