@@ -103,8 +103,8 @@ class Vocabulary:
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Normalized presence kernel of the rows of two presence matrices; 0 for rows without n-grams."""
-    size = np.sqrt(np.maximum(a.sum(axis=1), 1))[:, None] * np.sqrt(np.maximum(b.sum(axis=1), 1))[None, :]
-    return (a @ b.T).astype(np.float64) / size
+    own, other = (np.sqrt(np.maximum(x.sum(axis=1, dtype=np.float64), 1)) for x in (a, b))
+    return (a @ b.T) / own[:, None] / other[None, :]
 
 
 @dataclass
