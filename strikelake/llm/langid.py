@@ -25,6 +25,7 @@ from strikelake.llm import bytetext
 
 ORDERS = (1, 2, 3, 4)
 PER_LANG, SAMPLE, MAX_BYTES = 250, 2000, 1 << 15
+SALTS = 64
 LANDMARKS = 160  # in all
 RIDGE, FLOOR = 1e-2, 1e-6
 TEXTS = 128  # scored at a time
@@ -194,10 +195,12 @@ def sampled(docs: DataFrame, per_lang: int = PER_LANG, size: int = SAMPLE, max_b
     """(language, text) rows to learn from, in a fixed order, ``size`` at most, none of held-out documents."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 2)).filter(
         F.octet_length("text") <= max_bytes)
-    order = Window.partitionBy("_lang").orderBy("_hash", "_id")
     ids = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("_hash"))
-    picked = ids.distinct().withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= per_lang).orderBy(
-        "_nth", "_hash", "_id", "_lang").limit(size)
+    picked = ids.distinct().withColumn("_salt", F.pmod("_hash", F.lit(SALTS)))
+    for group in (["_lang", "_salt"], ["_lang"]):  # what a language's task gets is SALTS * per_lang ids at most
+        order = Window.partitionBy(*group).orderBy("_hash", "_id")
+        picked = picked.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= per_lang)
+    picked = picked.orderBy("_nth", "_hash", "_id", "_lang").limit(size).drop("_salt")
     mine = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(picked), mine)  # at most ``size`` ids are broadcast
     rows = rows.groupBy("_nth", "_hash", "_id", "_lang").agg(F.min("text").alias("text"))
