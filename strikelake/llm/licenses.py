@@ -101,7 +101,8 @@ def template_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
     held = line.select("doc_id", "block", F.array_intersect(_words(F.col("line")), _literal(rank)).alias("held"))
     block = held.filter(F.size("held") >= least).select(
         "doc_id", "block", F.array_sort(F.transform("held", lambda t: F.element_at(ranks, t))).alias("have"))
-    pairs = block.select("*", F.posexplode("have").alias("j", "rank")).join(prefixes, "rank")
+    # one row per rare token of a template: as large as the templates, whatever the documents
+    pairs = block.select("*", F.posexplode("have").alias("j", "rank")).join(F.broadcast(prefixes), "rank")
     left = F.lit(1) + F.least(F.col("template_size") - F.col("i") - 1, F.size("have") - F.col("j") - 1)
     shared = F.array_intersect("have", "ordered")
     lines = (
