@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strikelake.llm import bytetext
 from strikelake.llm.bytetext import U, mixed
-from strikelake.llm.components import components, forest
+from strikelake.llm.components import components, forest, keyed_join
 from strikelake.sources.storage import as_table
 
 SHINGLE = 5
@@ -32,6 +32,7 @@ PLACES = BANDS * ROWS
 BLOCK = 128
 COLUMNS = 8192  # runs that are counted at a time
 SLACK = 6.0  # standard errors below SIMILARITY at which a signature still asks for verification
+ID_BITS, BITMAP_BITS = 26, 15  # of the filter of ids that is broadcast: 8 MB, in bitmaps of 4 KB
 
 
 def shingles(words: bytetext.Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -149,6 +150,24 @@ def _word_keys(words: bytetext.Words) -> list[np.ndarray]:
     return keys
 
 
+def _filtered(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``docs`` whose doc_id (long) may be in ``ids``, rows whose doc_id is not), without a shuffle of docs.
+
+    A filter of one hash and a fixed size is broadcast, so nothing here grows with the ids; where they are so many
+    that it fills up, more rows may be. The join that follows decides.
+    """
+    def place(doc_id):
+        slot = F.pmod(F.xxhash64(doc_id), F.lit(1 << ID_BITS))
+        return F.shiftright(slot, BITMAP_BITS).alias("__bitmap"), slot.bitwiseAND((1 << BITMAP_BITS) - 1).alias("__bit")
+
+    bitmaps = ids.select(*place("doc_id")).groupBy("__bitmap").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+    bitmaps = F.broadcast(as_table(bitmaps, "bag-filter"))
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright("__bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = docs.select("*", *place("doc_id")).join(bitmaps, "__bitmap", "left")
+    may = F.coalesce(F.expr("1 << cast(__bit & 7 AS int)").bitwiseAND(byte) != 0, F.lit(False))
+    return held.filter(may).select(*docs.columns), held.filter(~may).select(*docs.columns)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with k1 and k2, the names of the words of text, as the columns _k1 and _k2."""
     def name(batches):
@@ -287,7 +306,7 @@ def _classified(docs: DataFrame, similar: float) -> DataFrame:
     real = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     named = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n_copies"))
     named = as_table(named.orderBy("copy_id", "k1", "k2").withColumn("id", F.monotonically_increasing_id()), "bag-classes")
-    lead = signed.join(named, ["k1", "k2"]).filter(F.col("doc_id") == F.col("copy_id"))
+    lead = signed.join(named.withColumnRenamed("copy_id", "doc_id"), ["doc_id", "k1", "k2"])
     classes = as_table(lead.select("id", "n", "bands", "sketch").dropDuplicates(["id"]), "bag-leads")
     rows = as_table(_buckets(classes), "bag-bands")
     full = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -298,8 +317,8 @@ def _classified(docs: DataFrame, similar: float) -> DataFrame:
     leaders = ranked.groupBy("band").agg(F.max_by("id", "met").alias("a"))
     wanted = as_table(named.join(met, "id", "left_semi").select(
         F.col("copy_id").alias("doc_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "id"), "bag-wanted")
-    texts = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(
-        wanted, ["doc_id", "_k1", "_k2"]).select("id", "text")
+    asked, _ = _filtered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted)
+    texts = _keyed(asked).join(wanted, ["doc_id", "_k1", "_k2"]).select("id", "text")
     texts = as_table(texts.dropDuplicates(["id"]), "bag-texts")
     stars = as_table(rows.join(leaders, "band").filter("id != a").select("a", F.col("id").alias("b")).distinct(), "bag-stars")
     links = _alike(stars, classes, texts, similar)
@@ -313,7 +332,7 @@ def _classified(docs: DataFrame, similar: float) -> DataFrame:
     found = as_table(named.join(found, "id", "left").select(
         "k1", "k2", "copy_id", F.coalesce("first_id", "copy_id").alias("class_id"), "n_copies",
         (F.coalesce("component", "id") == F.col("id")).alias("leads")), "bag-found")
-    out = signed.select("doc_id", "k1", "k2", "n").join(found, ["k1", "k2"], "left")
+    out = keyed_join(signed.select("doc_id", "k1", "k2", "n"), signed.count(), found, ["k1", "k2"], "n_copies", "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     mine = lambda c: F.when(alone | F.col(c).isNull(), F.col("doc_id")).otherwise(F.col(c)).alias(c)
     return out.select(
@@ -343,20 +362,22 @@ def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     without a doc_id all stay.
     """
     found = _classified(docs, similar).filter(F.col("doc_id").isNotNull())
-    found = as_table(found.groupBy("doc_id", "k1", "k2").agg(
-        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_times")), "bag-judged")
-    by_id = found.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.bool_or("_kept").alias("_kept"), F.sum("_times").alias("_times"))
-    # the ids to drop are fewer than those to keep; while they are small, no text is shuffled for them
-    apart = as_table(by_id.filter("NOT _kept OR _times > 1").select("_id", "_kept"), "bag-gone")
-    twice = as_table(apart.filter("_kept").select("_id"), "bag-twice")
-    right = as_table(found.filter("_kept").join(twice, F.col("doc_id") == F.col("_id"), "left_semi").select(
-        F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")), "bag-right")
-    same = docs["doc_id"] == F.col("_id")
-    again = _keyed(docs.join(twice, same, "left_semi"))
-    mine = (again["doc_id"] == right["_id"]) & (again["_k1"] == right["_k1"]) & (again["_k2"] == right["_k2"])
-    again = again.join(right, mine, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).drop("_k1", "_k2")
-    return docs.join(apart, same, "left_anti").unionAll(again)
+    judged = as_table(found.groupBy("doc_id", "k1", "k2").agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("times")), "bag-judged")
+    by_id = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.sum("times").alias("times"))
+    # the ids to drop are fewer than those to keep, and texts of others are not shuffled for them
+    apart = as_table(by_id.filter("NOT kept OR times > 1").select("doc_id", "kept"), "bag-gone")
+    twice = as_table(apart.filter("kept").select("doc_id"), "bag-twice")
+    right = as_table(judged.filter("kept").join(twice, "doc_id", "left_semi").select(
+        "doc_id", F.col("k1").alias("_k1"), F.col("k2").alias("_k2")), "bag-right")
+    # carried as one column, so that names of the input meet none of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"))
+    asked, others = _filtered(rows, apart)
+    stay = asked.join(apart.select("doc_id"), "doc_id", "left_anti").select("row.*").unionAll(others.select("row.*"))
+    again = _keyed(_filtered(rows, twice)[0].join(twice, "doc_id", "left_semi").select("doc_id", "row", "row.text"))
+    again = again.join(right, ["doc_id", "_k1", "_k2"], "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"])
+    return stay.unionAll(again.select("row.*"))
 
 
 def op9_bagminhash_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Connected components of a graph given by its edges, by alternating large-star and small-star steps.
 
 Each step links every node to the smallest node it knows; the number of rounds grows with the logarithm of the longest
-path. Minima are reduced where they are read, so a node with very many edges is no task of its own, and every round is
-stored in the shared folder.
+path. Minima are reduced where they are read. They come back to the edges by ``keyed_join``: a node with very many edges
+is one of few, which are broadcast, so its edges stay where they are. Every round is stored in the shared folder.
 """
 
 from __future__ import annotations
@@ -13,14 +13,30 @@ from pyspark.sql import DataFrame, functions as F
 from strikelake.sources.storage import as_table
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+#: Keys that ``keyed_join`` broadcasts, at most, and rows that a key may have before it is one of them.
+HOT_KEYS, COLD_ROWS = 50_000, 64
+
+
+def keyed_join(rows: DataFrame, n_rows: int, table: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row per key and, in ``count``, how many of rows have it.
+
+    Keys of more than ``n_rows`` / ``HOT_KEYS`` rows (n_rows: all rows there are) are less than HOT_KEYS: those are
+    broadcast and their rows are not shuffled. Of the other keys none is a task of its own. ``how``: inner or left.
+    """
+    most = max(COLD_ROWS, n_rows // HOT_KEYS)
+    hot, cold = F.broadcast(table.filter(F.col(count) > most)), table.filter(F.col(count) <= most)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how))
+
+
+def _stars(edges: DataFrame, large: bool, n_edges: int) -> DataFrame:
     """(a, b), b < a: every neighbour b of a node linked to the node's smallest neighbour (or itself).
 
     large: only neighbours above the node move; else only those below, and the node itself.
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    moved = both.join(least, "a")
+    least = as_table(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree")).select(
+        "a", F.least("a", "m").alias("m"), "degree"), "component-least")
+    moved = keyed_join(both, 2 * n_edges, least, ["a"], "degree")
     if large:
         out = moved.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -46,7 +62,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = as_table(edges, name)
     while not _settled(edges):
-        edges = as_table(_stars(_stars(edges, large=True), large=False).distinct(), name)
+        for large in (True, False):
+            edges = as_table(_stars(edges, large, edges.count()).distinct(), name)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 

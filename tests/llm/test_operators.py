@@ -16,7 +16,7 @@ import compare
 from strikelake import llm
 from strikelake.llm import (bagminhash, bytetext, decontaminate, fixity, licenses, mixing, pqindex, quality, secrets,
                             substrings, tokencounts)
-from strikelake.llm.components import components
+from strikelake.llm.components import components, keyed_join
 
 from . import brute
 
@@ -34,7 +34,8 @@ def make(spark, rows, extra=False):
     df = spark.createDataFrame(full, SCHEMA)
     if extra:  # names that the operators use or return themselves
         clash = ["size", "target", "score", "n_words", "base", "id", "node", "labels", "bucket", "piece", "_rest",
-                 "component_id", "k1", "n", "seats", "total", "weight", "_bad", "band", "held"]
+                 "component_id", "k1", "n", "seats", "total", "weight", "_bad", "band", "held", "_id", "_kept", "_k1",
+                 "_k2", "row", "times", "__bit"]
         df = df.withColumns({c: F.lit("x") for c in clash})
     return df
 
@@ -399,6 +400,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hot_keys_are_joined_apart(spark):
+    rows = spark.createDataFrame([(i % 7 if i < 700 else i, i) for i in range(900)], "a int, x int")
+    for table, how in ((rows, "inner"), (rows.filter("a % 2 = 0"), "left")):
+        least = table.groupBy("a").agg(F.min("x").alias("m"), F.count(F.lit(1)).alias("n"))
+        got = keyed_join(rows, 900, least, ["a"], "n", how)
+        same(got.select("a", "x", "m", "n"), [tuple(r) for r in rows.join(least, "a", how).select("a", "x", "m", "n").collect()])
+
+
+def test_hub_in_components(spark):
+    edges = [(500 + i, 1000 + i) for i in range(100)] + [(7, 500 + i) for i in range(300)] + [(2, 1050), (5000, 5001)]
+    got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {n: 5000 if n >= 5000 else 2 for e in edges for n in e}
+
+
 # --- licenses
 
 
@@ -587,3 +602,16 @@ def test_native_queries_run_no_python(spark):
     for name in ("op8_license_join", "op10_sainte_lague_mix"):
         plan = llm.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_license_index_is_never_shuffled(spark):
+    if not os.path.exists(f"{SF}/documents.parquet"):
+        pytest.skip("no test tables")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        blocks = licenses.template_blocks(spark.read.parquet(f"{SF}/documents.parquet"))
+        plan = blocks._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin [rank" in plan and "hashpartitioning(rank" not in plan and "BuildLeft" not in plan
