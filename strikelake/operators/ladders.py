@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strikelake.functions.timeline import period_of
+from strikelake.operators.cells import MAX_ROWS_PER_CELL
+from strikelake.operators.crossing import first_crossing
 from strikelake.sources.storage import as_table
 
 # Ladder parameters.
@@ -212,33 +214,23 @@ def ladder_returns(sized: DataFrame) -> DataFrame:
     }).drop("__notional")
 
 
-def early_close(sized: DataFrame, gold: DataFrame, target: float = PROFIT_TARGET) -> DataFrame:
+def early_close(sized: DataFrame, gold: DataFrame, target: float = PROFIT_TARGET,
+                max_rows_per_cell: int = MAX_ROWS_PER_CELL) -> DataFrame:
     """Add closed_at, buyback_usd and leg_pnl_usd: buy back at the first print after entry and before
-    expiry whose mark is at most ``target`` of the entry mark, at that print's traded price.
-
-    The legs are stored and, while small, go to the tape by broadcast: no shuffle of the tape, and a hot
-    instrument's prints stay where they are read.
+    expiry whose mark is at most ``target`` of the entry mark, at that print's traded price (crossing.py).
     """
     leg_key = [*KEY, "target_delta"]
     sized = as_table(sized, "legs")
     legs = sized.select(
-        *leg_key, F.col("instrument_name"), F.col("timestamp").alias("__entry"),
-        (F.col("mark_price") * F.lit(target)).alias("__trigger"),
-    )
-    prints = gold.filter("is_valid").select(
-        "instrument_name", F.col("timestamp").alias("__at"), "trade_seq", "trade_id",
-        F.col("mark_price").alias("__mark"), F.col("price").alias("__fill"))
-    crossings = prints.join(legs, "instrument_name").filter(
-        (F.col("__at") > F.col("__entry")) & (F.col("__at") < F.col("expiration_timestamp"))
-        & (F.col("__mark") <= F.col("__trigger")))
-    firsts = crossings.groupBy(*leg_key).agg(
-        F.min_by(F.struct("__at", "__fill"), F.struct("__at", "trade_seq", "trade_id")).alias("__close"))
+        *leg_key, "instrument_name", F.col("timestamp").alias("opens"), F.col("expiration_timestamp").alias("closes"),
+        (F.col("mark_price") * F.lit(target)).alias("trigger"))
+    prints = gold.filter("is_valid").select("instrument_name", *_ORDER, F.col("mark_price").alias("level"), "price")
+    firsts = first_crossing(legs, prints, by="instrument_name", leg_key=leg_key, order=_ORDER,
+                            take={"timestamp": "closed_at", "price": "__fill"}, max_rows=max_rows_per_cell)
     closed = sized.join(firsts, leg_key, "left")
-    buyback = F.col("__close.__fill") * F.col("amount") * F.col("entry_forward")
-    return closed.withColumns({
-        "closed_at": F.col("__close.__at"),
-        "buyback_usd": buyback,
-    }).withColumn("leg_pnl_usd", F.col("premium_usd") - F.coalesce("buyback_usd", "loss_usd")).drop("__close")
+    buyback = F.col("__fill") * F.col("amount") * F.col("entry_forward")
+    return closed.withColumn("buyback_usd", buyback).drop("__fill").withColumn(
+        "leg_pnl_usd", F.col("premium_usd") - F.coalesce("buyback_usd", "loss_usd"))
 
 
 def early_close_returns(closed: DataFrame) -> DataFrame:

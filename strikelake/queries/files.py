@@ -96,6 +96,51 @@ def read_gold_currency(spark, sf_dir):
         "currency", "trade_id", "days_to_expiry", "strike_delta", "vol_regime")
 
 
+@query("write_report", f"""WITH {GOLD_SQL},
+written AS (
+  SELECT 'silver' AS layer, currency, is_valid FROM silver
+  UNION ALL SELECT 'gold', currency, is_valid FROM gold),
+counted AS (
+  SELECT layer, currency, count(*) AS rows_out, count(*) FILTER (WHERE is_valid) AS valid_rows FROM written
+  GROUP BY GROUPING SETS ((layer), (layer, currency)))
+SELECT layer, currency, CASE WHEN currency IS NULL THEN CASE layer WHEN 'silver' THEN (SELECT count(*) FROM bronze)
+    ELSE (SELECT count(*) FROM silver) END END AS rows_in, rows_out, valid_rows, 100.0e0 * valid_rows / rows_out AS valid_pct
+FROM counted""")
+def write_report(spark, sf_dir):
+    """Rows read, written and valid, as observed while both layers are written."""
+    tape_rows, silver_rows, both = options(spark, sf_dir), silver(spark, sf_dir), ["BTC", "ETH"]
+    return writers.report_frame(spark, [
+        writers.write_silver(silver_rows, _folder(spark, "silver"), source=tape_rows, currencies=both).require_valid(),
+        writers.write_gold(gold(spark, sf_dir), _folder(spark, "gold"), source=silver_rows, currencies=both).require_valid(),
+    ])
+
+
+@query("fetch_list", f"""WITH {TAPE_SQL}
+  SELECT DISTINCT future_name AS instrument_name, 'future' AS kind FROM bronze
+  UNION ALL SELECT DISTINCT instrument_name, 'option' FROM bronze""")
+def fetch_list(spark, sf_dir):
+    """The work list of a fetch: all futures that the options need, and the options; what has prints already stays on it."""
+    trades = options(spark, sf_dir)
+    needed = quality.required_futures(trades).toDF("instrument_name").withColumn("kind", F.lit("future"))
+    listed = trades.select("instrument_name", F.lit("option").alias("kind")).distinct()
+    return quality.fetch_list(needed, listed)
+
+
+@query("fetch_list_open", f"""WITH {TAPE_SQL},
+listed AS (
+  SELECT DISTINCT future_name AS instrument_name, 'future' AS kind FROM bronze
+  UNION ALL SELECT DISTINCT instrument_name, 'option' FROM bronze)
+SELECT l.instrument_name FROM listed l LEFT JOIN (
+  SELECT DISTINCT instrument_name FROM futures WHERE timestamp < TIMESTAMP '2024-01-03 00:00:00'
+  UNION SELECT DISTINCT instrument_name FROM bronze WHERE timestamp < TIMESTAMP '2024-01-03 00:00:00') p
+  USING (instrument_name) WHERE p.instrument_name IS NULL""")
+def fetch_list_open(spark, sf_dir):
+    """What the work list has left when only the prints of the first two days are stored: the list less its tape."""
+    trades, others = options(spark, sf_dir), futures(spark, sf_dir)
+    stored = trades.select("instrument_name", "timestamp").unionByName(others.select("instrument_name", "timestamp"))
+    return quality.missing_instruments(fetch_list(spark, sf_dir), stored.filter("timestamp < '2024-01-03'"))
+
+
 @query("ingest_trade_json", f"""{_PRINTS}
   SELECT 'accepted' AS status, instrument_name, count(*) AS lines, round(sum(amount), 6) AS amount FROM accepted GROUP BY ALL
   UNION ALL SELECT 'rejected', NULL, count(*), NULL FROM prints WHERE trade_id NOT IN (SELECT trade_id FROM accepted)""")
