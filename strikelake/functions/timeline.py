@@ -18,6 +18,11 @@ def epoch_seconds(ts: str) -> str:
             f" + second({ts}))")
 
 
+def epoch_micros(ts: str) -> str:
+    """SQL text for the microseconds of column ``ts`` since 1970-01-01, a BIGINT."""
+    return f"({epoch_seconds(ts)} * 1000000L + cast(extract(SECOND FROM {ts}) * 1000000 AS bigint) % 1000000)"
+
+
 def epoch_millis(ts: Column) -> Column:
     """Milliseconds since 1970-01-01 (floor), as BIGINT."""
     minutes = F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)

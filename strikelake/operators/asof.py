@@ -2,7 +2,8 @@
 
 Both sides are laid on one timeline per key and read with a single ordered window: one shuffle, no
 inequality join, at most one match per left row. Ties on the right side's timestamp are settled by
-``tie`` (highest wins backward, lowest wins forward).
+``tie`` (highest wins backward, lowest wins forward). Timelines of large keys are cut into equi-depth
+cells (depth.py); the nearest row outside a cell travels to it as one narrow row.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from strikelake.operators.cells import CELL, ROW, in_cells, packed, unpacked
+from strikelake.operators.cells import CELL, MAX_ROWS_PER_CELL, ROW, packed, unpacked
+from strikelake.operators.depth import all_cells, depth_cells, in_depth_cells
 
 _AT, _SIDE, _HIT = "__at", "__side", "__hit"
 
@@ -26,31 +28,30 @@ def asof_join(
     tie: Sequence[str] = (),
     direction: str = "backward",
     tolerance_seconds: int | None = None,
-    widths: DataFrame | None = None,
+    max_rows_per_cell: int = MAX_ROWS_PER_CELL,
 ) -> DataFrame:
     """LEFT as-of join; every left row is kept once.
 
-    take: right column -> output column. The nearest right row of earlier (later) cells is carried over by
-    a small cell ledger, so no right row is copied. With a tolerance, a match further away than that
-    (exclusive of the bound itself) gives NULL. Left rows without a key go round the window.
+    take: right column -> output column. With a tolerance, a match further away than that (exclusive of the
+    bound itself) gives NULL. Left rows without a key or a time match nothing and go round the window.
     """
     backward = direction == "backward"
     if not backward and direction != "forward":
         raise ValueError(f"direction must be 'backward' or 'forward', not {direction!r}")
     ties = [f"__tie{i}" for i in range(len(tie))]
     fields = ", ".join([f"'at', {right_at}", *[f"'{o}', {c}" for c, o in take.items()]])
-    narrow = right.selectExpr(
+    narrow = right.filter(f"{by} IS NOT NULL AND {right_at} IS NOT NULL").selectExpr(
         by, f"{right_at} AS {_AT}", f"0 AS {_SIDE}", *[f"{c} AS {t}" for c, t in zip(tie, ties)],
         f"named_struct({fields}) AS {_HIT}",
     )
-    keyless = left.filter(f"{by} IS NULL").select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(o)
-                                                       for c, o in take.items()])
-    narrow, matchable = narrow.filter(f"{by} IS NOT NULL"), left.filter(f"{by} IS NOT NULL")
-    lefts = in_cells(
-        matchable.selectExpr(by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", packed(left, by)), by, _AT, widths)
-
-    placed = in_cells(narrow, by, _AT, widths)
-    rights = placed.unionByName(_carries(lefts, placed, by, ties, backward), allowMissingColumns=True)
+    cells = depth_cells([(left.select(by, left_at), left_at), (narrow.select(by, _AT), _AT)], by, max_rows_per_cell)
+    keyed = f"{by} IS NOT NULL AND {left_at} IS NOT NULL"
+    keyless = left.filter(f"NOT ({keyed})").select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(o)
+                                                         for c, o in take.items()])
+    lefts = in_depth_cells(
+        left.filter(keyed).selectExpr(by, f"{left_at} AS {_AT}", f"1 AS {_SIDE}", packed(left, by)), by, _AT, cells)
+    placed = in_depth_cells(narrow, by, _AT, cells)
+    rights = placed.unionByName(_carries(placed, cells, by, ties, backward), allowMissingColumns=True)
 
     # A right row precedes a left row of the same instant in reading order, so equal times match.
     way = "ASC" if backward else "DESC"
@@ -69,42 +70,38 @@ def asof_join(
     return found.unionByName(keyless)
 
 
-def _carries(lefts: DataFrame, placed: DataFrame, by: str, ties: list[str], backward: bool) -> DataFrame:
-    """One row per left cell: the right row nearest to the cell from outside it."""
+def _from_outside(edges: DataFrame, cells: DataFrame, by: str, backward: bool) -> DataFrame:
+    """Per cell of a large key the edge nearest to it from outside; there are about rows / max_rows of these cells."""
+    order = F.col(CELL).asc() if backward else F.col(CELL).desc()
+    outside = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    every = all_cells(cells, by).join(edges, [by, CELL], "left")
+    return every.select(by, CELL, F.last("__edge", ignorenulls=True).over(outside).alias(_HIT)).filter(f"{_HIT} IS NOT NULL")
+
+
+def _carries(placed: DataFrame, cells: DataFrame, by: str, ties: list[str], backward: bool) -> DataFrame:
+    """One row per cell of a large key: the right row nearest to the cell from outside it."""
     rank = F.struct(F.col(_AT), *[F.col(t) for t in ties])
     edge = F.max_by(_HIT, rank) if backward else F.min_by(_HIT, rank)
-    ledger = (
-        placed.groupBy(by, CELL).agg(edge.alias("__edge"), F.lit(False).alias("__wanted"))
-        .unionByName(
-            lefts.select(by, CELL).distinct().withColumn("__wanted", F.lit(True)), allowMissingColumns=True
-        )
-        .groupBy(by, CELL)
-        .agg(F.first("__edge", ignorenulls=True).alias("__edge"), F.max("__wanted").alias("__wanted"))
-    )
-    cells = F.col(CELL).asc() if backward else F.col(CELL).desc()
-    outside = Window.partitionBy(by).orderBy(cells).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ledger.withColumn(_HIT, F.last("__edge", ignorenulls=True).over(outside))
-        .filter(F.col("__wanted") & F.col(_HIT).isNotNull())
-        .selectExpr(by, CELL, f"CAST(NULL AS TIMESTAMP_NTZ) AS {_AT}", f"0 AS {_SIDE}", _HIT)
-    )
+    edges = placed.filter(f"{CELL} IS NOT NULL").groupBy(by, CELL).agg(edge.alias("__edge"))
+    return _from_outside(edges, cells, by, backward).selectExpr(
+        by, CELL, f"CAST(NULL AS TIMESTAMP_NTZ) AS {_AT}", f"0 AS {_SIDE}", _HIT)
 
 
 def previous_row(rows: DataFrame, by: str, order: Sequence[str], take: dict[str, str],
-                 widths: DataFrame | None = None) -> DataFrame:
-    """LAG(1) per key in ``order`` (first entry is the timestamp), spread over cells.
+                 max_rows_per_cell: int = MAX_ROWS_PER_CELL) -> DataFrame:
+    """LAG(1) per key in ``order`` (first entry is the timestamp), spread over equi-depth cells.
 
     take: column -> name for its value on the previous row.
     """
     fields = ", ".join(f"'{o}', {c}" for c, o in take.items())
     sequence = ", ".join(order)
-    placed = in_cells(rows.selectExpr(
+    cells = depth_cells([(rows.select(by, order[0]), order[0])], by, max_rows_per_cell)
+    placed = in_depth_cells(rows.selectExpr(
         by, *order, f"1 AS {_SIDE}", f"named_struct({fields}) AS {_HIT}", packed(rows, by),
-    ), by, order[0], widths)
-    ledger = placed.groupBy(by, CELL).agg(F.expr(f"max_by({_HIT}, struct({sequence}))").alias("__edge"))
-    heads = ledger.selectExpr(
-        by, CELL, f"0 AS {_SIDE}", f"lag(__edge) OVER (PARTITION BY {by} ORDER BY {CELL}) AS {_HIT}",
-    ).filter(f"{_HIT} IS NOT NULL")
+    ), by, order[0], cells)
+    edges = placed.filter(f"{CELL} IS NOT NULL").groupBy(by, CELL).agg(
+        F.expr(f"max_by({_HIT}, struct({sequence}))").alias("__edge"))
+    heads = _from_outside(edges, cells, by, backward=True).selectExpr(by, CELL, f"0 AS {_SIDE}", _HIT)
     return placed.unionByName(heads, allowMissingColumns=True).selectExpr(
         by, ROW, _SIDE,
         f"lag({_HIT}) OVER (PARTITION BY {by}, {CELL} ORDER BY {_SIDE}, {sequence}) AS __previous",

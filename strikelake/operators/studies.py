@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strikelake.operators.asof import previous_row
+from strikelake.operators.cells import MAX_ROWS_PER_CELL
 from strikelake.operators.ladders import HIT_THRESHOLD
 from strikelake.operators.market import ANNUALIZATION, sample_stddev
 
@@ -16,7 +17,7 @@ GROUP = ["currency", "config"]
 
 
 def trailing_vol_at(gold: DataFrame, entries: DataFrame, side: str = "put", days: int = 30,
-                    widths: DataFrame | None = None) -> DataFrame:
+                    max_rows_per_cell: int = MAX_ROWS_PER_CELL) -> DataFrame:
     """Annualized stddev of log returns inside [period - days, period] for each (currency, period).
 
     Only valid prints of one side count, and the first return's previous print must lie in the window.
@@ -26,7 +27,7 @@ def trailing_vol_at(gold: DataFrame, entries: DataFrame, side: str = "put", days
     tape = gold.filter(F.col("is_valid") & (F.col("option_type") == side)).select(
         "currency", "timestamp", "trade_seq", "trade_id", "futures_price")
     steps = previous_row(tape, "currency", ["timestamp", "trade_seq", "trade_id"],
-                         {"futures_price": "before_price", "timestamp": "before"}, widths)
+                         {"futures_price": "before_price", "timestamp": "before"}, max_rows_per_cell)
     usable = (F.col("futures_price") > 0) & (F.col("before_price") > 0)
     day = F.to_date("timestamp")
     at_midnight = F.col("timestamp") == day.cast("timestamp_ntz")

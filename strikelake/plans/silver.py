@@ -8,7 +8,7 @@ from strikelake.functions import pricing
 from strikelake.functions.instruments import future_key
 from strikelake.functions.metrics import MIN_YEARS_VALID, iv_decimal
 from strikelake.operators.asof import asof_join
-from strikelake.operators.cells import MAX_ROWS_PER_CELL, measure_cells
+from strikelake.operators.cells import MAX_ROWS_PER_CELL
 from strikelake.schemas import SILVER_COLUMNS, TRADE_COLUMNS
 
 # Fixed value: a futures print older than this is no forward price (the bound itself still is).
@@ -23,11 +23,10 @@ def with_forward_price(options: DataFrame, futures: DataFrame | None,
         return trades.withColumn("futures_price", F.lit(None).cast("double"))
     keyed = trades.withColumn("__future", future_key(F.col("instrument_name")))
     prints = futures.select(F.col("instrument_name").alias("__future"), "timestamp", "trade_seq", "price")
-    widths = measure_cells([keyed, prints], "__future", max_rows=max_rows_per_cell)
     return asof_join(
         keyed, prints, by="__future", left_at="timestamp", right_at="timestamp",
         take={"price": "futures_price"}, tie=["trade_seq"],
-        tolerance_seconds=MAX_FORWARD_AGE_SECONDS, widths=widths,
+        tolerance_seconds=MAX_FORWARD_AGE_SECONDS, max_rows_per_cell=max_rows_per_cell,
     ).drop("__future")
 
 

@@ -244,8 +244,7 @@ def _forwarded(spark, sf_dir):
 @query("gold_log_return", _gold("SELECT trade_id, round(log_return, 9) AS log_return FROM gold"))
 def gold_log_return(spark, sf_dir):
     rows = _forwarded(spark, sf_dir).select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
-    steps = previous_row(rows, "currency", ["timestamp", "trade_seq", "trade_id"], {"futures_price": "before"},
-                         measure_cells([rows], "currency"))
+    steps = previous_row(rows, "currency", ["timestamp", "trade_seq", "trade_id"], {"futures_price": "before"})
     ratio = F.ln(F.try_divide("futures_price", "before"))
     return steps.select("trade_id", F.round(ratio, 9).alias("log_return"))
 
@@ -263,7 +262,7 @@ def gold_vol_asof(spark, sf_dir):
     rows = _forwarded(spark, sf_dir).select("currency", "timestamp", "trade_id")
     return asof_join(
         rows, tape.vol_index(spark, sf_dir), "currency", "timestamp", "timestamp",
-        {"volatility_value": "exchange_realized_vol"}, widths=measure_cells([rows], "currency"),
+        {"volatility_value": "exchange_realized_vol"},
     ).select("trade_id", "exchange_realized_vol")
 
 
@@ -273,7 +272,7 @@ def gold_forward_price(spark, sf_dir):
     ahead = rows.withColumn("due", F.col("timestamp") + F.make_dt_interval(days=F.lit(7)))
     return asof_join(
         ahead, rows, "currency", "due", "timestamp", {"futures_price": "forward_futures_price"},
-        tie=["trade_seq", "trade_id"], direction="forward", widths=measure_cells([rows], "currency"),
+        tie=["trade_seq", "trade_id"], direction="forward",
     ).select("trade_id", "forward_futures_price")
 
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import functions as F
 
 from strikelake.operators import ladders, studies
-from strikelake.operators.cells import measure_cells
 from strikelake.operators.ladders import DELTA_GRID, LADDERS
 from strikelake.queries.oracle_sql import GOLD_SQL
 from strikelake.queries.registry import gold, query, rounded
@@ -317,7 +316,7 @@ structured AS (
 
 def _structured(g):
     returns = _returns(g, period="day")
-    trailing = studies.trailing_vol_at(g, returns, widths=measure_cells([g], "currency"))
+    trailing = studies.trailing_vol_at(g, returns)
     return studies.with_vol_structure(returns, trailing)
 
 

@@ -54,7 +54,7 @@ def test_asof(spark, limit, tolerance, direction):
     left, right = tape(2, 900, ["a", "b", "c"], 20), tape(3, 700, ["a", "b"], 25)
     l, r = to_frame(spark, left, "k", "x"), to_frame(spark, right, "k", "y")
     out = asof_join(l, r, "k", "timestamp", "timestamp", {"y": "y", "trade_id": "rid"}, tie=["trade_seq"],
-                    direction=direction, tolerance_seconds=tolerance, widths=widths_of([l, r], "k", limit))
+                    direction=direction, tolerance_seconds=tolerance, max_rows_per_cell=limit or 10**9)
     got = {row.trade_id: row.rid for row in out.collect()}
     by_key = {}
     for k, s, seq, tid, _ in right:
@@ -80,7 +80,7 @@ def test_previous_row(spark, limit):
     rows = tape(4, 900, ["a", "b"], 40)
     df = to_frame(spark, rows, "currency")
     got = {r.trade_id: r.before for r in previous_row(
-        df, "currency", ["timestamp", "trade_seq", "trade_id"], {"trade_id": "before"}, widths_of([df], "currency", limit)).collect()}
+        df, "currency", ["timestamp", "trade_seq", "trade_id"], {"trade_id": "before"}, limit or 10**9).collect()}
     expected, last = {}, {}
     for k, _, _, tid, _ in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         expected[tid], last[k] = last.get(k), tid

@@ -11,7 +11,6 @@ from frames import SILVER, at, frame, future_row, option_row, silver_row
 from strikelake import schemas
 from strikelake.operators import quality
 from strikelake.operators.asof import asof_join
-from strikelake.operators.cells import measure_cells
 from strikelake.operators.ivhist import with_iv_percentile, with_iv_rank
 from strikelake.plans.gold import gold
 from strikelake.plans.silver import silver, spot_greeks
@@ -315,8 +314,7 @@ def test_prints_without_a_key_go_round_the_window(spark):
         "k string, at timestamp_ntz, id int")
     right = spark.createDataFrame([("f", dt.datetime(2024, 1, 1), 1.0), (None, dt.datetime(2024, 1, 1), 2.0)],
                                   "k string, ts timestamp_ntz, v double")
-    widths = measure_cells([left.withColumnRenamed("at", "timestamp")], "k", max_rows=10)
-    got = asof_join(left, right, "k", "at", "ts", {"v": "v"}, tolerance_seconds=3600, widths=widths)
+    got = asof_join(left, right, "k", "at", "ts", {"v": "v"}, tolerance_seconds=3600, max_rows_per_cell=10)
     assert {r.id: r.v for r in got.collect()} == {i: None for i in range(200)} | {500: 1.0, 501: None}
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull(k" in plan and "isnull(k" in plan
