@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.metrics import roll_spread
-from strikelake.functions.timeline import WEEK_SECONDS
+from strikelake.functions.timeline import DAY_SECONDS, WEEK_SECONDS
 from strikelake.operators.cells import CELL, ROW, in_cells, packed, trailing_week, unpacked
 
 # Fixed value: the covariance frame is the current print and the 20 before it.
 FRAME_PRECEDING = 20
 _HALO_ROWS = FRAME_PRECEDING + 2
+# Groups of cells, and of those, in the scan for the prints before a cell.
+_SPANS = [DAY_SECONDS, 64 * DAY_SECONDS]
 
 _HEAD, _HALO, _OWN, _OLD = 0, 1, 2, 3
 _NAME = "instrument_name"
@@ -30,27 +32,44 @@ def _heads(placed: DataFrame) -> DataFrame:
     return summed.selectExpr(_NAME, CELL, f"{_HEAD} AS __lane", "__n", "__pv").filter("__n IS NOT NULL")
 
 
-def _halos(placed: DataFrame) -> DataFrame:
-    """Per (instrument, cell): the last prints of the instrument before the cell.
+def _newest(rows: DataFrame, unit: str) -> DataFrame:
+    """The last prints of every (instrument, unit). The bound is applied before the shuffle as well (window group limit)."""
+    order = ", ".join(c + " DESC" for c in _ORDER)
+    return rows.selectExpr("*", f"row_number() OVER (PARTITION BY {_NAME}, {unit} ORDER BY {order}) AS k").filter(
+        f"k <= {_HALO_ROWS}").drop("k")
+
+
+def _before(newest: DataFrame, unit: str, spans: list[int]) -> DataFrame:
+    """The last prints before each (instrument, unit), from the last prints of each unit: a prefix scan over a tree.
 
-    Only the newest 22 rows of each cell can matter later; the row_number bound is applied before the
-    shuffle as well (window group limit).
+    The state of a stretch of time is its last 22 prints, and that of two stretches the last 22 of both. Units are grouped
+    by the first of ``spans`` (seconds); what lies before a group comes from the scan over groups, as rows ahead
+    of the group's own. So a window holds the units of one group, and the one at the root of the tree 22 prints per widest span.
     """
-    newest = f"(PARTITION BY {_KEY} ORDER BY {', '.join(c + ' DESC' for c in _ORDER)})"
-    tails = placed.selectExpr(
-        _NAME, CELL, *_ORDER, "price", f"row_number() OVER {newest} AS k").filter(f"k <= {_HALO_ROWS}")
-    timeline = f"PARTITION BY {_NAME} ORDER BY {', '.join(_ORDER)}"
-    print_row = "struct(timestamp AS __at, trade_seq AS __seq, trade_id AS __id, price AS __price)"
+    lane, group = newest, _NAME
+    if spans:
+        parent = f"__span{spans[0]}"
+        lane, group = newest.selectExpr("*", f"floor({unit} / {spans[0]}) * {spans[0]} AS {parent}"), f"{_NAME}, {parent}"
+        carried = _before(_newest(lane.drop(unit), parent), parent, spans[1:])
+        lane = lane.unionByName(carried, allowMissingColumns=True)
+    timeline = f"PARTITION BY {group} ORDER BY {', '.join(_ORDER)}"
+    print_row = f"struct({', '.join(_ORDER)}, price)"
     return (
-        tails.selectExpr(
-            _NAME, CELL, f"lag({CELL}) OVER ({timeline}) AS before",
-            f"collect_list({print_row}) OVER ({timeline} ROWS BETWEEN {_HALO_ROWS} PRECEDING AND 1 PRECEDING) AS prior",
-        )
-        .filter(f"before <> {CELL}")
-        .selectExpr(_NAME, CELL, f"{_HALO} AS __lane", "inline(prior)")
+        lane.selectExpr(
+            _NAME, unit, f"lag({unit}) OVER ({timeline}) AS before",
+            f"collect_list({print_row}) OVER ({timeline} ROWS BETWEEN {_HALO_ROWS} PRECEDING AND 1 PRECEDING) AS prior")
+        .filter(f"{unit} IS NOT NULL AND NOT (before <=> {unit})")
+        .selectExpr(_NAME, unit, "inline(prior)")
     )
 
 
+def _halos(placed: DataFrame) -> DataFrame:
+    """Per (instrument, cell): the last prints of the instrument before the cell."""
+    newest = _newest(placed.select(_NAME, CELL, *_ORDER, "price"), CELL)
+    return _before(newest, CELL, _SPANS).selectExpr(
+        _NAME, CELL, f"{_HALO} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id", "price AS __price")
+
+
 def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame | None = None) -> DataFrame:
     """Add trade_volume_7day, actual_premium_collected and bid_ask_spread_estimate (Roll 1984).
 

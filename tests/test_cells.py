@@ -3,14 +3,16 @@
 import bisect
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames import at
-from strikelake.functions.timeline import WEEK_SECONDS
+from strikelake.functions.timeline import WEEK_SECONDS, epoch_seconds
+from strikelake.operators import flow
 from strikelake.operators.asof import asof_join, previous_row
-from strikelake.operators.cells import CELL_WIDTHS, cell_widths
+from strikelake.operators.cells import CELL, CELL_WIDTHS, cell_widths
 from strikelake.operators.flow import trade_flow
 from strikelake.operators.market import market_state
 
@@ -139,3 +141,30 @@ def test_trade_flow(spark, limit):
                 assert row.bid_ask_spread_estimate == pytest.approx(2 * math.sqrt(-cov), rel=1e-6)
             else:
                 assert row.bid_ask_spread_estimate is None or row.bid_ask_spread_estimate < 1e-5
+
+
+@pytest.mark.parametrize("n,days", [(300, 400), (1500, 3), (40, 300)])
+def test_prints_before_a_cell(spark, n, days):
+    """The scan for the last prints before each cell, over hours, days and blocks of days."""
+    rows = tape(8, n, ["A", "B", "C"], days)
+    df = to_frame(spark, rows, "instrument_name", "price").withColumn(
+        CELL, F.expr(f"floor({epoch_seconds('timestamp')} / 3600) * 3600"))
+    got = {}
+    for r in flow._halos(df).collect():
+        got.setdefault((r["instrument_name"], r[CELL]), []).append((r["__at"], r["__seq"], r["__price"]))
+    want = {}
+    for key in ("A", "B", "C"):
+        own = sorted((r["timestamp"], r["trade_seq"], r["price"], r[CELL]) for r in df.filter(F.col("instrument_name") == key).collect())
+        for cell in {o[3] for o in own}:
+            earlier = [o[:3] for o in own if o[3] < cell][-22:]
+            if earlier:
+                want[key, cell] = earlier
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_no_window_by_instrument_alone_but_at_the_root(spark):
+    df = to_frame(spark, tape(9, 50, ["A"], 3), "instrument_name", "price").withColumn(CELL, F.lit(0).cast("bigint"))
+    plan = flow._halos(df)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    alone = [d for d in dealt if d.count("#") == 1]
+    assert len(alone) == 1 < len(dealt), "one exchange by instrument, of the last prints of blocks of 64 days"
