@@ -163,7 +163,8 @@ def test_prints_before_a_cell(spark, n, days):
 
 
 def test_no_window_by_instrument_alone_but_at_the_root(spark):
-    df = to_frame(spark, tape(9, 50, ["A"], 3), "instrument_name", "price").withColumn(CELL, F.lit(0).cast("bigint"))
+    df = to_frame(spark, tape(9, 50, ["A"], 3), "instrument_name", "price").withColumn(
+        CELL, F.expr(f"floor({epoch_seconds('timestamp')} / 60) * 60"))
     plan = flow._halos(df)._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     alone = [d for d in dealt if d.count("#") == 1]
