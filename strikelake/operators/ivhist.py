@@ -27,17 +27,27 @@ def daily_iv_hist(rows: DataFrame) -> DataFrame:
 def rolling_iv_hist(daily: DataFrame, days: int = PERCENTILE_DAYS, strict_past: bool = False) -> DataFrame:
     """cum_lt, cum_le and window_total per (currency, day, bin) over the trailing days.
 
-    Each day's bins are sent to the days they feed and summed there, then accumulated over at most
-    2,000 bins per (currency, day): no self-join. cum_lt is NULL when nothing lies below the bin.
+    A day's count of a bin enters the window once and leaves it once, so two rows per bin and day are shuffled and
+    summed along the days of a bin; the level between two changes is then laid out day by day, and accumulated over
+    at most 2,000 bins per (currency, day). Counts are whole numbers, so taking them off again is exact.
+    cum_lt is NULL when nothing lies below the bin.
     ``strict_past`` leaves the day itself out (the default includes it); the day's own bins are then listed
     with a count of zero, so that a bin that never traded before has a rank as well.
     """
     first = 1 if strict_past else 0
-    feeds = F.explode(F.sequence(F.date_add("day", first), F.date_add("day", days - 1)))
-    fed = daily.select("currency", feeds.alias("day"), "iv_bin", "bin_count")
+    n = F.col("bin_count")
+    change = F.explode(F.array(F.struct(F.date_add("day", first).alias("day"), n.alias("change")),
+                               F.struct(F.date_add("day", days).alias("day"), (-n).alias("change"))))
+    changes = daily.select("currency", "iv_bin", change.alias("c")).groupBy(
+        "currency", "iv_bin", F.col("c.day").alias("day")).agg(F.sum("c.change").alias("change"))
+    along = Window.partitionBy("currency", "iv_bin").orderBy("day")
+    levels = changes.select(
+        "currency", "iv_bin", "day", F.lead("day").over(along).alias("until"),
+        F.sum("change").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n")).filter("n > 0")
+    rolled = levels.select("currency", F.explode(F.sequence("day", F.date_sub("until", 1))).alias("day"), "iv_bin", "n")
     if strict_past:
-        fed = fed.unionByName(daily.withColumn("bin_count", F.lit(0).cast("bigint")))
-    rolled = fed.groupBy("currency", "day", "iv_bin").agg(F.sum("bin_count").alias("n"))
+        own = daily.select("currency", "day", "iv_bin", F.lit(0).cast("bigint").alias("n"))
+        rolled = rolled.unionByName(own).groupBy("currency", "day", "iv_bin").agg(F.sum("n").alias("n"))
     bins = Window.partitionBy("currency", "day").orderBy("iv_bin")
     return rolled.select(
         "currency", "day", "iv_bin",

@@ -18,6 +18,7 @@ from strikelake.queries.registry import futures, gold, options, query, rounded,
 from strikelake.queries.tape import TAPE_SQL
 from strikelake.sources import bronze, readers, writers
 from strikelake.sources.storage import shared_folder
+from strikelake.sources.tapestore import TapeStore
 
 _PRINTS = f"""WITH {TAPE_SQL},
 prints AS (
@@ -141,6 +142,18 @@ def fetch_list_open(spark, sf_dir):
     return quality.missing_instruments(fetch_list(spark, sf_dir), stored.filter("timestamp < '2024-01-03'"))
 
 
+@query("merge_stored_tape", f"""WITH {TAPE_SQL}
+SELECT instrument_name, trade_seq, trade_id, timestamp, price, timestamp >= TIMESTAMP '2024-01-25 00:00:00' AS is_new
+FROM bronze""")
+def merge_stored_tape(spark, sf_dir):
+    """Prints before a day are stored as files; a batch of all later ones and of the day before is merged in."""
+    trades = options(spark, sf_dir).select("instrument_name", "trade_seq", "trade_id", "timestamp", "price")
+    store = TapeStore(spark, _folder(spark, "tape")).create(trades.filter("timestamp < '2024-01-25'"))
+    fresh = store.merge(trades.filter("timestamp >= '2024-01-24'"))
+    return store.read().join(fresh.select("trade_id", F.lit(True).alias("is_new")), "trade_id", "left").withColumn(
+        "is_new", F.coalesce("is_new", F.lit(False)))
+
+
 @query("ingest_trade_json", f"""{_PRINTS}
   SELECT 'accepted' AS status, instrument_name, count(*) AS lines, round(sum(amount), 6) AS amount FROM accepted GROUP BY ALL
   UNION ALL SELECT 'rejected', NULL, count(*), NULL FROM prints WHERE trade_id NOT IN (SELECT trade_id FROM accepted)""")

@@ -9,6 +9,7 @@ from strikelake.functions.instruments import currency_of, parse_instrument
 from strikelake.operators import quality
 from strikelake.operators.asof import asof_join, previous_row
 from strikelake.operators.cells import measure_cells
+from strikelake.operators.ordering import positioned
 from strikelake.operators.ivhist import daily_iv_hist, rolling_iv_hist, with_iv_percentile
 from strikelake.operators.flow import trade_flow
 from strikelake.operators.market import market_state
@@ -80,17 +81,19 @@ def parsed(spark, sf_dir):
 
 
 @query("merge_trades", _bronze("""
-  SELECT instrument_name, trade_seq, trade_id, price, 'stored' AS origin FROM bronze WHERE direction = 'buy'
-  UNION ALL
-  SELECT instrument_name, trade_seq, trade_id, price, 'new' FROM bronze n WHERE NOT EXISTS (
-    SELECT 1 FROM bronze s WHERE s.direction = 'buy' AND s.instrument_name = n.instrument_name
-      AND s.trade_seq = n.trade_seq)"""))
+  SELECT *, row_number() OVER (ORDER BY instrument_name, trade_seq) AS position FROM (
+    SELECT instrument_name, trade_seq, trade_id, price, 'stored' AS origin FROM bronze WHERE direction = 'buy'
+    UNION ALL
+    SELECT instrument_name, trade_seq, trade_id, price, 'new' FROM bronze n WHERE NOT EXISTS (
+      SELECT 1 FROM bronze s WHERE s.direction = 'buy' AND s.instrument_name = n.instrument_name
+        AND s.trade_seq = n.trade_seq))"""))
 def merged(spark, sf_dir):
-    """Buys are stored already; a full re-fetch arrives."""
+    """Buys are stored already (the fixture's choice); a full re-fetch arrives. Rows carry their place on the tape."""
     columns = ["instrument_name", "trade_seq", "trade_id", "price"]
     trades = options(spark, sf_dir)
     stored = trades.filter("direction = 'buy'").select(*columns, F.lit("stored").alias("origin"))
-    return merge_trades(stored, trades.select(*columns, F.lit("new").alias("origin")))
+    both = merge_trades(stored, trades.select(*columns, F.lit("new").alias("origin")))
+    return positioned(both, ["instrument_name", "trade_seq"])
 
 
 @query("dedupe_trades", _bronze("""
@@ -128,9 +131,10 @@ def missing(spark, sf_dir):
     return quality.missing_instruments(wanted, futures(spark, sf_dir).filter("index_price > 48000"))
 
 
-@query("required_futures", _bronze("SELECT DISTINCT future_name FROM bronze ORDER BY 1"))
+@query("required_futures", _bronze("""SELECT future_name, row_number() OVER (ORDER BY future_name) AS position
+  FROM (SELECT DISTINCT future_name FROM bronze)"""))
 def futures_needed(spark, sf_dir):
-    return quality.required_futures(options(spark, sf_dir))
+    return positioned(quality.required_futures(options(spark, sf_dir)), ["future_name"])
 
 
 @query("instrument_universe", _bronze("""
