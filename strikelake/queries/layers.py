@@ -9,6 +9,7 @@ from strikelake.functions.instruments import currency_of, parse_instrument
 from strikelake.operators import quality
 from strikelake.operators.asof import asof_join, previous_row
 from strikelake.operators.cells import measure_cells
+from strikelake.operators.incremental import DAY, Reach, refreshed
 from strikelake.operators.ordering import positioned
 from strikelake.operators.ivhist import daily_iv_hist, rolling_iv_hist, with_iv_percentile
 from strikelake.operators.flow import trade_flow
@@ -35,8 +36,8 @@ def _silver(sql: str) -> str:
     return f"WITH {SILVER_SQL} {sql}"
 
 
-def _gold(sql: str) -> str:
-    return f"WITH {GOLD_SQL} {sql}"
+def _gold(sql: str, extra: str = "") -> str:
+    return f"WITH {GOLD_SQL}{extra and ','}{extra} {sql}"
 
 
 # --- bronze ---
@@ -288,6 +289,51 @@ def gold_volume_premium(spark, sf_dir):
         "trade_id", "trade_volume_7day", "actual_premium_collected"), actual_premium_collected=6)
 
 
+_LATE = "2024-01-10"
+_LATE_SQL = f"""
+late AS (SELECT * FROM prints WHERE currency = 'BTC' AND day = DATE '{_LATE}'),
+calendar AS (
+  SELECT key, day, lag(day) OVER (PARTITION BY key ORDER BY day) AS before, lead(day) OVER (PARTITION BY key ORDER BY day) AS after
+  FROM (SELECT DISTINCT {{key}} AS key, day FROM prints))"""
+
+
+@query("gold_state_refreshed", _gold(f"""SELECT g.trade_id, round(g.log_return, 9) AS log_return,
+    round(g.realized_vol_7day, 6) AS realized_vol_7day, g.forward_futures_price,
+    EXISTS (SELECT 1 FROM calendar c WHERE c.day = DATE '{_LATE}' AND c.key = 'BTC' AND c.key = p.currency
+      AND (p.day BETWEEN c.day AND coalesce(c.after, c.day) + 7 OR p.day BETWEEN c.before - 7 AND c.day - 7)) AS recomputed
+  FROM gold g JOIN prints p USING (trade_id)""", extra=_LATE_SQL.format(key="currency")))
+def gold_state_refreshed(spark, sf_dir):
+    """Market state before a day's BTC prints arrived, brought up to date by the days they can have changed."""
+    rows = _forwarded(spark, sf_dir).select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
+    late = (F.col("currency") == "BTC") & (F.to_date("timestamp") == _LATE)
+    compute = lambda r: market_state(
+        r, tape.vol_index(spark, sf_dir), measure_cells([r], "currency")).drop("exchange_realized_vol")
+    return _with_recomputed(refreshed(compute(rows.filter(~late)), rows, rows.filter(late), "currency", compute, Reach()),
+                            "currency", "trade_id", "log_return", "realized_vol_7day", "forward_futures_price")
+
+
+@query("gold_flow_refreshed", _gold(f"""SELECT g.trade_id, g.trade_volume_7day,
+    round(g.actual_premium_collected, 6) AS actual_premium_collected,
+    EXISTS (SELECT 1 FROM late c WHERE c.instrument_name = p.instrument_name AND p.day BETWEEN c.day AND c.day + 7) AS recomputed
+  FROM gold g JOIN prints p USING (trade_id)""", extra=_LATE_SQL.format(key="instrument_name")))
+def gold_flow_refreshed(spark, sf_dir):
+    """The same for the weekly volume and premium of instruments."""
+    rows = _flow_rows(spark, sf_dir)
+    late = rows["instrument_name"].startswith("BTC-") & (F.to_date("timestamp") == _LATE)
+    compute = lambda r: trade_flow(r, measure_cells([r], "instrument_name")).drop("bid_ask_spread_estimate")
+    return _with_recomputed(
+        refreshed(compute(rows.filter(~late)), rows, rows.filter(late), "instrument_name", compute, Reach(linked=False, ahead=False)),
+        "instrument_name", "trade_id", "trade_volume_7day", "actual_premium_collected")
+
+
+def _with_recomputed(new, by, *columns):
+    dirty = new.dirty.select(by, DAY, F.lit(True).alias("recomputed"))
+    out = new.whole.withColumn(DAY, F.to_date("timestamp")).join(dirty, [by, DAY], "left").select(
+        *columns, F.coalesce("recomputed", F.lit(False)).alias("recomputed"))
+    digits = {"log_return": 9, "realized_vol_7day": 6, "actual_premium_collected": 6}
+    return rounded(out, **{c: n for c, n in digits.items() if c in columns})
+
+
 def _flow_rows(spark, sf_dir):
     return _forwarded(spark, sf_dir).select(
         "instrument_name", "timestamp", "trade_seq", "trade_id", "price", "amount")
