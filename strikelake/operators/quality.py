@@ -21,6 +21,10 @@ class MissingInstrumentsError(ValueError):
         self.missing = missing
 
 
+class MissingSettlementsError(ValueError):
+    """A currency has no settlement index, so every outcome of it would be NULL."""
+
+
 def validity_report(silver: DataFrame) -> DataFrame:
     """One row: total_trades, valid_trades, valid_pct."""
     counted = silver.agg(F.count(F.lit(1)).alias("total_trades"), F.count_if("is_valid").alias("valid_trades"))
@@ -106,6 +110,28 @@ def require_complete(expected: DataFrame, tape: DataFrame, shown: int = 20) -> N
         raise MissingInstrumentsError(f"{absent.count()} instruments without trades, first: {', '.join(sample)}", absent)
 
 
+def settlement_coverage(options: DataFrame, settlements: DataFrame) -> DataFrame:
+    """Per currency: its settlement index, whether the index is known at all, expiries on the tape and settled ones."""
+    index = F.concat(F.lower("currency"), F.lit("_usd"))
+    expiries = options.select("currency", F.to_date("expiration_timestamp").alias("day")).filter(
+        F.col("day").isNotNull()).distinct().withColumn("index_name", index)
+    daily = settlements.select("index_name", F.col("date").cast("date").alias("day")).distinct()
+    known = daily.select("index_name").distinct().withColumn("index_known", F.lit(True))
+    found = expiries.join(daily.withColumn("hit", F.lit(1)), ["index_name", "day"], "left").groupBy(
+        "currency", "index_name").agg(F.count(F.lit(1)).alias("expiries"), F.count("hit").alias("settled"))
+    return found.join(known, "index_name", "left").select(
+        "currency", "index_name", F.coalesce("index_known", F.lit(False)).alias("index_known"), "expiries", "settled")
+
+
+def require_settlement_index(options: DataFrame, settlements: DataFrame) -> DataFrame:
+    """``options`` itself, or MissingSettlementsError naming the currencies that have no index at all."""
+    unknown = settlement_coverage(options, settlements).filter("NOT index_known").select("currency").orderBy("currency")
+    names = [r["currency"] for r in unknown.collect()]  # currencies, a handful
+    if names:
+        raise MissingSettlementsError(f"no settlement index for {', '.join(names)}: outcomes would be unknown")
+    return options
+
+
 def required_futures(options: DataFrame) -> DataFrame:
     """Dated futures the option names settle against, distinct and sorted."""
     return (

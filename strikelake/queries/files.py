@@ -7,9 +7,11 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
+from strikelake import schemas
 from strikelake.functions import metrics, pricing
 from strikelake.functions.instruments import currency_of, parse_instrument
 from strikelake.operators import quality
+from strikelake.plans import gold as gold_plan
 from strikelake.plans import legacy
 from strikelake.plans.gold import with_settlement
 from strikelake.queries import tape
@@ -73,6 +75,32 @@ def read_settlements(spark, sf_dir):
         "index_name", "date", "delivery_date", "delivery_price")
 
 
+@query("settlement_coverage", f"""WITH {TAPE_SQL},
+expiries AS (SELECT DISTINCT currency, CAST(expiration_timestamp AS DATE) AS day FROM bronze)
+SELECT currency, lower(currency) || '_usd' AS index_name,
+  lower(currency) || '_usd' IN (SELECT index_name FROM settlements) AS index_known, count(*) AS expiries,
+  count(*) FILTER (WHERE EXISTS (SELECT 1 FROM settlements s WHERE s.index_name = lower(currency) || '_usd'
+    AND CAST(s.date AS DATE) = day)) AS settled
+FROM expiries GROUP BY currency""")
+def settlement_coverage(spark, sf_dir):
+    trades = options(spark, sf_dir).withColumn("currency", currency_of(F.col("instrument_name")))
+    return quality.settlement_coverage(
+        quality.require_settlement_index(trades, tape.settlements(spark, sf_dir)), tape.settlements(spark, sf_dir))
+
+
+@query("gold_without_optional_inputs", f"""WITH {GOLD_SQL} SELECT trade_id, days_to_expiry, strike_delta,
+  CAST(NULL AS DOUBLE) AS outcome_settlement_price, CAST(NULL AS BOOLEAN) AS outcome_assignment_inferred,
+  CAST(NULL AS DOUBLE) AS exchange_realized_vol FROM gold""")
+def gold_without_optional_inputs(spark, sf_dir):
+    """Neither settlement nor vol-index files exist: the layer is built all the same, what they would give is unknown."""
+    absent = _folder(spark, "absent")
+    settlements = readers.optional_input(spark, absent, readers.read_settlements, schemas.SETTLEMENTS)
+    index = readers.optional_input(spark, absent, readers.read_vol_index, schemas.VOL_INDEX)
+    return gold_plan.gold(silver(spark, sf_dir), settlements, index).select(
+        "trade_id", "days_to_expiry", "strike_delta", "outcome_settlement_price", "outcome_assignment_inferred",
+        "exchange_realized_vol")
+
+
 @query("read_vol_index", f"WITH {TAPE_SQL} SELECT currency, timestamp, volatility_value FROM vol_index")
 def read_vol_index(spark, sf_dir):
     path = _folder(spark, "vol-index")
@@ -237,14 +265,16 @@ _T, _V = "time_to_expiry_years", "(implied_volatility / 100.0e0)"
 
 
 @query("greeks_bundle", f"""WITH {TAPE_SQL},
-  staged AS (SELECT *, {d1_sql('index_price')} AS d1 FROM bronze WHERE implied_volatility > 0 AND {_T} > 0),
+  staged AS (SELECT *, {d1_sql('index_price')} AS d1 FROM bronze),
   plain AS (SELECT *, {greeks_sql('index_price', 'TRUE')}, {price_fraction_sql('index_price')} * index_price AS value
             FROM staged)
-  SELECT trade_id, round(0.98e0 * delta, 6) AS delta, round(0.98e0 * gamma, 10) AS gamma, round(0.98e0 * vega, 5) AS vega,
-    round(0.98e0 * value, 4) AS price, round(0.98e0 * (theta + 0.03e0 * value / 365.0e0), 4) AS theta FROM plain""")
+  SELECT trade_id, round(df * delta, 6) AS delta, round(df * gamma, 10) AS gamma, round(df * vega, 5) AS vega,
+    round(df * value, 4) AS price,
+    round(df * (theta + CASE WHEN {_T} > 0 THEN 0.03e0 * value / 365.0e0 ELSE 0 END), 4) AS theta
+  FROM (SELECT *, CASE WHEN {_T} > 0 THEN 0.98e0 ELSE 1.0e0 END AS df FROM plain)""")
 def greeks_bundle(spark, sf_dir):
-    """Discounted Greeks and price with a carry rate."""
-    trades = options(spark, sf_dir).filter(f"implied_volatility > 0 AND {_T} > 0")
+    """Discounted Greeks and price with a carry rate; prints without an IV have none, expired ones their intrinsic value."""
+    trades = options(spark, sf_dir)
     bundle = pricing.greeks_bundle(
         F.col("index_price"), F.col("strike"), F.col(_T), metrics.iv_decimal(F.col("implied_volatility")),
         F.col("option_type"), discount=0.98, rate=0.03)
