@@ -54,6 +54,25 @@ def _lowest(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min("level").alias(_LOW), F.count(F.lit(1)).alias("__n"))
 
 
+def _inside_days(legs, near, first_days, busy, by: str, leg_key: Sequence[str], at: str) -> tuple[DataFrame, DataFrame]:
+    """(legs with the cells to read, rows with their cell), where the days of ``busy`` are searched by narrower cells."""
+    wanted = as_table(legs.join(first_days, list(leg_key)).join(busy, [by, _DAY], "left"), "crossing-wanted")
+    in_days = near.withColumn(_DAY, F.expr(_start(at, f"{DAY_SECONDS}L")))
+    crowded = wanted.filter(F.col(_WIDTH).isNotNull())
+    narrow = _lowest(
+        in_days.join(busy.join(crowded.select(by, _DAY).distinct(), [by, _DAY], "left_semi"), [by, _DAY])
+        .withColumn(_CELL, F.expr(_start(at, _WIDTH))), by, _DAY, _CELL)
+    inner = crowded.withColumn("__step", F.col(_WIDTH)).withColumns({
+        "__from": F.greatest(F.col(_DAY), F.expr(_start("opens", "__step"))),
+        "__to": F.least(F.col(_DAY) + DAY_SECONDS - F.col("__step"), F.expr(_start("closes", "__step")))})
+    cells = _entered(inner.filter("__from <= __to").drop(_WIDTH), narrow.drop("__n"), by, leg_key, inside=[_DAY])
+    cells = wanted.join(cells, [*leg_key, _DAY]).select(*legs.columns, _CELL).unionByName(
+        wanted.filter(F.col(_WIDTH).isNull()).select(*legs.columns, F.col(_DAY).alias(_CELL)))
+    placed = in_days.join(busy, [by, _DAY], "left").withColumn(
+        _CELL, F.expr(_start(at, f"coalesce({_WIDTH}, {DAY_SECONDS}L)")))
+    return cells, placed
+
+
 def first_crossing(legs: DataFrame, rows: DataFrame, by: str, leg_key: Sequence[str], order: Sequence[str],
                    take: dict[str, str], max_rows: int) -> DataFrame:
     """leg_key and, for each interval that has a crossing, columns of its first one (``take``: column -> name).
@@ -76,21 +95,11 @@ def first_crossing(legs: DataFrame, rows: DataFrame, by: str, leg_key: Sequence[
         width = F.when(F.col("__n") * candidate <= F.lit(max_rows).cast("bigint") * DAY_SECONDS, candidate).otherwise(width)
     busy = days.filter(F.col("__n") > max_rows).select(
         by, F.col(_CELL).alias(_DAY), width.cast("bigint").alias(_WIDTH))
-    wanted = as_table(legs.join(first_days, list(leg_key)).join(busy, [by, _DAY], "left"), "crossing-wanted")
-    in_days = near.withColumn(_DAY, F.expr(_start(at, f"{DAY_SECONDS}L")))
-    crowded = wanted.filter(F.col(_WIDTH).isNotNull())
-    narrow = _lowest(
-        in_days.join(busy.join(crowded.select(by, _DAY).distinct(), [by, _DAY], "left_semi"), [by, _DAY])
-        .withColumn(_CELL, F.expr(_start(at, _WIDTH))), by, _DAY, _CELL)
-    inner = crowded.withColumn("__step", F.col(_WIDTH)).withColumns({
-        "__from": F.greatest(F.col(_DAY), F.expr(_start("opens", "__step"))),
-        "__to": F.least(F.col(_DAY) + DAY_SECONDS - F.col("__step"), F.expr(_start("closes", "__step")))})
-    cells = _entered(inner.filter("__from <= __to").drop(_WIDTH), narrow.drop("__n"), by, leg_key, inside=[_DAY])
-    cells = wanted.join(cells, [*leg_key, _DAY]).select(*legs.columns, _CELL).unionByName(
-        wanted.filter(F.col(_WIDTH).isNull()).select(*legs.columns, F.col(_DAY).alias(_CELL)))
-
-    placed = in_days.join(busy, [by, _DAY], "left").withColumn(
-        _CELL, F.expr(_start(at, f"coalesce({_WIDTH}, {DAY_SECONDS}L)")))
+    if busy.isEmpty():
+        cells = legs.join(first_days, list(leg_key)).select(*legs.columns, F.col(_DAY).alias(_CELL))
+        placed = near.withColumn(_CELL, F.expr(_start(at, f"{DAY_SECONDS}L")))
+    else:
+        cells, placed = _inside_days(legs, near, first_days, busy, by, leg_key, at)
     own = [*order, "level", *[c for c in take if c not in order]]
     found = placed.select(by, _CELL, *[F.col(c).alias(f"__r_{c}") for c in own]).join(cells, [by, _CELL]).filter(
         (F.col(f"__r_{at}") > F.col("opens")) & (F.col(f"__r_{at}") < F.col("closes"))

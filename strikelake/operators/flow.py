@@ -16,8 +16,8 @@ from strikelake.operators.cells import CELL, ROW, in_cells, packed, trailing_wee
 # Fixed value: the covariance frame is the current print and the 20 before it.
 FRAME_PRECEDING = 20
 _HALO_ROWS = FRAME_PRECEDING + 2
-# Groups of cells, and of those, in the scan for the prints before a cell.
-_SPANS = [DAY_SECONDS, 64 * DAY_SECONDS]
+# Groups of cells in the scan for the prints before a cell: 46,080 cells of a minute at most.
+_SPANS = [32 * DAY_SECONDS]
 
 _HEAD, _HALO, _OWN, _OLD = 0, 1, 2, 3
 _NAME = "instrument_name"

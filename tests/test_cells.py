@@ -145,7 +145,7 @@ def test_trade_flow(spark, limit):
 
 @pytest.mark.parametrize("n,days", [(300, 400), (1500, 3), (40, 300)])
 def test_prints_before_a_cell(spark, n, days):
-    """The scan for the last prints before each cell, over hours, days and blocks of days."""
+    """The scan for the last prints before each cell, over hours and blocks of days."""
     rows = tape(8, n, ["A", "B", "C"], days)
     df = to_frame(spark, rows, "instrument_name", "price").withColumn(
         CELL, F.expr(f"floor({epoch_seconds('timestamp')} / 3600) * 3600"))
@@ -168,4 +168,4 @@ def test_no_window_by_instrument_alone_but_at_the_root(spark):
     plan = flow._halos(df)._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     alone = [d for d in dealt if d.count("#") == 1]
-    assert len(alone) == 1 < len(dealt), "one exchange by instrument, of the last prints of blocks of 64 days"
+    assert len(alone) == 1 < len(dealt), "one exchange by instrument, of the last prints of blocks of 32 days"
