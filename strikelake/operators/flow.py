@@ -70,12 +70,20 @@ def _halos(placed: DataFrame) -> DataFrame:
         _NAME, CELL, f"{_HALO} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id", "price AS __price")
 
 
-def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame | None = None) -> DataFrame:
+def flow_heads(tape: DataFrame, widths: DataFrame | None = None) -> DataFrame:
+    """What each (instrument, cell) needs from other cells but its last prints; a stored ledger lies beneath it."""
+    return _heads(in_cells(tape.select(_NAME, "timestamp", "price", "amount"), _NAME, "timestamp", widths))
+
+
+def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame | None = None,
+               heads: DataFrame | None = None) -> DataFrame:
     """Add trade_volume_7day, actual_premium_collected and bid_ask_spread_estimate (Roll 1984).
 
-    ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again.
+    ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again; ``heads`` is flow_heads of it,
+    where that was worked out before.
     """
     tape = (rows if tape is None else tape).select(_NAME, *_ORDER, "price", "amount")
+    heads = flow_heads(tape, widths) if heads is None else heads
     placed = in_cells(tape, _NAME, "timestamp", widths)
     old = in_cells(
         tape.selectExpr(_NAME, f"{_OLD} AS __lane", f"timestamp + INTERVAL {WEEK_SECONDS} SECONDS AS __at",
@@ -86,7 +94,7 @@ def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame
         "price AS __price", "1L AS __n", "price * amount AS __pv", packed(rows, _NAME),
     ), _NAME, "__at", widths)
     lanes = own
-    for extra in (old, _heads(placed), _halos(placed)):
+    for extra in (old, heads, _halos(placed)):
         lanes = lanes.unionByName(extra, allowMissingColumns=True)
     # One exchange: every window below clusters on these two columns or more.
     lanes = lanes.selectExpr("*", f"__lane = {_OLD} AS __past").repartition(_NAME, CELL)

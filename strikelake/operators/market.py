@@ -89,13 +89,20 @@ def _case(**by_lane: str) -> str:
     return "CASE __lane " + " ".join(f"WHEN {codes[n]} THEN {v}" for n, v in by_lane.items()) + " END"
 
 
+def market_heads(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None) -> DataFrame:
+    """What each (currency, cell) needs from other cells; a stored ledger lies beneath it."""
+    prints = tape.select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
+    return _ledger(prints, vol_index, widths).selectExpr("*", f"{_HEAD} AS __lane")
+
+
 def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None,
-                 tape: DataFrame | None = None) -> DataFrame:
+                 tape: DataFrame | None = None, heads: DataFrame | None = None) -> DataFrame:
     """Add log_return, realized_vol_7day, exchange_realized_vol and forward_futures_price.
 
     ``rows`` must have currency, timestamp, trade_seq, trade_id and a non-null futures_price. Order within
     a currency is (timestamp, trade_seq, trade_id); the 7-day frame is inclusive and counts peers.
-    ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again.
+    ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again; ``heads`` is market_heads of
+    it, where that was worked out before.
     """
     tape = (rows if tape is None else tape).select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
     week = f"INTERVAL {WEEK_SECONDS} SECONDS"
@@ -108,7 +115,7 @@ def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None
     readings = in_cells(
         vol_index.selectExpr("currency", f"{_VOL} AS __lane", "timestamp AS __at", "volatility_value AS __vol"),
         "currency", "__at", widths)
-    heads = _ledger(tape, vol_index, widths).selectExpr("*", f"{_HEAD} AS __lane")
+    heads = market_heads(tape, vol_index, widths) if heads is None else heads
     own = in_cells(rows.selectExpr(
         "currency", f"{_OWN} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id",
         "futures_price AS __price", packed(rows, "currency"),

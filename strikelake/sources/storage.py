@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,9 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*work: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of calls that store tables and do not need each other: their jobs share the cluster."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(w) for w in work]]
