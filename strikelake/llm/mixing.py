@@ -1,9 +1,9 @@
 """Mixing sources to target weights: Sainte-Laguë apportionment of equal-token blocks.
 
 Sources ask for a share of the corpus by weight. Integer numbers of equal-token blocks go to the sources by the
-highest quotients ``target / (2k - 1)``, each between its target in blocks rounded down and up (a long tail of small
-sources cannot use what rounding leaves of it), then from each source to its shards (bounded slices of its documents) by
-the highest quotients alone; each shard lays its documents out in a seeded order, cuts that stream into blocks and takes the first ones.
+highest quotients ``target / (2k - 1)``, then from each source to its shards (bounded slices of its documents) by the
+highest quotients again; each shard lays its documents out in a seeded order, cuts that stream into blocks and takes the
+first ones. Blocks are small beside the smallest target, so that a long tail of small sources gets its words.
 
 DataFrame functions only. A hot source is cut into shards of about ``rows_per_shard`` rows before anything ordered
 happens, and only sums per source and per shard are shuffled beside one narrow row per document.
@@ -20,6 +20,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_REPEAT = 2
 BLOCK_WORDS = 100
+FINE = 20  # blocks in the smallest target, at least, while a block has a word
 ROWS_PER_SHARD = 4000
 SEED = "mix-1"
 
@@ -93,20 +94,6 @@ def _handed(first: DataFrame, group: str, party: str, votes: str) -> DataFrame:
         .groupBy(group, party).agg(F.sum(F.signum("_miss")).cast("long").alias("_more"))
     )
 
-def within_quota(parties: DataFrame, group: str, party: str, votes: str, seats: str, size: int, out: str) -> DataFrame:
-    """Seats by the highest quotients, where no party gets less than ``votes / size`` rounded down or more than rounded up.
-
-    So all but one seat at most of every party are fixed, and the rest go by the quotients of the parties' next ones.
-    """
-    share = F.col(votes) / size
-    first = parties.withColumn("_whole", F.floor(share).cast("long"))
-    left = F.col(seats) - F.sum("_whole").over(W.partitionBy(group))
-    can = share > F.col("_whole")
-    turn = F.row_number().over(W.partitionBy(group).orderBy(
-        F.desc(can), F.desc(F.col(votes) / (2 * F.col("_whole") + 1)), party))
-    return first.withColumns({"_left": left, "_turn": turn}).withColumn(
-        out, F.col("_whole") + (can & (F.col("_turn") <= F.col("_left"))).cast("long")).drop("_whole", "_left", "_turn")
-
 
 def mix(
     docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, repeat: int = MAX_REPEAT,
@@ -116,27 +103,32 @@ def mix(
 
     Needs doc_id, text and source; other columns are ignored, whatever their names. A null text has size 0 and is
     never taken; the null source is a source of its own, ordered last; repeated rows are mixed one by one; an empty
-    table gives an empty result. The blocks of a source are less than one block from its target. ``taken`` never exceeds ``repeat`` times ``size``, and a rerun gives the same rows.
+    table gives an empty result. A block has ``block_words`` words, or fewer where the smallest target is below ``FINE``
+    such blocks: then as many as go ``FINE`` times into it (one word at least), so that rounding to blocks costs no
+    source more than a small part of its target. ``taken`` never exceeds ``repeat`` times ``size``, and a rerun gives the
+    same rows.
     """
     order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = as_table(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), order.alias("_order")),
                      "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+    smallest = F.min(F.when(F.col("target") > 0, F.col("target"))).over(W.partitionBy(F.lit(0)))
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.coalesce(smallest, F.lit(0.0)) / FINE)))
     sources = capped_targets(sources, weights, share, repeat).withColumns({
         "_all": F.lit(0), "_shards": F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_shard)).cast("long"),
-        "_seats": F.round(F.col("total") / block_words).cast("long")})
+        "_block": block.cast("long")}).withColumn("_seats", F.round(F.col("total") / F.col("_block")).cast("long"))
     sources = as_table(
-        within_quota(sources, "_all", "source_no", "target", "_seats", block_words, "_blocks")
-        .select("source", "source_no", "source_size", "target", "_shards", "_blocks"), "mix-sources")
+        sainte_lague(sources, "_all", "source_no", "target", "_seats", "_blocks")
+        .select("source", "source_no", "source_size", "target", "_shards", "_block", "_blocks"), "mix-sources")
     shard = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") % F.col("_shards")
     placed = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).select(
-        "doc_id", "size", "_order", "source_no", "source_size", "target", "_blocks", shard.alias("shard"))
+        "doc_id", "size", "_order", "source_no", "source_size", "target", "_block", "_blocks", shard.alias("shard"))
     shards = placed.groupBy("source_no", "shard").agg(
         F.sum("size").alias("_shard_size"), F.max("_blocks").alias("_blocks"))
     quotas = as_table(sainte_lague(shards, "source_no", "shard", "_shard_size", "_blocks", "shard_blocks")
                       .select("source_no", "shard", "_shard_size", "shard_blocks"), "mix-shards")
     line = W.partitionBy("source_no", "shard").orderBy("_order", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    rest = F.col("shard_blocks") * block_words - F.coalesce(F.sum("size").over(line), F.lit(0))
+    rest = F.col("shard_blocks") * F.col("_block") - F.coalesce(F.sum("size").over(line), F.lit(0))
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - i * F.col("_shard_size")))
                  for i in range(repeat)), F.lit(0))
     return placed.drop("_blocks").join(quotas, ["source_no", "shard"]).withColumn("_rest", rest).select(
@@ -157,10 +149,12 @@ levels AS (
   FROM weighed a LEFT JOIN weighed b ON (b.cap / b.w, b.no) < (a.cap / a.w, a.no) GROUP BY a.no, a.cap, a.w),
 tgt AS (SELECT *, least(cap, (SELECT max(level) FROM levels) * w) AS target,
         greatest(1, ceil(n / {ROWS_PER_SHARD}.0))::BIGINT AS shards FROM weighed),
-seats AS (SELECT round(1.5::DOUBLE * sum(source_size) / {BLOCK_WORDS})::BIGINT AS seats FROM src),
+block AS (SELECT greatest(1, least({BLOCK_WORDS}, floor(coalesce(min(target), 0) / {FINE})))::BIGINT AS words
+          FROM tgt WHERE target > 0),
+seats AS (SELECT round(1.5::DOUBLE * sum(source_size) / any_value(words))::BIGINT AS seats FROM src, block),
 quotients AS (
-  SELECT no, target / (2 * k - 1) AS q FROM tgt, seats,
-         unnest(range(1, (2 * target / {BLOCK_WORDS})::BIGINT + 5)) AS u(k)),
+  SELECT no, target / (2 * k - 1) AS q FROM tgt, block,
+         unnest(range(1, (2 * target / words)::BIGINT + 5)) AS u(k)),
 won AS (SELECT no, count(*) AS blocks FROM
         (SELECT no, row_number() OVER (ORDER BY q DESC, no) AS r FROM quotients WHERE q > 0), seats WHERE r <= seats GROUP BY no),
 placed AS (
@@ -170,16 +164,16 @@ placed AS (
 shard AS (SELECT no, shard, sum(size)::BIGINT AS shard_size, max(blocks) AS blocks FROM placed GROUP BY no, shard),
 shard_q AS (
   SELECT no, shard, blocks, shard_size::DOUBLE / (2 * k - 1) AS q
-  FROM shard, unnest(range(1, (4 * shard_size / {BLOCK_WORDS})::BIGINT + 5)) AS u(k)),
+  FROM shard, block, unnest(range(1, (4 * shard_size / words)::BIGINT + 5)) AS u(k)),
 shard_won AS (
   SELECT no, shard, count(*) AS shard_blocks FROM
     (SELECT no, shard, blocks, row_number() OVER (PARTITION BY no ORDER BY q DESC, shard) AS r FROM shard_q WHERE q > 0)
   WHERE r <= blocks GROUP BY no, shard),
 line AS (
   SELECT placed.*, shard_size, coalesce(shard_blocks, 0)::BIGINT AS shard_blocks,
-         coalesce(shard_blocks, 0) * {BLOCK_WORDS} - coalesce(sum(size) OVER (PARTITION BY no, shard
+         coalesce(shard_blocks, 0) * words - coalesce(sum(size) OVER (PARTITION BY no, shard
          ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest
-  FROM placed JOIN shard USING (no, shard) LEFT JOIN shard_won USING (no, shard))
+  FROM placed JOIN shard USING (no, shard) LEFT JOIN shard_won USING (no, shard), block)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(size, rest)) + greatest(0, least(size, rest - shard_size)))::BIGINT AS taken, shard,
        shard_blocks

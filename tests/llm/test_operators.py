@@ -564,13 +564,20 @@ def test_highest_quotients(spark):
         assert [got[g][p] for p in range(len(votes))] == won
 
 
-def test_mix_of_a_long_tail(spark):
-    rows = [(i, "w " * 10, "big") for i in range(100)] + [(1000 + i, "a b", f"tail{i:03}") for i in range(200)]
-    got = mixing.mix(make(spark, rows), weights=(1,), block_words=10).collect()
-    big = [r for r in got if r["source_size"] == 1000]
-    assert {r["target"] for r in big} == {1300.0} and sum(r["taken"] for r in big) == 1300
-    assert sum(r["shard_blocks"] for r in got if r["source_size"] == 2) == 80
-    assert all(r["target"] == 4 and abs(r["taken"] - 4) < 10 for r in got if r["source_size"] == 2)
+@pytest.mark.parametrize("words,tail,sizes", [(2, 200, 10), (10, 400, 100), (37, 60, 20), (1, 30, 1)])
+def test_mix_of_a_long_tail(spark, words, tail, sizes):
+    rows = [(i, "w " * sizes, "big") for i in range(100)]
+    rows += [(1000 + i, "a " * words, f"tail{i:03}") for i in range(tail)]
+    got = mixing.mix(make(spark, rows), weights=(1,)).collect()
+    by_source = {}
+    for r in got:
+        key = "big" if r["doc_id"] < 1000 else r["doc_id"]
+        taken, _ = by_source.get(key, (0, 0))
+        by_source[key] = (taken + r["taken"], r["target"])
+    assert len(by_source) == tail + 1
+    for taken, target in by_source.values():
+        assert target > 0 and abs(taken - target) <= max(0.05 * target, 1)
+    assert sum(t for t, _ in by_source.values()) == pytest.approx(1.5 * (100 * sizes + tail * words), rel=0.01)
 
 
 def test_highest_quotients_of_a_long_tail(spark):
