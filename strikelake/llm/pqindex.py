@@ -2,13 +2,13 @@
 
 Vectors are compared at unit length. Coarse centroids and residual codebooks are fitted on a bounded sample; every
 vector is stored in the list of its nearest centroid, with one codeword per subspace for the residual, and is asked in
-every list whose border lies within ``MARGIN`` (a near-duplicate crosses a border by more only with small chance: in d
-dimensions its shift along one direction is about the distance over the square root of d). In a list, asymmetric
+every list whose border lies within half the distance that the threshold stands for: of two vectors on either side of a
+border that are no further apart, one is that near to it, so no link is lost to the choice of lists. In a list, asymmetric
 distances come from a table per query and subspace; pairs within the threshold plus the quantisation error are reranked
 by their exact cosine in double precision.
 
-Vectors of different lengths link with nothing of each other, and every length has a quantizer of its own; one with
-few vectors is a single list, compared exactly.
+Vectors of different lengths link with nothing of each other, and every length has a quantizer of its own; few vectors
+have fewer lists and codewords.
 
 Equal vectors are one class with a weight. A (label, length, list) cell is cut into blocks of ``BLOCK`` rows and every pair of
 blocks is a group of its own, so a hot label or list is spread out; a group returns link counts per vector and the
@@ -28,10 +28,9 @@ from strikelake.sources.storage import as_table
 
 COSINE = 0.93
 SAMPLE = 20_000
-LISTS, SUBSPACES, CODEWORDS = 64, 8, 64  # lists at least
-LEAST_PER_LIST = 16  # a length with fewer vectors a list is not quantized
+LISTS, SUBSPACES, CODEWORDS = 64, 8, 64
+LEAST_PER_LIST = 16  # vectors that a list or a codeword is fitted on, at least
 VECTORS_PER_LIST = 1000  # beyond LISTS * this, more lists, as far as the sample can fit them
-MARGIN = 0.16
 BLOCK = 512
 ROUNDS = 12
 ERROR_QUANTILE = 0.999
@@ -75,8 +74,6 @@ class Quantizer:
 
     def encode(self, residual: np.ndarray) -> np.ndarray:
         """Codeword per subspace."""
-        if not self.books:
-            return np.zeros((len(residual), 0), np.uint8)
         parts = [residual[:, a:b] for a, b in zip(self.cuts[:-1], self.cuts[1:])]
         return np.stack([((b**2).sum(axis=1)[None, :] - 2 * p @ b.T).argmin(axis=1) for p, b in zip(parts, self.books)],
                         axis=1).astype(np.uint8)
@@ -103,15 +100,10 @@ def fit(sample: np.ndarray, cosine: float, lists: int, subspaces: int, codewords
     books = [kmeans(residual[:, a:b], codewords, 2 + i) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
     plain = Quantizer(coarse, books, cuts, 0.0)
     error = np.sqrt(((residual - plain.decode(plain.encode(residual))) ** 2).sum(axis=1))
-    radius = np.sqrt(max(2 - 2 * cosine, 0.0)) + float(np.quantile(error, ERROR_QUANTILE))
+    radius = np.sqrt(max(2 - 2 * cosine, 0.0)) + float(np.quantile(error, ERROR_QUANTILE, method="higher"))
     return Quantizer(coarse, books, cuts, radius**2)
 
 
-def quantizer(models: dict[int, Quantizer], width: int) -> Quantizer:
-    """That of a length; without one, a single list in which all pairs are reranked."""
-    return models.get(width) or Quantizer(np.zeros((1, width)), [], np.array([0, width]), np.inf)
-
-
 def prepared(vectors: DataFrame) -> DataFrame:
     """Classes of equal usable vectors: id (smallest vec_id), label, embedding in doubles, weight (rows)."""
     v = F.col("embedding").cast("array<double>")
@@ -124,7 +116,7 @@ def prepared(vectors: DataFrame) -> DataFrame:
 
 def near_duplicates(
     vectors: DataFrame, cosine: float = COSINE, *, sample: int = SAMPLE, lists: int = LISTS, subspaces: int = SUBSPACES,
-    codewords: int = CODEWORDS, margin: float = MARGIN, block: int = BLOCK,
+    codewords: int = CODEWORDS, margin: float | None = None, block: int = BLOCK,
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
@@ -132,19 +124,18 @@ def near_duplicates(
     are null, empty or zero or hold null or non-finite components, link with nothing; a null vec_id links with nothing and has a null component. Rows that repeat a vec_id count as
     vectors of their own and share a component. An empty table gives no rows; other columns are ignored.
     """
+    margin = np.sqrt(max(2 - 2 * cosine, 0.0)) / 2 if margin is None else margin
     classes = as_table(prepared(vectors).withColumn("width", F.size("embedding")), "pq-classes")
     widths = {r["width"]: r["count"] for r in classes.groupBy("width").count().collect()}
     models = {}
     for width, n in widths.items():
-        if n < lists * LEAST_PER_LIST:
-            continue
         picked = classes.filter(F.col("width") == width).select("embedding", "id").orderBy(
             F.xxhash64("id"), "id").limit(sample).collect()
         learned = np.array([r["embedding"] for r in picked])
         learned = learned / np.abs(learned).max(axis=1)[:, None]
         learned = learned / np.sqrt((learned**2).sum(axis=1))[:, None]
-        most = max(lists, min(len(learned) // LEAST_PER_LIST, n // VECTORS_PER_LIST))
-        models[width] = fit(learned, cosine, most, subspaces, codewords)
+        room = max(len(learned) // LEAST_PER_LIST, 1)
+        models[width] = fit(learned, cosine, min(room, max(lists, n // VECTORS_PER_LIST)), subspaces, min(codewords, room))
     if widths:
         counts, edges = _links(classes, classes.sparkSession.sparkContext.broadcast(models), cosine, margin, block)
         found = components(edges, "pq-components")
@@ -179,7 +170,7 @@ def _links(classes: DataFrame, models, cosine: float, margin: float, block: int)
             widths = batch.column("width").to_numpy()
             for width in np.unique(widths).tolist():
                 own = batch.filter(pa.array(widths == width))
-                model, unit = quantizer(models.value, width), _unit(own.column("embedding"))
+                model, unit = models.value[width], _unit(own.column("embedding"))
                 home, asked = model.place(unit, margin)
                 codes = model.encode(unit - model.coarse[home])
                 yield pa.RecordBatch.from_arrays(
@@ -220,7 +211,7 @@ def _links(classes: DataFrame, models, cosine: float, margin: float, block: int)
             left, right = np.flatnonzero(role == "visit"), np.flatnonzero(role == "host")
         out = {}, []
         if len(left) and len(right):
-            q = quantizer(models.value, first["width"])
+            q = models.value[first["width"]]
             ids, weight, home = (table.column(c).combine_chunks().to_numpy() for c in ("id", "weight", "home"))
             x = np.array(table.column("embedding").to_pylist(), float)
             unit = x / np.abs(x).max(axis=1)[:, None]
