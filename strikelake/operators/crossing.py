@@ -97,7 +97,7 @@ def first_crossing(legs: DataFrame, rows: DataFrame, by: str, leg_key: Sequence[
         by, F.col(_CELL).alias(_DAY), width.cast("bigint").alias(_WIDTH))
     if busy.isEmpty():
         cells = legs.join(first_days, list(leg_key)).select(*legs.columns, F.col(_DAY).alias(_CELL))
-        placed = near.withColumn(_CELL, F.expr(_start(at, f"{DAY_SECONDS}L")))
+        placed = rows.withColumn(_CELL, F.expr(_start(at, f"{DAY_SECONDS}L")))
     else:
         cells, placed = _inside_days(legs, near, first_days, busy, by, leg_key, at)
     own = [*order, "level", *[c for c in take if c not in order]]
