@@ -16,6 +16,7 @@ without a key match nothing and must not enter a window (asof.py sends them roun
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,8 +26,12 @@ from strikelake.functions.timeline import WEEK_SECONDS, epoch_seconds
 from strikelake.sources.storage import as_table
 
 # Every width divides seven days, so shifting a row by a week moves it by a whole number of cells.
-CELL_WIDTHS = [WEEK_SECONDS, 86_400, 3_600, 600, 60]
-MAX_ROWS_PER_CELL = 2_000_000
+# Those below a day divide a day, and neighbours differ by a factor of 10 at most, so cells stay near ``max_rows``.
+CELL_WIDTHS = [WEEK_SECONDS, 86_400, 21_600, 3_600, 600, 60]
+#: A task sorts whole cells with about two helper rows to each row, twice: some 3 KB of memory per row of gold.
+MAX_ROWS_PER_CELL = 100_000
+#: Rows of the tape per task, on average, when cells are dealt over tasks.
+ROWS_PER_TASK = 50_000
 
 CELL, ROW = "__cell", "__row"
 _WIDTH = "__width"
@@ -54,6 +59,15 @@ def measure_cells(streams: Sequence[DataFrame], by: str, ts: str = "timestamp",
     return as_table(cell_widths(streams, by, ts, max_rows), "cell_widths")
 
 
+def task_count(tape: DataFrame) -> int:
+    """Number of tasks over which the cells of ``tape`` are dealt; it follows the rows.
+
+    Left to itself, Spark merges shuffled partitions up to a size in compressed bytes, and fewer, larger ones the more
+    alike the rows are; sorted, they take many times that.
+    """
+    return max(tape.sparkSession.sparkContext.defaultParallelism, math.ceil(tape.count() / ROWS_PER_TASK))
+
+
 def _located(df: DataFrame, by: str, widths: DataFrame | None) -> tuple[DataFrame, str]:
     """``df`` with each key's cell width at hand, and the SQL text of that width."""
     if widths is None:

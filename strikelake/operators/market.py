@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strikelake.functions.timeline import WEEK_SECONDS
-from strikelake.operators.cells import CELL, ROW, in_cells, packed, trailing_week, unpacked
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, task_count, trailing_week, unpacked
 
 # Fixed value: hourly observations per year, the annualization of realized_vol_7day.
 ANNUALIZATION = math.sqrt(365 * 24)
@@ -41,11 +41,11 @@ def _log_ratio(price: str, previous: str) -> str:
     return f"CASE WHEN {price} > 0 AND {previous} > 0 THEN ln(try_divide({price}, {previous})) END"
 
 
-def _ledger(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None) -> DataFrame:
+def _ledger(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None, tasks: int) -> DataFrame:
     """One row per (currency, cell) that has prints, with what the cell needs from other cells."""
     previous = f"lag(futures_price) OVER (PARTITION BY {_KEY} ORDER BY {_RANK})"
     cells = (
-        in_cells(tape, "currency", "timestamp", widths)
+        in_cells(tape, "currency", "timestamp", widths).repartition(tasks, "currency", CELL)
         .selectExpr("*", f"{previous} AS previous")
         .selectExpr("*", f"{_log_ratio('futures_price', 'previous')} AS r")
         .groupBy("currency", CELL)
@@ -89,22 +89,26 @@ def _case(**by_lane: str) -> str:
     return "CASE __lane " + " ".join(f"WHEN {codes[n]} THEN {v}" for n, v in by_lane.items()) + " END"
 
 
-def market_heads(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None) -> DataFrame:
+def market_heads(tape: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None,
+                 tasks: int | None = None) -> DataFrame:
     """What each (currency, cell) needs from other cells; a stored ledger lies beneath it."""
+    tasks = tasks or task_count(tape)
     prints = tape.select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
-    return _ledger(prints, vol_index, widths).selectExpr("*", f"{_HEAD} AS __lane")
+    return _ledger(prints, vol_index, widths, tasks).selectExpr("*", f"{_HEAD} AS __lane")
 
 
 def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None = None,
-                 tape: DataFrame | None = None, heads: DataFrame | None = None) -> DataFrame:
+                 tape: DataFrame | None = None, heads: DataFrame | None = None,
+                 tasks: int | None = None) -> DataFrame:
     """Add log_return, realized_vol_7day, exchange_realized_vol and forward_futures_price.
 
     ``rows`` must have currency, timestamp, trade_seq, trade_id and a non-null futures_price. Order within
     a currency is (timestamp, trade_seq, trade_id); the 7-day frame is inclusive and counts peers.
     ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again; ``heads`` is market_heads of
-    it, where that was worked out before.
+    it, where that was worked out before. The cells are dealt over ``tasks`` (default: as many as its rows ask for).
     """
     tape = (rows if tape is None else tape).select("currency", "timestamp", "trade_seq", "trade_id", "futures_price")
+    tasks = tasks or task_count(tape)
     week = f"INTERVAL {WEEK_SECONDS} SECONDS"
     echoes = in_cells(
         tape.selectExpr(
@@ -115,7 +119,7 @@ def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None
     readings = in_cells(
         vol_index.selectExpr("currency", f"{_VOL} AS __lane", "timestamp AS __at", "volatility_value AS __vol"),
         "currency", "__at", widths)
-    heads = market_heads(tape, vol_index, widths) if heads is None else heads
+    heads = market_heads(tape, vol_index, widths, tasks) if heads is None else heads
     own = in_cells(rows.selectExpr(
         "currency", f"{_OWN} AS __lane", "timestamp AS __at", "trade_seq AS __seq", "trade_id AS __id",
         "futures_price AS __price", packed(rows, "currency"),
@@ -123,6 +127,8 @@ def market_state(rows: DataFrame, vol_index: DataFrame, widths: DataFrame | None
     lanes = own
     for extra in (echoes, readings, heads):
         lanes = lanes.unionByName(extra, allowMissingColumns=True)
+    # One exchange: every window below clusters on these two columns.
+    lanes = lanes.repartition(tasks, "currency", CELL)
 
     up = f"PARTITION BY {_KEY} ORDER BY __at ASC NULLS FIRST, __lane, __seq, __id"
     down = f"PARTITION BY {_KEY} ORDER BY __at DESC NULLS FIRST, __lane DESC, __seq DESC, __id DESC"

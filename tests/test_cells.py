@@ -169,3 +169,10 @@ def test_no_window_by_instrument_alone_but_at_the_root(spark):
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     alone = [d for d in dealt if d.count("#") == 1]
     assert len(alone) == 1 < len(dealt), "one exchange by instrument, of the last prints of blocks of 32 days"
+
+
+@pytest.mark.parametrize("most,width", [(20, 3_600), (70, 21_600), (300, 86_400)])
+def test_cells_stay_near_their_limit(spark, most, width):
+    """Ten prints an hour: the steps between widths are small, so that a cell is neither far above nor far below its limit."""
+    rows = to_frame(spark, [("a", s, s, f"t{s}", 1.0) for s in range(0, 5 * 86400, 360)], "currency")
+    assert {r[0]: r[1] for r in cell_widths([rows], "currency", max_rows=most).collect()} == {"a": width}
