@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strikelake.functions.metrics import roll_spread
 from strikelake.functions.timeline import DAY_SECONDS, WEEK_SECONDS
-from strikelake.operators.cells import CELL, ROW, in_cells, packed, trailing_week, unpacked
+from strikelake.operators.cells import CELL, ROW, in_cells, packed, task_count, trailing_week, unpacked
 
 # Fixed value: the covariance frame is the current print and the 20 before it.
 FRAME_PRECEDING = 20
@@ -76,13 +76,14 @@ def flow_heads(tape: DataFrame, widths: DataFrame | None = None) -> DataFrame:
 
 
 def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame | None = None,
-               heads: DataFrame | None = None) -> DataFrame:
+               heads: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Add trade_volume_7day, actual_premium_collected and bid_ask_spread_estimate (Roll 1984).
 
     ``tape`` holds the same prints as ``rows`` (default) in a form cheaper to read again; ``heads`` is flow_heads of it,
-    where that was worked out before.
+    where that was worked out before. The cells are dealt over ``tasks`` (default: as many as its rows ask for).
     """
     tape = (rows if tape is None else tape).select(_NAME, *_ORDER, "price", "amount")
+    tasks = tasks or task_count(tape)
     heads = flow_heads(tape, widths) if heads is None else heads
     placed = in_cells(tape, _NAME, "timestamp", widths)
     old = in_cells(
@@ -97,7 +98,7 @@ def trade_flow(rows: DataFrame, widths: DataFrame | None = None, tape: DataFrame
     for extra in (old, heads, _halos(placed)):
         lanes = lanes.unionByName(extra, allowMissingColumns=True)
     # One exchange: every window below clusters on these two columns or more.
-    lanes = lanes.selectExpr("*", f"__lane = {_OLD} AS __past").repartition(_NAME, CELL)
+    lanes = lanes.selectExpr("*", f"__lane = {_OLD} AS __past").repartition(tasks, _NAME, CELL)
 
     path = f"PARTITION BY {_KEY}, __past ORDER BY __at ASC NULLS FIRST, __seq, __id"
     frame = f"({path} ROWS BETWEEN {FRAME_PRECEDING} PRECEDING AND CURRENT ROW)"

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from strikelake import schemas
 from strikelake.functions import metrics, pricing
 from strikelake.functions.instruments import currency_of
-from strikelake.operators.cells import MAX_ROWS_PER_CELL, measure_cells
+from strikelake.operators.cells import MAX_ROWS_PER_CELL, measure_cells, task_count
 from strikelake.operators.flow import flow_heads, trade_flow
 from strikelake.operators.ivhist import with_iv_percentile
 from strikelake.operators.market import market_heads, market_state
@@ -80,13 +80,14 @@ def gold(silver: DataFrame, settlements: DataFrame | None = None, vol_index: Dat
     by_currency, by_instrument = side_by_side(
         lambda: measure_cells([rows], "currency", max_rows=max_rows_per_cell),
         lambda: measure_cells([rows], "instrument_name", max_rows=max_rows_per_cell))
+    tasks = task_count(rows)
     of_currency, of_instrument = side_by_side(
-        lambda: market_heads(rows, vol_index, by_currency), lambda: flow_heads(rows, by_instrument))
+        lambda: market_heads(rows, vol_index, by_currency, tasks), lambda: flow_heads(rows, by_instrument))
     # log_return is not a gold column; dropped here so that every field carried below is used, which keeps
     # the optimizer from unpacking the carried struct into single columns.
-    state = market_state(rows, vol_index, by_currency, tape=rows, heads=of_currency).drop("log_return")
+    state = market_state(rows, vol_index, by_currency, tape=rows, heads=of_currency, tasks=tasks).drop("log_return")
     ranked = with_iv_percentile(state, history=rows, strict_past=strict_past)
-    flowed = trade_flow(ranked, by_instrument, tape=rows, heads=of_instrument)
+    flowed = trade_flow(ranked, by_instrument, tape=rows, heads=of_instrument, tasks=tasks)
     scored = with_outcomes(with_settlement(with_execution_quality(flowed), settlements))
     iv = F.col("implied_volatility")
     return scored.withColumns({

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from frames import at
 from strikelake.functions.timeline import WEEK_SECONDS, epoch_seconds
-from strikelake.operators import flow
+from strikelake.operators import cells, flow
 from strikelake.operators.asof import asof_join, previous_row
 from strikelake.operators.cells import CELL, CELL_WIDTHS, cell_widths
 from strikelake.operators.flow import trade_flow
@@ -176,3 +176,17 @@ def test_cells_stay_near_their_limit(spark, most, width):
     """Ten prints an hour: the steps between widths are small, so that a cell is neither far above nor far below its limit."""
     rows = to_frame(spark, [("a", s, s, f"t{s}", 1.0) for s in range(0, 5 * 86400, 360)], "currency")
     assert {r[0]: r[1] for r in cell_widths([rows], "currency", max_rows=most).collect()} == {"a": width}
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Cells are dealt over as many tasks as the rows ask for, which Spark does not merge by their compressed size."""
+    monkeypatch.setattr(cells, "ROWS_PER_TASK", 25)
+    tape_rows = tape(10, 900, ["A", "B"], 30)
+    prices = to_frame(spark, tape_rows, "currency")
+    index = to_frame(spark, tape(6, 60, ["A", "B"], 20), "currency", "volatility_value")
+    trades = to_frame(spark, tape_rows, "instrument_name", "price").withColumn("amount", F.lit(1.0))
+    for state in (market_state(prices, index, widths_of([prices], "currency", 20)),
+                  trade_flow(trades, widths_of([trades], "instrument_name", 20))):
+        kept = state.select("trade_id", F.spark_partition_id().alias("task"))
+        assert state.rdd.getNumPartitions() == 36, "900 rows, 25 a task"
+        assert max(r["count"] for r in kept.groupBy("task").count().collect()) < 450
