@@ -1,5 +1,8 @@
 """Writers. Output is split by row count, so a dominant currency never becomes one file or one task.
 
+Rows are dealt to the writing tasks by size first: a write by currency sorts its task's rows, and a task that reads Parquet
+back can hold millions of rows that are alike in few bytes.
+
 Silver and gold are counted while they are written: the figures are observed in the stage that writes, where a
 partition counts once even if executors are lost, and no second scan is made.
 """
@@ -74,7 +77,7 @@ def _observed_write(df: DataFrame, layer: str, path: str, write, source: DataFra
         own = F.col("currency") == name
         figures += [F.count_if(own).alias(f"rows{i}"), F.count_if(own & valid).alias(f"valid{i}")]
     begun = time.monotonic()
-    write(df.observe(seen, *figures))
+    write(df.hint("rebalance").observe(seen, *figures))
     seconds = time.monotonic() - begun
     got = {name: int(value or 0) for name, value in seen.get.items()}
     return WriteReport(

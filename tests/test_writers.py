@@ -53,3 +53,17 @@ def test_a_table_is_read_once_for_its_report(spark, tmp_path):
     report = writers.write_gold(rows.mapInArrow(count, rows.schema), str(tmp_path / "out"))
     assert report.rows == 1000 and report.valid_rows == 500 and seen.value == 1000
     assert spark.read.parquet(str(tmp_path / "out")).filter(F.col("is_valid")).count() == 500
+
+
+@pytest.mark.parametrize("write", [writers.write_silver, writers.write_gold])
+def test_a_large_read_is_written_by_several_tasks(spark, tmp_path, write):
+    """What one task reads is dealt by size before the write sorts it by currency."""
+    rows = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 5 = 0 THEN 'ETH' ELSE 'BTC' END AS currency", "id", "uuid() AS trade_id", "true AS is_valid").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        report = write(rows, str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "currency=BTC").glob("*.parquet"))) > 1
+    assert report.rows == report.valid_rows == spark.read.parquet(str(tmp_path / "t")).count() == 200_000
