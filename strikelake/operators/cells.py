@@ -26,8 +26,9 @@ from strikelake.functions.timeline import WEEK_SECONDS, epoch_seconds
 from strikelake.sources.storage import as_table
 
 # Every width divides seven days, so shifting a row by a week moves it by a whole number of cells.
-# Those below a day divide a day, and neighbours differ by a factor of 10 at most, so cells stay near ``max_rows``.
-CELL_WIDTHS = [WEEK_SECONDS, 86_400, 21_600, 3_600, 600, 60]
+# Those below a day divide a day, and neighbours differ by a factor of 7 at most, so cells stay near ``max_rows``; below an
+# hour by 3 at most, as every cell of an instrument is handed 22 prints from before it, however few its own are.
+CELL_WIDTHS = [WEEK_SECONDS, 86_400, 21_600, 3_600, 1_800, 600, 300, 120, 60]
 #: A task sorts whole cells with about two helper rows to each row, twice: some 3 KB of memory per row of gold.
 MAX_ROWS_PER_CELL = 100_000
 #: Rows of the tape per task, on average, when cells are dealt over tasks.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strikelake.plans import gold as gold_plan
 from strikelake.plans import silver as silver_plan
 from strikelake.queries import tape
+from strikelake.session import tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +50,8 @@ def futures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver layer as a table, with its currency."""
+    """The silver layer as a table, with its currency. From here on the session has the settings the plans are meant for."""
+    spark = tuned(spark)
     return tape.stored(spark, sf_dir, "silver", lambda: gold_plan.with_currency(
         silver_plan.silver(options(spark, sf_dir), futures(spark, sf_dir))))
 

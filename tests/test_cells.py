@@ -190,3 +190,10 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
         kept = state.select("trade_id", F.spark_partition_id().alias("task"))
         assert state.rdd.getNumPartitions() == 36, "900 rows, 25 a task"
         assert max(r["count"] for r in kept.groupBy("task").count().collect()) < 450
+
+
+def test_prints_before_a_cell_stay_in_proportion(spark):
+    """Sixty prints an hour, cells of at most 40: the rows carried into cells are fewer than the prints."""
+    rows = to_frame(spark, [("A", s, s, f"t{s}", 1.0) for s in range(0, 2 * 86400, 60)], "instrument_name", "price")
+    placed = cells.in_cells(rows, "instrument_name", "timestamp", widths_of([rows], "instrument_name", 40))
+    assert flow._halos(placed).count() < rows.count()

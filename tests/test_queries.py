@@ -78,3 +78,10 @@ def test_scans_are_pruned(spark, con):
     assert reads and all(len(r.split(",")) <= 3 for r in reads)
     filtered = _plan(registry.gold(spark, SF).filter(F.col("is_valid") & (F.col("option_type") == "put")))
     assert "EqualTo(option_type,put)" in filtered
+
+
+def test_queries_on_layers_limit_generated_methods(spark):
+    """Methods that the JVM does not compile took half of the time of the widest gold stage."""
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    registry.silver(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
