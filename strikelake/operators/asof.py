@@ -29,11 +29,13 @@ def asof_join(
     direction: str = "backward",
     tolerance_seconds: int | None = None,
     max_rows_per_cell: int = MAX_ROWS_PER_CELL,
+    tasks: int | None = None,
 ) -> DataFrame:
     """LEFT as-of join; every left row is kept once.
 
     take: right column -> output column. With a tolerance, a match further away than that (exclusive of the
-    bound itself) gives NULL. Left rows without a key or a time match nothing and go round the window.
+    bound itself) gives NULL. Left rows without a key or a time match nothing and go round the window. The cells are
+    dealt over ``tasks`` (default: as Spark merges them, by compressed size).
     """
     backward = direction == "backward"
     if not backward and direction != "forward":
@@ -56,7 +58,10 @@ def asof_join(
     # A right row precedes a left row of the same instant in reading order, so equal times match.
     way = "ASC" if backward else "DESC"
     order = ", ".join([f"{_AT} {way} NULLS FIRST", _SIDE, *[f"{t} {way}" for t in ties]])
-    matched = lefts.unionByName(rights, allowMissingColumns=True).selectExpr(
+    lanes = lefts.unionByName(rights, allowMissingColumns=True)
+    if tasks is not None:
+        lanes = lanes.repartition(tasks, by, CELL)  # the one exchange: the window clusters on these two columns
+    matched = lanes.selectExpr(
         by, ROW, _AT, _SIDE,
         f"last({_HIT}) IGNORE NULLS OVER (PARTITION BY {by}, {CELL} ORDER BY {order} "
         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {_HIT}",

@@ -8,7 +8,7 @@ from strikelake.functions import pricing
 from strikelake.functions.instruments import future_key
 from strikelake.functions.metrics import MIN_YEARS_VALID, iv_decimal
 from strikelake.operators.asof import asof_join
-from strikelake.operators.cells import MAX_ROWS_PER_CELL
+from strikelake.operators.cells import MAX_ROWS_PER_CELL, task_count
 from strikelake.schemas import SILVER_COLUMNS, TRADE_COLUMNS
 
 # Fixed value: a futures print older than this is no forward price (the bound itself still is).
@@ -27,6 +27,7 @@ def with_forward_price(options: DataFrame, futures: DataFrame | None,
         keyed, prints, by="__future", left_at="timestamp", right_at="timestamp",
         take={"price": "futures_price"}, tie=["trade_seq"],
         tolerance_seconds=MAX_FORWARD_AGE_SECONDS, max_rows_per_cell=max_rows_per_cell,
+        tasks=task_count(trades.select("timestamp").unionByName(prints.select("timestamp"))),
     ).drop("__future")
 
 

@@ -15,6 +15,8 @@ from strikelake.operators.asof import asof_join, previous_row
 from strikelake.operators.cells import CELL, CELL_WIDTHS, cell_widths
 from strikelake.operators.flow import trade_flow
 from strikelake.operators.market import market_state
+from strikelake.plans.silver import with_forward_price
+from strikelake.schemas import TRADE_COLUMNS
 
 START = at("2024-01-01")
 LIMITS = [None, 400, 40]  # None: all keys cold
@@ -197,3 +199,14 @@ def test_prints_before_a_cell_stay_in_proportion(spark):
     rows = to_frame(spark, [("A", s, s, f"t{s}", 1.0) for s in range(0, 2 * 86400, 60)], "instrument_name", "price")
     placed = cells.in_cells(rows, "instrument_name", "timestamp", widths_of([rows], "instrument_name", 40))
     assert flow._halos(placed).count() < rows.count()
+
+
+def test_forward_prices_are_dealt_by_rows(spark, monkeypatch):
+    """The cells of the as-of join are dealt over tasks by rows, which Spark does not merge by their compressed size."""
+    monkeypatch.setattr(cells, "ROWS_PER_TASK", 25)
+    left = to_frame(spark, tape(11, 900, ["BTC-12JAN24-40000-C", "ETH-12JAN24-40000-P"], 20), "instrument_name", "price")
+    options = left.select(*[c if c in left.columns else F.lit(None).cast("double").alias(c) for c in TRADE_COLUMNS])
+    right = to_frame(spark, tape(12, 100, ["BTC-12JAN24", "ETH-12JAN24"], 20), "instrument_name", "price")
+    priced = with_forward_price(options, right, max_rows_per_cell=20)
+    tasks = priced.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) > 10 and max(r["count"] for r in tasks) < 450, "1,000 rows, 25 a task"
