@@ -11,6 +11,7 @@ from strikelake.operators.asof import asof_join
 from strikelake.plans.gold import gold
 from strikelake.plans.silver import silver
 from strikelake.queries import ALL, registry, tape
+from strikelake.session import tuned
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -85,3 +86,12 @@ def test_queries_on_layers_limit_generated_methods(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     registry.silver(spark, "/root/testdata/sf0.001")
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_tasks_read_little_unless_the_session_says_otherwise(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.unset(name)
+    assert tuned(spark).conf.get(name) == "32m"
+    spark.conf.set(name, "16m")
+    assert tuned(spark).conf.get(name) == "16m"
+    spark.conf.unset(name)
